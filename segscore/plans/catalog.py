@@ -240,3 +240,100 @@ EMB_SQL = "(SELECT vec_id AS id, label, " + ", ".join(f"CAST(embedding[{i + 1}]
 def q_corr_pairs_wide(spark, sf):
     c = corr.corr_long(fx.embedding_features(spark, sf), EMB)
     return rounded(c.select("idx1", "idx2", "abs_corr"))
+
+
+# ------------------------------------------------------------------ power transform
+from segscore.operators import power, reduction  # noqa: E402
+
+EV = fx.EVENT_FEATURES
+EV_SQL = f"({fx.EVENT_VALUES_SQL})"
+
+
+def _power_apply_sql(src: str, cols: list[str], keep: str = "id, label") -> str:
+    cte, pname = power.power_sql(src, cols)
+
+    def one(c: str) -> str:
+        p = lambda k: f"(SELECT {k} FROM {pname} WHERE feature = '{c}')"
+        lam, kind = p('"lambda"'), p("kind")
+        x = f"CAST({c} AS DOUBLE)"
+        bc = f"(CASE WHEN abs({lam}) < 1e-12 THEN CASE WHEN {x} > 0 THEN ln({x}) END ELSE (pow(CASE WHEN {x} > 0 THEN {x} END, {lam}) - 1.0) / {lam} END)"
+        yj = (f"(CASE WHEN {x} >= 0 THEN (CASE WHEN abs({lam}) < 1e-12 THEN ln(1 + {x}) ELSE (pow({x} + 1.0, {lam}) - 1.0) / {lam} END) "
+              f"ELSE (CASE WHEN abs({lam} - 2.0) < 1e-12 THEN -ln(1 - {x}) ELSE -(pow(1.0 - {x}, 2.0 - {lam}) - 1.0) / (2.0 - {lam}) END) END)")
+        e = (f"CASE {kind} WHEN 'box-cox' THEN ({bc} - {p('mu')}) / {p('sigma')} "
+             f"WHEN 'yeo-johnson' THEN ({yj} - {p('mu')}) / {p('sigma')} ELSE {x} END")
+        return r(e, c)
+    return cte + f" SELECT {keep}, " + ", ".join(one(c) for c in cols) + " FROM src"
+
+
+_pcte, _pname = power.power_sql(EV_SQL, EV)
+
+
+@query("power_params", _pcte + f" SELECT feature, kind, {r('"lambda"', '"lambda"')}, {r('mu', 'mu')}, {r('sigma', 'sigma')} FROM {_pname}")
+def q_power_params(spark, sf):
+    p = power.fit_power(fx.event_values(spark, sf), EV)
+    return rounded(p.drop("pos"))
+
+
+@query("power_transform", _power_apply_sql(EV_SQL, EV))
+def q_power_transform(spark, sf):
+    df = fx.event_values(spark, sf)
+    return rounded(power.apply_power(df, power.fit_power(df, EV)))
+
+
+# ------------------------------------------------------------------ correlation reduction
+def customer_reduced(spark, sf, lo=0.8, hi=0.95):
+    df = fx.customer_features(spark, sf)
+    z = scalers.apply_standard(df, scalers.fit_standard(df, CF))
+    steps = reduction.fit_reduction(z, CF, lo, hi)
+    return z, steps
+
+
+@query("reduction_steps")
+def q_reduction_steps(spark, sf):
+    """Ordered step log of the fitted reduction (rounds are data-dependent
+    driver decisions over the covariance, so: rows-only)."""
+    _, steps = customer_reduced(spark, sf)
+    return rounded(reduction.steps_frame(spark, steps).drop("mu1", "mu2"))
+
+
+# DuckDB twin for the decisions that FIXTURES.md lists at sf0.01 (drop gross,
+# qty, net; fuse n_lines with n_orders): numbers are recomputed in SQL, the
+# fused weights from the closed-form principal axis of the 2x2 covariance.
+_ZCOLS = ", ".join(f"(({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END) AS {c}" for c in CF)
+_ZAGG = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in CF)
+Z_SQL = f"(WITH f AS {CF_SQL}, p AS (SELECT {_ZAGG} FROM f) SELECT id, label, {_ZCOLS} FROM f, p)"
+RED_KEEP = ["avg_disc", "avg_tax", "max_line", "ret_rate", "sd_qty"]
+RED_SQL = f"""(WITH z AS {Z_SQL},
+c AS (SELECT avg(n_lines) AS m1, avg(n_orders) AS m2, var_pop(n_lines) AS c11, var_pop(n_orders) AS c22,
+             covar_pop(n_lines, n_orders) AS c12 FROM z),
+a AS (SELECT m1, m2, cos(0.5 * atan2(2 * c12, c11 - c22)) AS u1, sin(0.5 * atan2(2 * c12, c11 - c22)) AS u2 FROM c),
+w AS (SELECT m1, m2, CASE WHEN (CASE WHEN abs(u1) >= abs(u2) THEN u1 ELSE u2 END) < 0 THEN -u1 ELSE u1 END AS w1,
+             CASE WHEN (CASE WHEN abs(u1) >= abs(u2) THEN u1 ELSE u2 END) < 0 THEN -u2 ELSE u2 END AS w2 FROM a)
+SELECT id, label, {", ".join(RED_KEEP)}, w1 * (n_lines - m1) + w2 * (n_orders - m2) AS PCA_n_lines_n_orders FROM z, w)"""
+RED_COLS = RED_KEEP + ["PCA_n_lines_n_orders"]
+
+
+@query("reduced_features", f"SELECT id, label, {', '.join(r(c, c) for c in RED_COLS)} FROM {RED_SQL}")
+def q_reduced_features(spark, sf):
+    z, steps = customer_reduced(spark, sf)
+    return rounded(reduction.apply_reduction(z, steps, CF))
+
+
+# ------------------------------------------------------------------ flagship: segment profile
+from segscore.operators import segment  # noqa: E402
+
+
+def customer_segments(spark, sf, k=5, seed=2):
+    z, steps = customer_reduced(spark, sf)
+    red = reduction.apply_reduction(z, steps, CF)
+    cols = reduction.reduced_columns(steps, CF)
+    pw = power.apply_power(red, power.fit_power(red, cols))
+    mm = scalers.apply_minmax(pw, scalers.fit_minmax(pw, cols))
+    model = segment.fit_kmeans(mm, cols, k=k, seed=seed)
+    return segment.assign(mm, model), cols, model
+
+
+@query("segment_profile")
+def q_segment_profile(spark, sf):
+    seg, cols, _ = customer_segments(spark, sf)
+    return rounded(segment.profile(seg, cols[:3]))
