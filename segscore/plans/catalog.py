@@ -337,3 +337,158 @@ def customer_segments(spark, sf, k=5, seed=2):
 def q_segment_profile(spark, sf):
     seg, cols, _ = customer_segments(spark, sf)
     return rounded(segment.profile(seg, cols[:3]))
+
+
+# ------------------------------------------------------------------ metrics
+from segscore.operators import metrics  # noqa: E402
+
+SC_SQL = f"({fx.SCORED_SQL})"
+_CURVE_SQL = f"""WITH s AS {SC_SQL},
+c AS (SELECT {{by}} score AS threshold, CAST(sum(label) AS BIGINT) AS pos, CAST(sum(1 - label) AS BIGINT) AS neg
+      FROM s WHERE score IS NOT NULL GROUP BY {{by}} score),
+t AS (SELECT {{by}} CAST(sum(pos) AS BIGINT) AS "P", CAST(sum(neg) AS BIGINT) AS "N" FROM c {{gb}}),
+run AS (SELECT {{by}} threshold, pos, neg,
+        CAST(sum(pos) OVER (PARTITION BY {{pb}} ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS tp,
+        CAST(sum(neg) OVER (PARTITION BY {{pb}} ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS fp FROM c),
+pr AS (SELECT run.*, "P", "N", CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
+        CASE WHEN "P" > 0 THEN tp / "P" ELSE 1.0 END AS recall FROM run {{tj}})"""
+
+
+def curve_sql(by: str | None = None) -> str:
+    if by:
+        return _CURVE_SQL.format(by=f"{by},", gb=f"GROUP BY {by}", pb=by, tj=f"JOIN t USING ({by})")
+    return _CURVE_SQL.format(by="", gb="", pb="1", tj=", t")
+
+
+@query("pr_curve", curve_sql() + f""" SELECT {r('threshold', 'threshold')}, pos, neg, tp, fp, "P", "N",
+  {r('precision', 'precision')}, {r('recall', 'recall')} FROM pr""")
+def q_pr_curve(spark, sf):
+    return rounded(metrics.pr_curve(fx.scored(spark, sf)))
+
+
+@query("average_precision", curve_sql() + f""" SELECT {r('sum(pos * precision) / any_value("P")', 'average_precision')} FROM pr""")
+def q_average_precision(spark, sf):
+    return rounded(metrics.average_precision(fx.scored(spark, sf)))
+
+
+@query("average_precision_by_segment", curve_sql("segment") + f""" SELECT segment,
+  {r('sum(pos * precision) / any_value("P")', 'average_precision')} FROM pr GROUP BY segment""")
+def q_average_precision_by_segment(spark, sf):
+    return rounded(metrics.average_precision(fx.scored(spark, sf), by=["segment"]))
+
+
+@query("roc_auc", curve_sql() + f""" SELECT {r('sum(pos * (("N" - fp) + 0.5 * neg)) / (any_value("P") * any_value("N"))', 'roc_auc')} FROM pr""")
+def q_roc_auc(spark, sf):
+    return rounded(metrics.roc_auc(fx.scored(spark, sf)))
+
+
+def _best_sql(beta: float, eps: float) -> str:
+    b2 = beta * beta
+    return curve_sql() + f""", f AS (SELECT threshold, precision, recall,
+  {(1 + b2)!r} * precision * recall / ({b2!r} * precision + recall + {eps!r}) AS f FROM pr)
+SELECT {r('threshold', 'threshold')}, {r('precision', 'precision')}, {r('recall', 'recall')}, {r('f', 'f_score')}
+FROM f ORDER BY f DESC, threshold ASC LIMIT 1"""
+
+
+@query("best_f1_threshold", _best_sql(1.0, 1e-10))
+def q_best_f1(spark, sf):
+    return rounded(metrics.best_threshold(fx.scored(spark, sf), beta=1.0, eps=1e-10))
+
+
+@query("best_f2_threshold", _best_sql(2.0, 1e-6))
+def q_best_f2(spark, sf):
+    return rounded(metrics.best_threshold(fx.scored(spark, sf), beta=2.0, eps=1e-6))
+
+
+@query("cost_threshold", curve_sql() + f""" SELECT {r('threshold', 'threshold')}, fp, "P" - tp AS fn,
+  {r('1.0 * fp + 10.0 * ("P" - tp)', 'cost')} FROM pr ORDER BY 1.0 * fp + 10.0 * ("P" - tp), threshold DESC LIMIT 1""")
+def q_cost_threshold(spark, sf):
+    return rounded(metrics.cost_threshold(fx.scored(spark, sf), 1.0, 10.0))
+
+
+_RANK_SQL = f"""WITH s AS {SC_SQL}, rk AS (SELECT id, label,
+  row_number() OVER (ORDER BY score DESC, id) AS rank,
+  CAST(sum(label) OVER (ORDER BY score DESC, id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cum_label FROM s),
+tot AS (SELECT count(*) AS n, sum(label) AS "P" FROM s)"""
+
+
+@query("precision_at_k", f"""WITH s AS {SC_SQL}, rk AS (SELECT label, row_number() OVER (ORDER BY score DESC, id) AS r FROM s)
+SELECT k, {r('sum(label) / k', 'precision_at_k')} FROM rk, (VALUES (5), (10), (20)) v(k) WHERE r <= k GROUP BY k""")
+def q_precision_at_k(spark, sf):
+    return rounded(metrics.precision_at_k(fx.scored(spark, sf)))
+
+
+@query("top_share_flags", _RANK_SQL + f""" SELECT CAST(round_even(0.2 * any_value(n), 0) AS BIGINT) AS top_n,
+  {r('sum(CASE WHEN rank <= round_even(0.2 * n, 0) THEN label ELSE 0 END) / round_even(0.2 * any_value(n), 0)', 'precision_topk')},
+  {r('sum(CASE WHEN rank <= round_even(0.2 * n, 0) THEN label ELSE 0 END) / sum(label)', 'recall_topk')}
+FROM rk, tot""")
+def q_top_share_flags(spark, sf):
+    return rounded(metrics.top_share_flags(fx.scored(spark, sf), 0.2))
+
+
+@query("gain_curve", _RANK_SQL + f""" SELECT rank, cum_label AS gain, {r('cum_label / "P"', 'gain_share')} FROM rk, tot""")
+def q_gain_curve(spark, sf):
+    return rounded(metrics.gain_curve(fx.scored(spark, sf)))
+
+
+@query("ndcg_map", _RANK_SQL + f""" SELECT
+  {r('sum(label / log2(rank + 1.0)) / sum(CASE WHEN rank <= "P" THEN 1.0 / log2(rank + 1.0) END)', 'ndcg')},
+  {r('sum(CASE WHEN label = 1 THEN cum_label / rank END) / any_value("P")', 'map')} FROM rk, tot""")
+def q_ndcg_map(spark, sf):
+    return rounded(metrics.ndcg_map(fx.scored(spark, sf)))
+
+
+@query("log_loss", f"""WITH s AS {SC_SQL}, c AS (SELECT label, least(greatest(p, 1e-15), 1 - 1e-15) AS q FROM s)
+SELECT {r('-avg(label * ln(q) + (1 - label) * ln(1 - q))', 'log_loss')} FROM c""")
+def q_log_loss(spark, sf):
+    return rounded(metrics.log_loss(fx.scored(spark, sf)))
+
+
+_PRED_SQL = f"(SELECT id, segment, label, CAST(score >= 1 AS INTEGER) AS prediction FROM {SC_SQL})"
+
+
+def _pred(spark, sf):
+    s = fx.scored(spark, sf)
+    return s.withColumn("prediction", (F.col("score") >= 1).cast("int"))
+
+
+@query("confusion_matrix", f"SELECT label AS actual, prediction AS predicted, count(*) AS n FROM {_PRED_SQL} GROUP BY 1, 2")
+def q_confusion_matrix(spark, sf):
+    return metrics.confusion(_pred(spark, sf))
+
+
+@query("classification_report", f"""WITH p AS {_PRED_SQL},
+cm AS (SELECT label AS a, prediction AS b, count(*) AS n FROM p GROUP BY 1, 2),
+x AS (SELECT a AS c, CASE WHEN a = b THEN n ELSE 0 END AS tp, 0 AS pred, n AS support FROM cm
+      UNION ALL SELECT b AS c, 0, n, 0 FROM cm),
+per0 AS (SELECT c, sum(tp) AS tp, sum(pred) AS pred, sum(support) AS support FROM x GROUP BY c),
+per AS (SELECT CAST(c AS VARCHAR) AS class, CASE WHEN pred > 0 THEN tp / pred ELSE 0.0 END AS precision,
+        CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall, CAST(support AS BIGINT) AS support, tp FROM per0),
+per2 AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM per),
+allr AS (SELECT class, precision, recall, f1, support FROM per2
+  UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), CAST(sum(support) AS BIGINT) FROM per2
+  UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+                   sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM per2
+  UNION ALL SELECT 'accuracy', NULL, NULL, sum(tp) / sum(support), CAST(sum(support) AS BIGINT) FROM per2)
+SELECT class, {r('precision', 'precision')}, {r('recall', 'recall')}, {r('f1', 'f1')}, support FROM allr""")
+def q_classification_report(spark, sf):
+    return rounded(metrics.classification_report(_pred(spark, sf)))
+
+
+@query("metric_gate", curve_sql("segment") + f""",
+ap AS (SELECT 'segment=' || segment AS model, 'average_precision' AS metric,
+         sum(pos * precision) / any_value("P") AS value FROM pr GROUP BY segment),
+acc AS (SELECT 'classifier' AS model, 'accuracy' AS metric, avg(CASE WHEN label = CAST(score >= 1 AS INTEGER) THEN 1.0 ELSE 0.0 END) AS value FROM s),
+m AS (SELECT * FROM ap UNION ALL SELECT * FROM acc),
+g AS (SELECT * FROM (VALUES ('accuracy', 0.85), ('average_precision', 0.0)) v(metric, gate)),
+rows AS (SELECT model, metric, value, gate, coalesce(value >= gate, false) AS passed FROM m JOIN g USING (metric))
+SELECT model, metric, {r('value', 'value')}, {r('gate', 'gate')}, passed FROM rows
+UNION ALL SELECT 'ALL', 'all', NULL, NULL, bool_and(passed) FROM rows""")
+def q_metric_gate(spark, sf):
+    s = _pred(spark, sf)
+    ap = metrics.average_precision(s, by=["segment"]).select(
+        F.concat(F.lit("segment="), F.col("segment")).alias("model"), F.lit("average_precision").alias("metric"),
+        F.col("average_precision").alias("value"))
+    acc = s.agg(F.lit("classifier").alias("model"), F.lit("accuracy").alias("metric"),
+                F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("value"))
+    return rounded(metrics.metric_gate(ap.unionByName(acc), {"accuracy": 0.85, "average_precision": 0.0}))
