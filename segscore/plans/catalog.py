@@ -492,3 +492,102 @@ def q_metric_gate(spark, sf):
     acc = s.agg(F.lit("classifier").alias("model"), F.lit("accuracy").alias("metric"),
                 F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("value"))
     return rounded(metrics.metric_gate(ap.unionByName(acc), {"accuracy": 0.85, "average_precision": 0.0}))
+
+
+# ------------------------------------------------------------------ splits
+from segscore.operators import split  # noqa: E402
+
+_H = "md5(CAST(id AS VARCHAR) || ':' || '{seed}')"
+
+
+@query("split_fast", f"""SELECT id, label, substr({_H.format(seed=42)}, 1, 8) < '{split.hash_cut(0.2)}' AS is_test FROM {CF_SQL}""")
+def q_split_fast(spark, sf):
+    return split.split_fast(fx.customer_features(spark, sf), 0.2, 42).select("id", "label", "is_test")
+
+
+@query("stratified_split", f"""WITH f AS {CF_SQL}, r AS (SELECT id, label,
+  row_number() OVER (PARTITION BY label ORDER BY {_H.format(seed=42)}, id) AS rk, count(*) OVER (PARTITION BY label) AS n FROM f)
+SELECT id, label, rk <= round_even(0.2 * n, 0) AS is_test FROM r""")
+def q_stratified_split(spark, sf):
+    return split.stratified_split(fx.customer_features(spark, sf), 0.2, 42).select("id", "label", "is_test")
+
+
+@query("stratified_folds", f"""WITH f AS {CF_SQL}
+SELECT id, label, CAST((row_number() OVER (PARTITION BY label ORDER BY {_H.format(seed=42)}, id) - 1) % 5 AS INTEGER) AS fold FROM f""")
+def q_stratified_folds(spark, sf):
+    return split.stratified_folds(fx.customer_features(spark, sf), 5, 42).select("id", "label", "fold")
+
+
+@query("fold_balance", f"""WITH f AS {CF_SQL}, k AS (SELECT label,
+  CAST((row_number() OVER (PARTITION BY label ORDER BY {_H.format(seed=42)}, id) - 1) % 5 AS INTEGER) AS fold FROM f)
+SELECT fold, label, count(*) AS n FROM k GROUP BY fold, label""")
+def q_fold_balance(spark, sf):
+    k = split.stratified_folds(fx.customer_features(spark, sf), 5, 42)
+    return k.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ------------------------------------------------------------------ validation / conform / columns
+from segscore.functions import validation  # noqa: E402
+from segscore.operators import columns  # noqa: E402
+
+
+@query("request_validation", f"""WITH e AS {EV_SQL}, c AS (SELECT id, value, value_c, log_value,
+  list_filter([{", ".join(f"CASE WHEN {c} IS NULL OR isnan({c}) OR NOT ({c} > -1e10 AND {c} < 1e10) THEN '{c}' END" for c in EV)}], lambda x: x IS NOT NULL) AS fl FROM e)
+SELECT id, {", ".join(r(c, c) for c in EV)}, len(fl) = 0 AS valid, array_to_string(fl, ',') AS failed FROM c""")
+def q_request_validation(spark, sf):
+    return rounded(validation.validate(fx.event_values(spark, sf), EV))
+
+
+CANON = ["n_chars", "n_words", "n_urls", "n_lines", "upper_share"]
+
+
+@query("conform_zero_fill", f"""SELECT id, {", ".join(r(c, c) if c in fx.DOC_FEATURES else f"0.0 AS {c}" for c in CANON)}
+FROM ({fx.DOC_FEATURES_SQL})""")
+def q_conform_zero_fill(spark, sf):
+    return rounded(validation.conform(fx.doc_features(spark, sf), CANON, missing="zero"))
+
+
+@query("drop_listed", f"SELECT id, label, {', '.join(r(c, c) for c in CF if c not in ('gross', 'net', 'qty'))} FROM {CF_SQL}")
+def q_drop_listed(spark, sf):
+    df = fx.customer_features(spark, sf)
+    out = columns.drop_strict(df, ["gross", "net", "qty"])
+    return rounded(columns.drop_lenient(out, ["not_a_column"]))
+
+
+@query("threshold_decision", f"SELECT id, CAST(score >= 1 AS INTEGER) AS prediction FROM {SC_SQL}")
+def q_threshold_decision(spark, sf):
+    return fx.scored(spark, sf).select("id", columns.threshold_decision("score", 1.0))
+
+
+@query("class_ratio_weight", f"SELECT {r('sum(CASE WHEN label = 0 THEN 1 ELSE 0 END) / sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) * 1.5', 'pos_weight')} FROM {CF_SQL}")
+def q_class_ratio_weight(spark, sf):
+    return rounded(columns.class_ratio_weight(fx.customer_features(spark, sf)))
+
+
+# ------------------------------------------------------------------ joins, previews
+@query("label_join", """SELECT d.doc_id, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""")
+def q_label_join(spark, sf):
+    from segscore.sources.tables import read_table
+    d = read_table(spark, sf, "documents").select("doc_id")
+    lab = read_table(spark, sf, "labels").select("doc_id", "quality", "toxic")
+    # sizes of both sides grow with the data: Catalyst/AQE choose the join
+    return d.join(lab, "doc_id", "left")
+
+
+@query("keyed_zip", f"""WITH f AS {CF_SQL}, s AS {SC_SQL}
+SELECT f.id, f.label, {r('f.ret_rate', 'ret_rate')}, {r('s.score', 'score')} FROM f JOIN s ON s.id = f.id""")
+def q_keyed_zip(spark, sf):
+    f = fx.customer_features(spark, sf).select("id", "label", "ret_rate")
+    s = fx.scored(spark, sf).select("id", "score")
+    return rounded(f.join(s, "id"))
+
+
+@query("head_preview", f"SELECT id, label, {', '.join(r(c, c) for c in CF)} FROM {CF_SQL} ORDER BY id LIMIT 5")
+def q_head_preview(spark, sf):
+    return rounded(fx.customer_features(spark, sf).orderBy("id").limit(5))
+
+
+@query("positional_sample", f"SELECT id, label, {', '.join(r(c, c) for c in CF)} FROM {CF_SQL} ORDER BY id LIMIT 1 OFFSET 1")
+def q_positional_sample(spark, sf):
+    from segscore.sources.tables import positional_row
+    return rounded(positional_row(fx.customer_features(spark, sf), "id", 2))
