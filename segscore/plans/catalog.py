@@ -591,3 +591,91 @@ def q_head_preview(spark, sf):
 def q_positional_sample(spark, sf):
     from segscore.sources.tables import positional_row
     return rounded(positional_row(fx.customer_features(spark, sf), "id", 2))
+
+
+# ------------------------------------------------------------------ kNN and resamplers
+from segscore.operators import knn as knn_op  # noqa: E402
+from segscore.operators import resample  # noqa: E402
+
+DF = fx.DOC_FEATURES
+DOCS_SQL = f"({fx.DOC_FEATURES_SQL})"
+
+
+def _hu_sql(*parts: str) -> str:
+    cat = " || ':' || ".join(f"CAST({p} AS VARCHAR)" for p in parts)
+    return f"(CAST(('0x' || substr(md5({cat}), 1, 8)) AS BIGINT) / 4294967296.0)"
+
+
+@query("knn_minority", f"""SELECT qid, nid, CAST(rank AS INTEGER) AS rank, {r('dist', 'dist')} FROM
+{knn_op.knn_bruteforce_sql(f"(SELECT * FROM {DOCS_SQL} WHERE label = 1)", DF, 5)}""")
+def q_knn_minority(spark, sf):
+    d = fx.doc_features(spark, sf).filter("label = 1")
+    return rounded(knn_op.knn(d, DF, 5).select("qid", "nid", F.col("rank").cast("int"), "dist"))
+
+
+@query("knn_all", f"""SELECT qid, nid, CAST(rank AS INTEGER) AS rank, {r('dist', 'dist')} FROM
+{knn_op.knn_bruteforce_sql(DOCS_SQL, DF, 3)}""")
+def q_knn_all(spark, sf):
+    return rounded(knn_op.knn(fx.doc_features(spark, sf), DF, 3).select("qid", "nid", F.col("rank").cast("int"), "dist"))
+
+
+def _smote_sql(src: str, feats: list[str], k: int, seed: int) -> str:
+    nn = knn_op.knn_bruteforce_sql(f"(SELECT * FROM {src} WHERE label = 1)", feats, k)
+    pick = f"md5(CAST(id AS VARCHAR) || ':' || '{seed}' || ':' || 'pick')"
+    return f"""WITH d AS {src},
+cc AS (SELECT sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS n_min, sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS n_maj FROM d),
+mn AS (SELECT id, row_number() OVER (ORDER BY {pick}, id) AS rk FROM d WHERE label = 1),
+cnt AS (SELECT id AS src_id, CAST((n_maj - n_min) // n_min + CASE WHEN rk <= (n_maj - n_min) % n_min THEN 1 ELSE 0 END AS BIGINT) AS cnt FROM mn, cc),
+rows AS (SELECT src_id, j AS syn_j FROM cnt, range(0, cnt) t(j)),
+u AS (SELECT src_id, syn_j,
+        CAST(floor({_hu_sql('src_id', 'syn_j', f"'{seed}'", "'nn'")} * least({k}, (SELECT n_min FROM cc) - 1)) + 1 AS INTEGER) AS rank,
+        {_hu_sql('src_id', 'syn_j', f"'{seed}'", "'gap'")} AS gap FROM rows),
+nn AS {nn}
+SELECT u.src_id, CAST(u.syn_j AS BIGINT) AS syn_j, {", ".join(r(f"a.{f} + gap * (b.{f} - a.{f})", f) for f in feats)}
+FROM u JOIN nn ON nn.qid = u.src_id AND nn.rank = u.rank JOIN d a ON a.id = u.src_id JOIN d b ON b.id = nn.nid"""
+
+
+@query("smote_synthetic", _smote_sql(DOCS_SQL, DF, 5, 42))
+def q_smote_synthetic(spark, sf):
+    syn = resample.smote_synthetic(fx.doc_features(spark, sf), DF, 5, 42)
+    return rounded(syn.select("src_id", "syn_j", *DF))
+
+
+@query("smote_class_counts", f"""WITH d AS {DOCS_SQL}, c AS (SELECT count(*) AS n FROM d WHERE label = 0)
+SELECT 0 AS label, n AS n FROM c UNION ALL SELECT 1, n FROM c""")
+def q_smote_class_counts(spark, sf):
+    s = resample.smote(fx.doc_features(spark, sf), DF, 5, 42)
+    return s.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("adasyn_class_counts")
+def q_adasyn_class_counts(spark, sf):
+    s = resample.adasyn(fx.doc_features(spark, sf), DF, 5, 42)
+    return s.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("smote_enn_counts")
+def q_smote_enn_counts(spark, sf):
+    s = resample.smote_enn(fx.doc_features(spark, sf), DF, 5, 42)
+    return s.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("smote_tomek_counts")
+def q_smote_tomek_counts(spark, sf):
+    s = resample.smote_tomek(fx.doc_features(spark, sf), DF, 5, 42)
+    return s.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("enn_clean", f"""WITH d AS {CF_SQL}, nn AS {knn_op.knn_bruteforce_sql(CF_SQL, CF, 3)},
+bad AS (SELECT DISTINCT nn.qid FROM nn JOIN d a ON a.id = nn.qid JOIN d b ON b.id = nn.nid WHERE a.label <> b.label)
+SELECT id, label FROM d WHERE id NOT IN (SELECT qid FROM bad)""")
+def q_enn_clean(spark, sf):
+    return resample.edited_nn(fx.customer_features(spark, sf), CF, 3).select("id", "label")
+
+
+@query("tomek_clean", f"""WITH d AS {CF_SQL}, nn AS {knn_op.knn_bruteforce_sql(CF_SQL, CF, 1)},
+link AS (SELECT a.qid AS x FROM nn a JOIN nn b ON a.qid = b.nid AND a.nid = b.qid
+         JOIN d da ON da.id = a.qid JOIN d db ON db.id = a.nid WHERE da.label <> db.label)
+SELECT id, label FROM d WHERE id NOT IN (SELECT x FROM link)""")
+def q_tomek_clean(spark, sf):
+    return resample.tomek_clean(fx.customer_features(spark, sf), CF).select("id", "label")
