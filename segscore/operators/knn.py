@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from segscore.functions.scalar import nan_to_null, qcol
 from segscore.operators.correlation import pair_sums_matrix
 from segscore.operators.ranking import global_running
+from segscore.session import cut_lineage
 
 
 def principal_direction(df: DataFrame, features: list[str]) -> np.ndarray:
@@ -61,6 +62,30 @@ def _count_le(bounds: DataFrame, bound_col: str, probes: DataFrame, probe_col: s
     return run.filter(F.col("_w") == 0).select(key, F.col("cum__w").alias("cnt"))
 
 
+MAX_BROADCAST_BLOCKS = 200_000
+
+
+def _lookup_broadcast(need: DataFrame, blocks: DataFrame) -> DataFrame:
+    """lo_b = #blocks with t_hi ≤ lo_t, hi_b = #blocks with t_lo < hi_t − 1,
+    by ``searchsorted`` against the broadcast block bounds."""
+    import pandas as pd
+    b = blocks.orderBy("b").collect()
+    t_hi = np.array([r["t_hi"] for r in b], dtype="float64")
+    t_lo = np.array([r["t_lo"] for r in b], dtype="float64")
+    bc = need.sparkSession.sparkContext.broadcast((t_lo, t_hi))
+
+    def look(it):
+        lo_a, hi_a = bc.value
+        for pdf in it:
+            yield pd.DataFrame({
+                "qid": pdf["qid"], "qb": pdf["qb"],
+                "lo_b": np.searchsorted(hi_a, pdf["lo_t"].to_numpy(), side="right").astype("int64"),
+                "hi_b": (np.searchsorted(lo_a, pdf["hi_t"].to_numpy(), side="left") - 1).astype("int64"),
+            })
+
+    return need.mapInPandas(look, "qid long, qb long, lo_b long, hi_b long")
+
+
 def knn(df: DataFrame, features: list[str], k: int, id_col: str = "id", query: Column | None = None,
         block: int = 256) -> DataFrame:
     """``(qid, nid, rank, dist)`` — the k nearest other rows of ``df`` for each
@@ -99,16 +124,22 @@ def knn(df: DataFrame, features: list[str], k: int, id_col: str = "id", query: C
     #    hi = #blocks with t_lo < hi_t − 1 (blocks are numbered in t order)
     blocks = pts.groupBy("b").agg(F.min("t").alias("t_lo"), F.max("t").alias("t_hi"))
     need = qd.filter((F.col("lo_t") < F.col("hi_t")))
-    lo = _count_le(blocks, "t_hi", need, "lo_t", "qid", bounds_first=True).withColumnRenamed("cnt", "lo_b")
-    hi = _count_le(blocks, "t_lo", need, "hi_t", "qid", bounds_first=False).withColumnRenamed("cnt", "hi_n")
-    rng = need.join(lo, "qid").join(hi, "qid").select("qid", "qb", "lo_b", (F.col("hi_n") - 1).alias("hi_b"))
+    n_blocks = blocks.count()
+    if n_blocks <= MAX_BROADCAST_BLOCKS:
+        # bounded (checked above): two sorted arrays, binary search per batch
+        rng = _lookup_broadcast(need, blocks)
+    else:
+        lo = _count_le(blocks, "t_hi", need, "lo_t", "qid", bounds_first=True).withColumnRenamed("cnt", "lo_b")
+        hi = _count_le(blocks, "t_lo", need, "hi_t", "qid", bounds_first=False).withColumnRenamed("cnt", "hi_n")
+        rng = need.join(lo, "qid").join(hi, "qid").select("qid", "qb", "lo_b", (F.col("hi_n") - 1).alias("hi_b"))
     rng = rng.filter((F.col("lo_b") < F.col("qb") - 1) | (F.col("hi_b") > F.col("qb") + 1))
     far_b = F.explode(F.sequence(F.col("lo_b"), F.greatest(F.col("hi_b"), F.col("lo_b")))).alias("b")
     req = rng.select("qid", "qb", far_b).filter((F.col("b") < F.col("qb") - 1) | (F.col("b") > F.col("qb") + 1))
     c2 = (req.join(ref, "b").join(q.drop("qb", "qt"), "qid")
           .filter(F.col("qid") != F.col("nid")).select("qid", "nid", _dist(qx, rx).alias("dist")))
     allc = top1.select("qid", "nid", "dist").unionByName(c2)
-    return allc.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    # materialised: callers join it several times, and its plan is long
+    return cut_lineage(allc.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k))
 
 
 def knn_bruteforce_sql(src: str, features: list[str], k: int, query_pred: str = "TRUE", ref_pred: str = "TRUE") -> str:

@@ -26,18 +26,32 @@ def _sorted_tagged(df: DataFrame, order: list[Column]) -> DataFrame:
     return cut_lineage(s)
 
 
+# Up to this many rows a plain window (one task per group, or one task) is
+# cheaper than a distributed sort plus checkpoint, and bounded by the check.
+LOCAL_ROWS = 2_000_000
+
+
 def global_running(
     df: DataFrame,
     order: list[Column],
     values: list[str] = (),
     partition_by: list[str] = (),
     rank_col: str = "_rank",
+    local_rows: int | None = None,
 ) -> DataFrame:
     """Adds ``rank_col`` (1-based position in ``order``) and ``cum_<v>``
     (inclusive running sum) for each value column, optionally restarted per
     ``partition_by`` group. ``order`` must end in a unique key."""
     values = list(values)
     partition_by = list(partition_by)
+    limit = LOCAL_ROWS if local_rows is None else local_rows
+    if limit > 0 and df.limit(limit + 1).count() <= limit:
+        w = Window.partitionBy(*partition_by).orderBy(*order) if partition_by else Window.orderBy(*order)
+        out = df.withColumn(rank_col, F.row_number().over(w))
+        wr = w.rowsBetween(Window.unboundedPreceding, 0)
+        for v in values:
+            out = out.withColumn(f"cum_{v}", F.sum(F.col(v)).over(wr))
+        return out
     s = _sorted_tagged(df, [F.col(c).asc() for c in partition_by] + list(order))
 
     # per-partition totals → exclusive prefix offsets (one row per partition)

@@ -28,6 +28,7 @@ from segscore.functions.scalar import qcol
 from segscore.operators.knn import knn
 from segscore.operators.ranking import global_running
 from segscore.operators.stats import hash_uniform
+from segscore.session import cut_lineage
 
 CHUNK = 10_000
 
@@ -102,7 +103,7 @@ def smote(df: DataFrame, features: list[str], k: int = 5, seed: int = 42, label:
     """M13 + U3: originals ∪ synthetic minority rows."""
     orig = _with_flags(df, features, label, id_col)
     syn = smote_synthetic(df, features, k, seed, label, id_col, minority)
-    return orig if syn is None else orig.unionByName(syn)
+    return orig if syn is None else cut_lineage(orig.unionByName(syn))
 
 
 def adasyn(df: DataFrame, features: list[str], k: int = 5, seed: int = 42, label: str = "label",
@@ -126,7 +127,7 @@ def adasyn(df: DataFrame, features: list[str], k: int = 5, seed: int = 42, label
     k_eff = min(k, n_min - 1)
     minor = df.filter(qcol(label) == minority)
     nn = knn(minor, features, k_eff, id_col=id_col)
-    return orig.unionByName(_generate(df, features, counts, nn, k_eff, seed, label, id_col, minority))
+    return cut_lineage(orig.unionByName(_generate(df, features, counts, nn, k_eff, seed, label, id_col, minority)))
 
 
 def edited_nn(df: DataFrame, features: list[str], k: int = 3, label: str = "label", id_col: str = "id") -> DataFrame:
