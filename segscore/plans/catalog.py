@@ -679,3 +679,228 @@ link AS (SELECT a.qid AS x FROM nn a JOIN nn b ON a.qid = b.nid AND a.nid = b.qi
 SELECT id, label FROM d WHERE id NOT IN (SELECT x FROM link)""")
 def q_tomek_clean(spark, sf):
     return resample.tomek_clean(fx.customer_features(spark, sf), CF).select("id", "label")
+
+
+# ------------------------------------------------------------------ learners, searches, importances (rows-only)
+from segscore.operators import learners as L  # noqa: E402
+from segscore.plans import recipes as RC  # noqa: E402
+from segscore.plans import training  # noqa: E402
+from segscore.session import ensure_checkpoint_dir  # noqa: E402
+
+
+def _docs_split(spark, sf):
+    d = split.stratified_split(fx.doc_features(spark, sf), 0.2, 42)
+    return d.filter(~F.col("is_test")).drop("is_test"), d.filter(F.col("is_test")).drop("is_test")
+
+
+@query("gbt_binary_scores")
+def q_gbt_binary_scores(spark, sf):
+    """M18 + F12: class-weighted boosted trees, scored on the held-out 20 %."""
+    tr, te = _docs_split(spark, sf)
+    tr = L.add_class_weight(tr, 1.5)
+    m = L.boosted_binary(max_iter=20, max_depth=3, weight=True).fit(L.assemble(tr, DF))
+    return rounded(L.positive_score(m.transform(L.assemble(te, DF))).select("id", "label", "score"))
+
+
+@query("multiclass_cv_metrics")
+def q_multiclass_cv_metrics(spark, sf):
+    """M17 + M8 + M11 + A15 on the 10-class embedding table."""
+    e = split.stratified_folds(fx.embedding_features(spark, sf), 5, 42)
+    return rounded(L.cross_validate(L.random_forest(50, 8), L.assemble(e, EMB, keep=["id", "label", "fold"])))
+
+
+@query("ovr_boosted_cv_metrics")
+def q_ovr_boosted_cv_metrics(spark, sf):
+    """M17 as one boosted binary model per class (one-vs-rest)."""
+    e = split.stratified_folds(fx.embedding_features(spark, sf).filter("label < 3"), 3, 42)
+    return rounded(L.cross_validate(L.boosted_multiclass(max_iter=5), L.assemble(e, EMB[:16], keep=["id", "label", "fold"]), k=3))
+
+
+@query("feature_importance_top")
+def q_feature_importance_top(spark, sf):
+    """A26 + K2: impurity importances, top 28."""
+    e = fx.embedding_features(spark, sf)
+    m = L.random_forest(50, 8).fit(L.assemble(e, EMB))
+    return rounded(L.importances(m, EMB).limit(28))
+
+
+@query("multiclass_log_loss")
+def q_multiclass_log_loss(spark, sf):
+    """A25 (multi-class) on held-out embedding rows."""
+    e = split.stratified_split(fx.embedding_features(spark, sf), 0.2, 42)
+    m = L.random_forest(50, 8).fit(L.assemble(e.filter(~F.col("is_test")), EMB))
+    p = m.transform(L.assemble(e.filter("is_test"), EMB))
+    return rounded(metrics.multiclass_log_loss(p))
+
+
+@query("grid_search_cv")
+def q_grid_search_cv(spark, sf):
+    """M9: full grid, stratified fold column, exact-AP evaluator."""
+    d = split.stratified_folds(fx.doc_features(spark, sf), 3, 42)
+    est = L.boosted_binary(max_iter=10)
+    maps = L.grid(est, {"maxDepth": [2, 3], "stepSize": [0.1, 0.3]})
+    cv = L.cross_validator(est, maps, L.AveragePrecisionEvaluator(), parallelism=4).fit(L.assemble(d, DF, keep=["id", "label", "fold"]))
+    rows = [(int(pm[est.getParam("maxDepth")]), float(pm[est.getParam("stepSize")]), float(m))
+            for pm, m in zip(maps, cv.avgMetrics)]
+    return rounded(spark.createDataFrame(rows, "maxDepth int, stepSize double, average_precision double"))
+
+
+@query("random_search_cv")
+def q_random_search_cv(spark, sf):
+    """Seeded random draws over int/uniform/list spaces."""
+    d = split.stratified_folds(fx.doc_features(spark, sf), 3, 42)
+    est = L.boosted_binary(max_iter=10)
+    maps = L.random_grid(est, {"maxDepth": ("int", 2, 5), "stepSize": ("uniform", 0.05, 0.3)}, 3, seed=42)
+    cv = L.cross_validator(est, maps, L.AveragePrecisionEvaluator(), parallelism=3).fit(L.assemble(d, DF, keep=["id", "label", "fold"]))
+    best, score = L.best_params(cv, maps)
+    return rounded(spark.createDataFrame([(int(best["maxDepth"]), float(best["stepSize"]), score)],
+                                         "maxDepth int, stepSize double, average_precision double"))
+
+
+@query("oof_scores_smote")
+def q_oof_scores_smote(spark, sf):
+    """SMOTE inside each training fold, one score per input row."""
+    d = split.stratified_folds(fx.doc_features(spark, sf), 5, 42)
+    res = lambda t: resample.smote(t.drop("fold"), DF).drop("synthetic", "src_id", "syn_j")
+    return rounded(L.out_of_fold_scores(L.boosted_binary(max_iter=10), d, DF, 5, resampler=res))
+
+
+@query("permutation_importance")
+def q_permutation_importance(spark, sf):
+    """MLP on standardised features, 5 seeded permutations per column."""
+    tr, _ = _docs_split(spark, sf)
+    z = scalers.apply_standard(tr, scalers.fit_standard(tr, DF))
+    m = L.mlp(len(DF), 16, max_iter=100).fit(L.assemble(z, DF))
+    return rounded(L.permutation_importance(m, z, DF, repeats=5, seed=42))
+
+
+@query("feature_union")
+def q_feature_union(spark, sf):
+    """M28 + K3 + U2: forest ∪ boosted ∪ MLP-permutation top-3 sets."""
+    tr, _ = _docs_split(spark, sf)
+    rf = L.random_forest(50, 6).fit(L.assemble(tr, DF))
+    gb = L.boosted_binary(max_iter=10).fit(L.assemble(tr, DF))
+    z = scalers.apply_standard(tr, scalers.fit_standard(tr, DF))
+    mp = L.mlp(len(DF), 16, max_iter=100).fit(L.assemble(z, DF))
+    sets = [L.top_features(L.importances(rf, DF), 3), L.top_features(L.importances(gb, DF), 3),
+            L.top_features(L.permutation_importance(mp, z, DF, repeats=2), 3)]
+    return spark.createDataFrame([(f,) for f in L.feature_union(sets)], "feature string")
+
+
+@query("stacking_scores")
+def q_stacking_scores(spark, sf):
+    """Out-of-fold base scores + passthrough features → logistic meta."""
+    tr, te = _docs_split(spark, sf)
+    tr = split.stratified_folds(tr, 5, 42)
+    bases = [L.random_forest(20, 5), L.mlp(len(DF), 16, max_iter=100), L.boosted_binary(max_iter=10)]
+    st = L.fit_stack(bases, L.logistic(), tr, DF, k=5)
+    return rounded(L.positive_score(st.transform(te)).select("id", "label", "score"))
+
+
+@query("resampling_pipeline_scores")
+def q_resampling_pipeline_scores(spark, sf):
+    """SMOTE-Tomek → scaler → boosted trees; scoring skips resampling."""
+    tr, te = _docs_split(spark, sf)
+    res = lambda t: resample.smote_tomek(t, DF).drop("synthetic", "src_id", "syn_j")
+    chain = L.ResamplingPipeline(DF, L.boosted_binary(max_iter=10), res, scale="after").fit(tr)
+    return rounded(chain.transform(te).select("id", "label", "score"))
+
+
+@query("ranker_scores")
+def q_ranker_scores(spark, sf):
+    """M19 (re-aimed): boosted regression on the 0/1 label as ranking score."""
+    tr, te = _docs_split(spark, sf)
+    m = L.pointwise_ranker(max_iter=20, max_depth=3).fit(L.assemble(tr, DF))
+    return rounded(m.transform(L.assemble(te, DF)).select("id", "label", F.col("prediction").alias("score")))
+
+
+@query("feature_regression")
+def q_feature_regression(spark, sf):
+    """M25 (re-aimed): one feature regressed on another (max_line on gross)."""
+    c = fx.customer_features(spark, sf)
+    m = L.boosted_regressor("max_line", max_iter=20).fit(L.assemble(c, ["gross"], keep=["id", "max_line"]))
+    return rounded(m.transform(L.assemble(c, ["gross"], keep=["id", "max_line"])).select("id", "max_line", "prediction"))
+
+
+@query("linear_contributions")
+def q_linear_contributions(spark, sf):
+    """Per-row contributions w_j·(x_j − μ_j) of a logistic model."""
+    tr, te = _docs_split(spark, sf)
+    z = scalers.fit_standard(tr, DF)
+    ztr, zte = scalers.apply_standard(tr, z), scalers.apply_standard(te, z)
+    m = L.logistic(200).fit(L.assemble(ztr, DF))
+    w = m.coefficients.toArray()
+    mu = {r["feature"]: r["mean"] for r in stats.moments(ztr, DF).collect()}
+    return rounded(zte.select("id", *[(F.lit(float(wi)) * (qcol(f) - F.lit(mu[f]))).alias(f"contrib_{f}")
+                                      for wi, f in zip(w, DF)]))
+
+
+@query("collinearity")
+def q_collinearity(spark, sf):
+    """A29 + A30: VIF per feature and the condition number of the correlation
+    matrix (p×p on the driver, from the one-pass pair sums)."""
+    import numpy as np
+    r = corr.corr_from_sums(corr.pair_sums_matrix(fx.customer_features(spark, sf), CF))
+    r = np.nan_to_num(r, nan=0.0) + np.eye(len(CF)) * 1e-12
+    np.fill_diagonal(r, 1.0)
+    inv = np.linalg.pinv(r)
+    ev = np.linalg.eigvalsh(r)
+    cond = float(np.sqrt(ev.max() / max(ev.min(), 1e-300)))
+    rows = [(f, float(inv[i, i]), cond) for i, f in enumerate(CF)]
+    return rounded(spark.createDataFrame(rows, "feature string, vif double, condition_number double"), 3)
+
+
+# ------------------------------------------------------------------ full flow
+_TRAINED: dict = {}
+
+
+def trained_flow(spark, sf):
+    key = (id(spark), sf)
+    if key not in _TRAINED:
+        df = fx.customer_features(spark, sf)
+        _TRAINED[key] = (df, training.fit_all(df, CF, RC.small_recipes()))
+    return _TRAINED[key]
+
+
+@query("risk_scores")
+def q_risk_scores(spark, sf):
+    df, t = trained_flow(spark, sf)
+    return rounded(training.score(df, t))
+
+
+@query("risk_gate")
+def q_risk_gate(spark, sf):
+    _, t = trained_flow(spark, sf)
+    return rounded(training.gate(t, RC.GATE_ACCURACY, RC.GATE_AVERAGE_PRECISION))
+
+
+@query("metric_log")
+def q_metric_log(spark, sf):
+    _, t = trained_flow(spark, sf)
+    return t.metric_log.select("model", "kind", "key")
+
+
+@query("segment_partitions")
+def q_segment_partitions(spark, sf):
+    """S4 + F5: segments written partitioned by ``cluster``; reading one
+    segment back prunes to its directory."""
+    import uuid as _u
+    seg, cols, _ = customer_segments(spark, sf)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/segments-{_u.uuid4().hex[:8]}"
+    from segscore.sources.tables import write_by_segment
+    write_by_segment(seg.select("id", "label", "cluster", *cols), path)
+    back = spark.read.parquet(path)
+    return back.filter(F.col("cluster") == 0).select("id", "label", "cluster")
+
+
+@query("stream_scores")
+def q_stream_scores(spark, sf):
+    """The scored rows that the streaming job wrote, batch by batch."""
+    import uuid as _u
+    from segscore.streaming.score_stream import score_stream
+    df, t = trained_flow(spark, sf)
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{_u.uuid4().hex[:8]}"
+    df.select("id", *CF).repartition(4).write.parquet(f"{base}/in")
+    q = score_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", CF, lambda d: training.score(d, t))
+    q.awaitTermination()
+    return rounded(spark.read.parquet(f"{base}/out/scored").drop("batch"))
