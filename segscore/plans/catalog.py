@@ -282,7 +282,10 @@ def q_power_transform(spark, sf):
 
 # ------------------------------------------------------------------ correlation reduction
 def customer_reduced(spark, sf, lo=0.8, hi=0.95):
-    df = fx.customer_features(spark, sf)
+    # the fit makes several passes: materialise the (one row per customer)
+    # feature table once instead of re-aggregating lineitem for each pass
+    from segscore.session import cut_lineage
+    df = cut_lineage(fx.customer_features(spark, sf))
     z = scalers.apply_standard(df, scalers.fit_standard(df, CF))
     steps = reduction.fit_reduction(z, CF, lo, hi)
     return z, steps
@@ -324,11 +327,12 @@ from segscore.operators import segment  # noqa: E402
 
 
 def customer_segments(spark, sf, k=5, seed=2):
+    from segscore.session import cut_lineage
     z, steps = customer_reduced(spark, sf)
     red = reduction.apply_reduction(z, steps, CF)
     cols = reduction.reduced_columns(steps, CF)
     pw = power.apply_power(red, power.fit_power(red, cols))
-    mm = scalers.apply_minmax(pw, scalers.fit_minmax(pw, cols))
+    mm = cut_lineage(scalers.apply_minmax(pw, scalers.fit_minmax(pw, cols)))
     model = segment.fit_kmeans(mm, cols, k=k, seed=seed)
     return segment.assign(mm, model), cols, model
 
