@@ -98,6 +98,8 @@ def knn(df: DataFrame, features: list[str], k: int, id_col: str = "id", query: C
         (query if query is not None else F.lit(True)).alias("_isq"),
         *[nan_to_null(qcol(f).cast("double")).alias(c) for f, c in zip(features, fx)],
     ).na.drop(subset=fx)
+    # several passes read the projected points: materialise them once
+    base = cut_lineage(base)
     u = principal_direction(base, fx)
     t = sum((F.lit(float(w)) * F.col(c) for w, c in zip(u, fx)), F.lit(0.0))
     pts = global_running(base.withColumn("t", t), [F.col("t").asc(), F.col("pid").asc()], rank_col="_r")

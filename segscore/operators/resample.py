@@ -85,6 +85,7 @@ def _class_counts(df: DataFrame, label: str, minority: int) -> tuple[int, int]:
 
 def smote_synthetic(df: DataFrame, features: list[str], k: int = 5, seed: int = 42, label: str = "label",
                     id_col: str = "id", minority: int = 1) -> DataFrame | None:
+    df = cut_lineage(df.select(qcol(id_col), qcol(label), *[qcol(f) for f in features]))
     n_min, n_maj = _class_counts(df, label, minority)
     g = n_maj - n_min
     if g <= 0:
@@ -109,6 +110,7 @@ def smote(df: DataFrame, features: list[str], k: int = 5, seed: int = 42, label:
 def adasyn(df: DataFrame, features: list[str], k: int = 5, seed: int = 42, label: str = "label",
            id_col: str = "id", minority: int = 1) -> DataFrame:
     """Density-weighted counts, minority-neighbour interpolation."""
+    df = cut_lineage(df.select(qcol(id_col), qcol(label), *[qcol(f) for f in features]))
     orig = _with_flags(df, features, label, id_col)
     n_min, n_maj = _class_counts(df, label, minority)
     g = n_maj - n_min

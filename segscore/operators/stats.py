@@ -27,6 +27,14 @@ def long_values(df: DataFrame, features: list[str], keep: list[str] = ("id",)) -
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Before a per-row fan-out (grid joins), make sure the rows sit in at
+    least ``defaultParallelism`` partitions: a single-row-group file would
+    otherwise put all the expanded work in one task."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def class_distribution(df: DataFrame, label: str = "label") -> DataFrame:
     """A3."""
     return df.groupBy(qcol(label).alias(label)).agg(F.count(F.lit(1)).alias("n"))
@@ -145,7 +153,7 @@ def kde(df: DataFrame, features: list[str], points: int = 64) -> DataFrame:
     ).select("feature", "n", "k", "h",
              (F.col("mn") + F.col("k") * (F.col("mx") - F.col("mn")) / F.lit(float(points - 1))).alias("x"))
     z = (F.col("x") - F.col("value")) / F.col("h")
-    dens = lv.join(F.broadcast(grid), "feature").groupBy("feature", "k", "x", "n", "h").agg(
+    dens = spread(lv).join(F.broadcast(grid), "feature").groupBy("feature", "k", "x", "n", "h").agg(
         F.sum(F.exp(-0.5 * z * z)).alias("s")
     )
     return dens.select(

@@ -908,3 +908,43 @@ def q_stream_scores(spark, sf):
     q = score_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", CF, lambda d: training.score(d, t))
     q.awaitTermination()
     return rounded(spark.read.parquet(f"{base}/out/scored").drop("batch"))
+
+
+# ------------------------------------------------------------------ sources round trips
+@query("csv_roundtrip", f"SELECT id, label, {', '.join(r(c, c) for c in CF)} FROM {CF_SQL}")
+def q_csv_roundtrip(spark, sf):
+    """S3 → S1 + S2: written as CSV with blank-padded header names, read back
+    with an explicit schema (no inference) and the names trimmed."""
+    import uuid as _u
+    from segscore.sources.tables import feature_schema, read_csv_table, write_table
+    df = fx.customer_features(spark, sf)
+    padded = df.toDF(*[f"  {c} " for c in df.columns])
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-{_u.uuid4().hex[:8]}"
+    write_table(padded, path, fmt="csv")
+    schema = feature_schema("id", "label", CF)
+    schema = T.StructType([T.StructField(f"  {f.name} ", f.dataType) for f in schema.fields])
+    return rounded(read_csv_table(spark, path, schema))
+
+
+@query("params_roundtrip", f"""WITH f AS {CF_SQL} {" UNION ALL ".join(
+    f"SELECT {i} AS pos, '{c}' AS feature, {rnd(f'avg({c})')} AS mean, {rnd(f'stddev_pop({c})')} AS std FROM f"
+    for i, c in enumerate(CF))}""")
+def q_params_roundtrip(spark, sf):
+    """A fitted parameter table saved as Parquet and loaded back."""
+    import uuid as _u
+    from segscore.sources.tables import load_params, save_params
+    p = scalers.fit_standard(fx.customer_features(spark, sf), CF)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/params-{_u.uuid4().hex[:8]}"
+    save_params(p, path)
+    return rounded(load_params(spark, path))
+
+
+@query("cluster_classifier_confusion")
+def q_cluster_classifier_confusion(spark, sf):
+    """M26 + A13: predicted segment (classifier on the top features) against
+    the KMeans segment on the training rows."""
+    df, t = trained_flow(spark, sf)
+    g = training.apply_global(df, t.prep)
+    km = segment.assign(g, t.segmenter).select("id", F.col("cluster").alias("actual"))
+    pr = t.classifier.transform(g).select("id", F.col("cluster").alias("predicted"))
+    return metrics.confusion(km.join(pr, "id"), "actual", "predicted")
