@@ -118,14 +118,18 @@ def adasyn(df: DataFrame, features: list[str], k: int = 5, seed: int = 42, label
         return orig
     allnn = knn(df, features, k, id_col=id_col, query=qcol(label) == minority)
     lab = df.select(qcol(id_col).alias("nid"), qcol(label).alias("_nl"))
-    ratio = allnn.join(lab, "nid").groupBy("qid").agg(
-        (F.sum((F.col("_nl") != minority).cast("double")) / F.lit(float(k))).alias("ratio"))
-    total = ratio.agg(F.sum("ratio")).collect()[0][0] or 0.0
+    # majority neighbours per minority point, as an integer m_i; the share
+    # m_i / Σm is the density ratio, and counts are round-half-even of
+    # m_i·G/Σm computed exactly in integers
+    m = allnn.join(lab, "nid").groupBy("qid").agg(F.sum((F.col("_nl") != minority).cast("long")).alias("m"))
+    total = int(m.agg(F.sum("m")).collect()[0][0] or 0)
     if total <= 0:
         warnings.warn("ADASYN: no minority point has a majority neighbour; input returned unchanged")
         return orig
-    counts = ratio.select(F.col("qid").alias("src_id"),
-                          F.bround(F.col("ratio") / F.lit(total) * F.lit(float(g)), 0).cast("long").alias("cnt"))
+    num = F.col("m") * F.lit(g)
+    q, rem = F.floor(num / F.lit(total)).cast("long"), num % F.lit(total)
+    up = F.when(2 * rem > total, 1).when((2 * rem == total) & (q % 2 == 1), 1).otherwise(0)
+    counts = m.select(F.col("qid").alias("src_id"), (q + up).cast("long").alias("cnt"))
     k_eff = min(k, n_min - 1)
     minor = df.filter(qcol(label) == minority)
     nn = knn(minor, features, k_eff, id_col=id_col)

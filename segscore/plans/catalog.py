@@ -203,7 +203,7 @@ SCATTER = ["qty", "gross", "ret_rate"]
 
 @query("scatter_sample", f"""
 SELECT id, label, {", ".join(r(c, c) for c in SCATTER)} FROM {CF_SQL}
-WHERE CAST(('0x' || substr(md5(CAST(id AS VARCHAR) || ':' || '7'), 1, 8)) AS BIGINT) / 4294967296.0 < 0.2""")
+WHERE CAST(CAST(('0x' || substr(md5(CAST(id AS VARCHAR) || ':' || '7'), 1, 8)) AS BIGINT) AS DOUBLE) / CAST(4294967296 AS DOUBLE) < 0.2""")
 def q_scatter_sample(spark, sf):
     df = fx.customer_features(spark, sf)
     return rounded(stats.hash_sample(df, 0.2, 7).select("id", "label", *SCATTER))
@@ -607,7 +607,7 @@ DOCS_SQL = f"({fx.DOC_FEATURES_SQL})"
 
 def _hu_sql(*parts: str) -> str:
     cat = " || ':' || ".join(f"CAST({p} AS VARCHAR)" for p in parts)
-    return f"(CAST(('0x' || substr(md5({cat}), 1, 8)) AS BIGINT) / 4294967296.0)"
+    return f"(CAST(CAST(('0x' || substr(md5({cat}), 1, 8)) AS BIGINT) AS DOUBLE) / CAST(4294967296 AS DOUBLE))"
 
 
 @query("knn_minority", f"""SELECT qid, nid, CAST(rank AS INTEGER) AS rank, {r('dist', 'dist')} FROM
@@ -623,20 +623,33 @@ def q_knn_all(spark, sf):
     return rounded(knn_op.knn(fx.doc_features(spark, sf), DF, 3).select("qid", "nid", F.col("rank").cast("int"), "dist"))
 
 
-def _smote_sql(src: str, feats: list[str], k: int, seed: int) -> str:
-    nn = knn_op.knn_bruteforce_sql(f"(SELECT * FROM {src} WHERE label = 1)", feats, k)
+def _smote_ctes(feats: list[str], k: int, seed: int) -> str:
+    """CTEs over ``d`` (id, label, feats): ``syn`` = synthetic rows (unrounded)."""
+    nn = knn_op.knn_bruteforce_sql("(SELECT * FROM d WHERE label = 1)", feats, k)
     pick = f"md5(CAST(id AS VARCHAR) || ':' || '{seed}' || ':' || 'pick')"
-    return f"""WITH d AS {src},
-cc AS (SELECT sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS n_min, sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS n_maj FROM d),
+    sid = f"CAST(('0x' || substr(md5(CAST(u.src_id AS VARCHAR) || ':' || CAST(u.syn_j AS VARCHAR) || ':' || '{seed}' || ':' || 'syn'), 1, 15)) AS BIGINT)"
+    return f"""cc AS (SELECT sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS n_min, sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS n_maj FROM d),
 mn AS (SELECT id, row_number() OVER (ORDER BY {pick}, id) AS rk FROM d WHERE label = 1),
 cnt AS (SELECT id AS src_id, CAST((n_maj - n_min) // n_min + CASE WHEN rk <= (n_maj - n_min) % n_min THEN 1 ELSE 0 END AS BIGINT) AS cnt FROM mn, cc),
 rows AS (SELECT src_id, j AS syn_j FROM cnt, range(0, cnt) t(j)),
 u AS (SELECT src_id, syn_j,
         CAST(floor({_hu_sql('src_id', 'syn_j', f"'{seed}'", "'nn'")} * least({k}, (SELECT n_min FROM cc) - 1)) + 1 AS INTEGER) AS rank,
         {_hu_sql('src_id', 'syn_j', f"'{seed}'", "'gap'")} AS gap FROM rows),
-nn AS {nn}
-SELECT u.src_id, CAST(u.syn_j AS BIGINT) AS syn_j, {", ".join(r(f"a.{f} + gap * (b.{f} - a.{f})", f) for f in feats)}
-FROM u JOIN nn ON nn.qid = u.src_id AND nn.rank = u.rank JOIN d a ON a.id = u.src_id JOIN d b ON b.id = nn.nid"""
+nn AS {nn},
+syn AS (SELECT {sid} AS id, 1 AS label, u.src_id, CAST(u.syn_j AS BIGINT) AS syn_j,
+        {", ".join(f"a.{f} + gap * (b.{f} - a.{f}) AS {f}" for f in feats)}
+        FROM u JOIN nn ON nn.qid = u.src_id AND nn.rank = u.rank JOIN d a ON a.id = u.src_id JOIN d b ON b.id = nn.nid)"""
+
+
+def _smote_sql(src: str, feats: list[str], k: int, seed: int) -> str:
+    return f"""WITH d AS {src}, {_smote_ctes(feats, k, seed)}
+SELECT src_id, syn_j, {", ".join(r(f, f) for f in feats)} FROM syn"""
+
+
+def _resampled_sql(src: str, feats: list[str], k: int, seed: int) -> str:
+    cols = ", ".join(feats)
+    return f"""d AS {src}, {_smote_ctes(feats, k, seed)},
+rs AS (SELECT id, label, {cols}, false AS synthetic FROM d UNION ALL SELECT id, label, {cols}, true FROM syn)"""
 
 
 @query("smote_synthetic", _smote_sql(DOCS_SQL, DF, 5, 42))
@@ -652,7 +665,15 @@ def q_smote_class_counts(spark, sf):
     return s.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("adasyn_class_counts")
+@query("adasyn_class_counts", f"""WITH d AS {DOCS_SQL},
+cc AS (SELECT sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS n_min, sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS n_maj FROM d),
+nn AS {knn_op.knn_bruteforce_sql("d", DF, 5, query_pred="X.label = 1")},
+m AS (SELECT nn.qid, sum(CASE WHEN b.label <> 1 THEN 1 ELSE 0 END) AS m FROM nn JOIN d b ON b.id = nn.nid GROUP BY nn.qid),
+t AS (SELECT sum(m) AS tot FROM m),
+c AS (SELECT m * (n_maj - n_min) // tot AS q, (m * (n_maj - n_min)) % tot AS rem, tot FROM m, t, cc),
+g AS (SELECT sum(q + CASE WHEN 2 * rem > tot THEN 1 WHEN 2 * rem = tot AND q % 2 = 1 THEN 1 ELSE 0 END) AS n_syn FROM c)
+SELECT label, false AS synthetic, count(*) AS n FROM d GROUP BY label
+UNION ALL SELECT 1, true, CAST(n_syn AS BIGINT) FROM g""")
 def q_adasyn_class_counts(spark, sf):
     s = resample.adasyn(fx.doc_features(spark, sf), DF, 5, 42)
     return s.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("n"))
@@ -948,3 +969,24 @@ def q_cluster_classifier_confusion(spark, sf):
     km = segment.assign(g, t.segmenter).select("id", F.col("cluster").alias("actual"))
     pr = t.classifier.transform(g).select("id", F.col("cluster").alias("predicted"))
     return metrics.confusion(km.join(pr, "id"), "actual", "predicted")
+
+
+@query("smote_enn_counts_sql", f"""WITH {_resampled_sql(DOCS_SQL, DF, 5, 42)},
+nn3 AS {knn_op.knn_bruteforce_sql("rs", DF, 3)},
+bad AS (SELECT DISTINCT nn3.qid FROM nn3 JOIN rs a ON a.id = nn3.qid JOIN rs b ON b.id = nn3.nid WHERE a.label <> b.label)
+SELECT label, synthetic, count(*) AS n FROM rs WHERE id NOT IN (SELECT qid FROM bad) GROUP BY label, synthetic""")
+def q_smote_enn_counts_sql(spark, sf):
+    """M15 checked against a brute-force twin (SMOTE rows recomputed in SQL)."""
+    s = resample.smote_enn(fx.doc_features(spark, sf), DF, 5, 42)
+    return s.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("smote_tomek_counts_sql", f"""WITH {_resampled_sql(DOCS_SQL, DF, 5, 42)},
+nn1 AS {knn_op.knn_bruteforce_sql("rs", DF, 1)},
+link AS (SELECT a.qid AS x FROM nn1 a JOIN nn1 b ON a.qid = b.nid AND a.nid = b.qid
+         JOIN rs da ON da.id = a.qid JOIN rs db ON db.id = a.nid WHERE da.label <> db.label)
+SELECT label, synthetic, count(*) AS n FROM rs WHERE id NOT IN (SELECT x FROM link) GROUP BY label, synthetic""")
+def q_smote_tomek_counts_sql(spark, sf):
+    """M16 checked against a brute-force twin."""
+    s = resample.smote_tomek(fx.doc_features(spark, sf), DF, 5, 42)
+    return s.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("n"))
