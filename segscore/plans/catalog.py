@@ -62,6 +62,14 @@ CF = fx.CUSTOMER_FEATURES
 CF_SQL = f"({fx.CUSTOMER_FEATURES_SQL})"
 
 
+def customer_table(spark, sf):
+    """The feature table for queries that read it more than once (fit then
+    apply, ranges then bins): one lineitem aggregation, then a reliable
+    checkpoint of the one-row-per-customer result."""
+    from segscore.session import cut_lineage
+    return cut_lineage(fx.customer_features(spark, sf))
+
+
 # ------------------------------------------------------------------ fixtures
 @query("customer_features", "SELECT id, label, " + ", ".join(r(c, c) for c in CF) + f" FROM {CF_SQL}")
 def q_customer_features(spark, sf):
@@ -87,7 +95,7 @@ def _std_sql(src: str, cols: list[str]) -> str:
 
 @query("standard_scale", _std_sql(CF_SQL, CF))
 def q_standard_scale(spark, sf):
-    df = fx.customer_features(spark, sf)
+    df = customer_table(spark, sf)
     return rounded(scalers.apply_standard(df, scalers.fit_standard(df, CF)))
 
 
@@ -99,7 +107,7 @@ def _mm_sql(src: str, cols: list[str]) -> str:
 
 @query("minmax_scale", _mm_sql(CF_SQL, CF))
 def q_minmax_scale(spark, sf):
-    df = fx.customer_features(spark, sf)
+    df = customer_table(spark, sf)
     return rounded(scalers.apply_minmax(df, scalers.fit_minmax(df, CF)))
 
 
@@ -149,7 +157,7 @@ SELECT feature, count(*) AS count, {r('avg(value)', 'mean')}, {r('stddev_samp(va
   {r('quantile_cont(value, 0.75)', 'q75')}, {r('max(value)', 'max')}
 FROM lv GROUP BY feature""")
 def q_describe(spark, sf):
-    return rounded(stats.describe(fx.customer_features(spark, sf), CF))
+    return rounded(stats.describe(customer_table(spark, sf), CF))
 
 
 @query("outlier_profile", f"""
@@ -161,14 +169,14 @@ SELECT f.feature, {r('q1', 'q1')}, {r('q3', 'q3')}, {r('iqr', 'iqr')}, {r('lo_fe
   CAST(sum(CASE WHEN value > hi_fence THEN 1 ELSE 0 END) AS BIGINT) AS n_high
 FROM lv JOIN f USING (feature) GROUP BY f.feature, q1, q3, iqr, lo_fence, hi_fence""")
 def q_outlier_profile(spark, sf):
-    return rounded(stats.outlier_profile(fx.customer_features(spark, sf), CF))
+    return rounded(stats.outlier_profile(customer_table(spark, sf), CF))
 
 
 @query("impute_median", f"""
 WITH f AS {CF_SQL}, m AS (SELECT {", ".join(f"median({c}) AS md_{c}" for c in CF)} FROM f)
 SELECT id, label, {", ".join(r(f"coalesce({c}, md_{c})", c) for c in CF)} FROM f, m""")
 def q_impute_median(spark, sf):
-    return rounded(stats.impute_median(fx.customer_features(spark, sf), CF))
+    return rounded(stats.impute_median(customer_table(spark, sf), CF))
 
 
 @query("histogram", f"""
@@ -180,7 +188,7 @@ b AS (SELECT lv.feature, label, mn, mx,
 SELECT feature, label, bin, count(*) AS n, {r('mn + bin * ((mx - mn) / 30.0)', 'lo')}
 FROM b GROUP BY feature, label, bin, mn, mx""")
 def q_histogram(spark, sf):
-    return rounded(stats.histogram(fx.customer_features(spark, sf), CF, bins=30))
+    return rounded(stats.histogram(customer_table(spark, sf), CF, bins=30))
 
 
 KDE_COLS = ["avg_disc", "max_line", "ret_rate"]
@@ -195,7 +203,7 @@ SELECT g.feature, CAST(k AS INTEGER) AS k, {r('x', 'x')},
   {r('sum(exp(-0.5 * ((x - value) / h) * ((x - value) / h))) / (n * h * sqrt(2 * pi()))', 'density')}
 FROM lv JOIN g USING (feature) GROUP BY g.feature, k, x, n, h""")
 def q_kde(spark, sf):
-    return rounded(stats.kde(fx.customer_features(spark, sf), KDE_COLS, points=64))
+    return rounded(stats.kde(customer_table(spark, sf), KDE_COLS, points=64))
 
 
 SCATTER = ["qty", "gross", "ret_rate"]
