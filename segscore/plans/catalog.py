@@ -998,3 +998,15 @@ def q_smote_tomek_counts_sql(spark, sf):
     """M16 checked against a brute-force twin."""
     s = resample.smote_tomek(fx.doc_features(spark, sf), DF, 5, 42)
     return s.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("risk_scores_reloaded")
+def q_risk_scores_reloaded(spark, sf):
+    """S5 for the whole flow: the fitted flow saved, loaded back and used to
+    score; equal to ``risk_scores``."""
+    import uuid as _u
+    from segscore.plans.persist import load_trained, save_trained
+    df, t = trained_flow(spark, sf)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/model-{_u.uuid4().hex[:8]}"
+    save_trained(t, path)
+    return rounded(training.score(df, load_trained(spark, path)))
