@@ -180,3 +180,16 @@ def test_exact_quantiles_interpolate(spark):
     q = {r["q"]: r["value"] for r in stats.exact_quantiles(d, ["x"], [0.25, 0.5, 0.9]).collect()}
     assert q == pytest.approx({0.25: np.quantile([1, 2, 4, 9, 9, 30], 0.25),
                                0.5: 6.5, 0.9: np.quantile([1, 2, 4, 9, 9, 30], 0.9)})
+
+
+def test_ap_evaluator_and_permutation(spark):
+    from pyspark.ml.linalg import Vectors
+    from segscore.operators import learners as L
+    rows = [(i, int(i % 3 == 0), Vectors.dense([1 - (i % 7) / 7.0, (i % 7) / 7.0])) for i in range(60)]
+    d = spark.createDataFrame(rows, "id long, label int, probability vector")
+    ev = L.AveragePrecisionEvaluator().evaluate(d)
+    ref = metrics.average_precision(L.positive_score(d)).collect()[0][0]
+    assert ev == pytest.approx(ref)
+    t = _df(spark, [(i, 0, float(i)) for i in range(50)], "id long, label int, x double")
+    p = L.permute_column(t, "x", seed=3).toPandas()
+    assert sorted(p["x"]) == [float(i) for i in range(50)] and (p.sort_values("id")["x"].to_numpy() != np.arange(50)).any()
