@@ -186,7 +186,11 @@ def test_ap_evaluator_and_permutation(spark):
     from pyspark.ml.linalg import Vectors
     from segscore.operators import learners as L
     rows = [(i, int(i % 3 == 0), Vectors.dense([1 - (i % 7) / 7.0, (i % 7) / 7.0])) for i in range(60)]
-    d = spark.createDataFrame(rows, "id long, label int, probability vector")
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("label", T.IntegerType()),
+                           T.StructField("probability", VectorUDT())])
+    d = spark.createDataFrame(rows, schema)
     ev = L.AveragePrecisionEvaluator().evaluate(d)
     ref = metrics.average_precision(L.positive_score(d)).collect()[0][0]
     assert ev == pytest.approx(ref)
