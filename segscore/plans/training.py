@@ -308,7 +308,7 @@ class Trained:
 
 
 def fit_all(df: DataFrame, features: list[str], recipes: dict[int, Recipe], k: int = 5, kseed: int = 2,
-            drops=(), post_drop=()) -> Trained:
+            drops=(), post_drop=(), parallelism: int = 3) -> Trained:
     spark = df.sparkSession
     # every fitting pass reads the feature table: materialise it once
     df = cut_lineage(df.select("id", "label", *[qcol(f) for f in features]))
@@ -320,11 +320,13 @@ def fit_all(df: DataFrame, features: list[str], recipes: dict[int, Recipe], k: i
     run = uuid.uuid4().hex[:12]
     rows = [(run, "classifier", "metric", k2, str(v)) for k2, v in cvm.collect()[0].asDict().items()]
     rows.append((run, "classifier", "metric", "accuracy", str(cvm.collect()[0]["accuracy_mean"])))
-    models = {}
-    for c in range(k):
-        part = clustered.filter(F.col("cluster") == c).drop("cluster")
-        sm = fit_segment_model(part, recipes[c])
-        models[c] = sm
+    # segments are independent: fit them from a small thread pool so their
+    # jobs interleave on the executors
+    fitted = L.parallel_map(
+        lambda c: fit_segment_model(clustered.filter(F.col("cluster") == c).drop("cluster"), recipes[c]),
+        range(k), parallelism)
+    models = dict(zip(range(k), fitted))
+    for c, sm in models.items():
         for key, v in sm.metrics.items():
             rows.append((run, f"segment_{c}", "metric", key, str(v)))
         rows.append((run, f"segment_{c}", "metric", "threshold", str(sm.threshold)))
