@@ -1010,3 +1010,15 @@ def q_risk_scores_reloaded(spark, sf):
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/model-{_u.uuid4().hex[:8]}"
     save_trained(t, path)
     return rounded(training.score(df, load_trained(spark, path)))
+
+
+@query("metric_log_wide")
+def q_metric_log_wide(spark, sf):
+    """S7 read side: the long metric log appended to Parquet, read back and
+    pivoted to one row per run and model."""
+    import uuid as _u
+    from segscore.sources.tables import append_metrics, metrics_wide
+    _, t = trained_flow(spark, sf)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/metrics-{_u.uuid4().hex[:8]}"
+    append_metrics(t.metric_log, path)
+    return rounded(metrics_wide(spark.read.parquet(path)).drop("run_id"))
