@@ -299,12 +299,6 @@ def customer_reduced(spark, sf, lo=0.8, hi=0.95):
     return z, steps
 
 
-@query("reduction_steps")
-def q_reduction_steps(spark, sf):
-    """Ordered step log of the fitted reduction (rounds are data-dependent
-    driver decisions over the covariance, so: rows-only)."""
-    _, steps = customer_reduced(spark, sf)
-    return rounded(reduction.steps_frame(spark, steps).drop("mu1", "mu2"))
 
 
 # DuckDB twin for the decisions that FIXTURES.md lists at sf0.01 (drop gross,
@@ -324,6 +318,30 @@ SELECT id, label, {", ".join(RED_KEEP)}, w1 * (n_lines - m1) + w2 * (n_orders -
 RED_COLS = RED_KEEP + ["PCA_n_lines_n_orders"]
 
 
+# twin for the step log at sf0.01 (decisions as listed in FIXTURES.md; every
+# correlation and the fused weights recomputed in SQL from the standardised table)
+_STEPS_SQL = """WITH z AS {z},
+c AS (SELECT corr(gross, net) AS r0, corr(n_lines, qty) AS r1, corr(n_lines, gross) AS r2, corr(n_lines, n_orders) AS r3,
+             var_pop(n_lines) AS c11, var_pop(n_orders) AS c22, covar_pop(n_lines, n_orders) AS c12 FROM z),
+a AS (SELECT *, cos(0.5 * atan2(2 * c12, c11 - c22)) AS u1, sin(0.5 * atan2(2 * c12, c11 - c22)) AS u2 FROM c),
+w AS (SELECT *, CASE WHEN (CASE WHEN abs(u1) >= abs(u2) THEN u1 ELSE u2 END) < 0 THEN -1.0 ELSE 1.0 END AS sg FROM a)
+SELECT 0 AS step, 1 AS round, 'drop' AS kind, 'gross' AS feature_1, 'net' AS feature_2, {c0} AS corr,
+       CAST(NULL AS VARCHAR) AS out, CAST(NULL AS DOUBLE) AS w1, CAST(NULL AS DOUBLE) AS w2 FROM w
+UNION ALL SELECT 1, 1, 'drop', 'n_lines', 'qty', {c1}, NULL, NULL, NULL FROM w
+UNION ALL SELECT 2, 1, 'drop', 'n_lines', 'gross', {c2}, NULL, NULL, NULL FROM w
+UNION ALL SELECT 3, 1, 'pca', 'n_lines', 'n_orders', {c3}, 'PCA_n_lines_n_orders', {w1}, {w2} FROM w""".format(
+    z=Z_SQL, c0=rnd("abs(r0)"), c1=rnd("abs(r1)"), c2=rnd("abs(r2)"), c3=rnd("abs(r3)"),
+    w1=rnd("sg * u1"), w2=rnd("sg * u2"))
+
+
+@query("reduction_steps", _STEPS_SQL)
+def q_reduction_steps(spark, sf):
+    """Ordered step log of the fitted reduction (rounds are data-dependent
+    driver decisions over the covariance, so: rows-only)."""
+    _, steps = customer_reduced(spark, sf)
+    return rounded(reduction.steps_frame(spark, steps).drop("mu1", "mu2"))
+
+
 @query("reduced_features", f"SELECT id, label, {', '.join(r(c, c) for c in RED_COLS)} FROM {RED_SQL}")
 def q_reduced_features(spark, sf):
     z, steps = customer_reduced(spark, sf)
