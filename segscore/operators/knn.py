@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from segscore.functions.scalar import nan_to_null, qcol
 from segscore.operators.correlation import pair_sums_matrix
 from segscore.operators.ranking import global_running
-from segscore.session import cut_lineage
+from segscore.session import conf_int, cut_lineage
 
 
 def principal_direction(df: DataFrame, features: list[str]) -> np.ndarray:
@@ -127,7 +127,7 @@ def knn(df: DataFrame, features: list[str], k: int, id_col: str = "id", query: C
     blocks = pts.groupBy("b").agg(F.min("t").alias("t_lo"), F.max("t").alias("t_hi"))
     need = qd.filter((F.col("lo_t") < F.col("hi_t")))
     n_blocks = blocks.count()
-    if n_blocks <= MAX_BROADCAST_BLOCKS:
+    if n_blocks <= conf_int(df.sparkSession, "segscore.knn.maxBroadcastBlocks", MAX_BROADCAST_BLOCKS):
         # bounded (checked above): two sorted arrays, binary search per batch
         rng = _lookup_broadcast(need, blocks)
     else:

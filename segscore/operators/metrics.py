@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from segscore.functions.scalar import qcol
 from segscore.operators.ranking import global_running
+from segscore.session import conf_int
 
 MAX_BROADCAST_GROUPS = 100_000
 
@@ -28,7 +29,8 @@ def _attach(df: DataFrame, totals: DataFrame, by: list[str]) -> DataFrame:
         row = totals.collect()[0]
         return df.select("*", *[F.lit(row[c]).alias(c) for c in totals.columns])
     n = totals.count()
-    t = F.broadcast(totals) if n <= MAX_BROADCAST_GROUPS else totals
+    cap = conf_int(df.sparkSession, "segscore.metrics.maxBroadcastGroups", MAX_BROADCAST_GROUPS)
+    t = F.broadcast(totals) if n <= cap else totals
     return df.join(t, by)
 
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from segscore.session import cut_lineage
+from segscore.session import conf_int, cut_lineage
 
 _PID = "_pid"
 _MID = "_mid"
@@ -44,7 +44,7 @@ def global_running(
     ``partition_by`` group. ``order`` must end in a unique key."""
     values = list(values)
     partition_by = list(partition_by)
-    limit = LOCAL_ROWS if local_rows is None else local_rows
+    limit = conf_int(df.sparkSession, "segscore.ranking.localRows", LOCAL_ROWS) if local_rows is None else local_rows
     if limit > 0 and df.limit(limit + 1).count() <= limit:
         w = Window.partitionBy(*partition_by).orderBy(*order) if partition_by else Window.orderBy(*order)
         out = df.withColumn(rank_col, F.row_number().over(w))

@@ -52,3 +52,9 @@ def cut_lineage(df):
     non-deterministic plan (sort-based ids) to one materialisation."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def conf_int(spark: SparkSession, key: str, default: int) -> int:
+    """A size threshold from the session conf (``segscore.*``), else the default."""
+    v = spark.conf.get(key, None)
+    return int(v) if v not in (None, "") else default

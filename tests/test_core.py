@@ -121,9 +121,8 @@ def test_ap_and_auc_with_ties(spark):
 
 
 @pytest.mark.parametrize("block,bcast", [(4, True), (4, False), (256, True)])
-def test_knn_exact_with_duplicates(spark, monkeypatch, block, bcast):
-    if not bcast:
-        monkeypatch.setattr(knn, "MAX_BROADCAST_BLOCKS", 0)
+def test_knn_exact_with_duplicates(spark, block, bcast):
+    spark.conf.set("segscore.knn.maxBroadcastBlocks", "200000" if bcast else "0")
     rng = np.random.default_rng(11)
     X = rng.normal(size=(120, 3))
     X[10:14] = X[9]  # exact duplicates
@@ -197,3 +196,14 @@ def test_ap_evaluator_and_permutation(spark):
     t = _df(spark, [(i, 0, float(i)) for i in range(50)], "id long, label int, x double")
     p = L.permute_column(t, "x", seed=3).toPandas()
     assert sorted(p["x"]) == [float(i) for i in range(50)] and (p.sort_values("id")["x"].to_numpy() != np.arange(50)).any()
+
+
+def test_ranking_threshold_from_conf(spark):
+    d = _df(spark, [(i, float(i % 5)) for i in range(50)], "id long, s double")
+    spark.conf.set("segscore.ranking.localRows", "0")
+    try:
+        r = ranking.global_running(d, [F.col("s").asc(), F.col("id").asc()], rank_col="rk").toPandas()
+    finally:
+        spark.conf.unset("segscore.ranking.localRows")
+    r = r.sort_values(["s", "id"])
+    assert list(r["rk"]) == list(range(1, 51))
