@@ -1040,3 +1040,16 @@ def q_metric_log_wide(spark, sf):
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/metrics-{_u.uuid4().hex[:8]}"
     append_metrics(t.metric_log, path)
     return rounded(metrics_wide(spark.read.parquet(path)).drop("run_id"))
+
+
+@query("histogram_10", f"""
+WITH lv AS ({_unpivot_sql(CF_SQL, CF)}),
+g AS (SELECT feature, min(value) AS mn, max(value) AS mx FROM lv GROUP BY feature),
+b AS (SELECT lv.feature, mn, mx,
+        CAST(CASE WHEN mx = mn THEN 0 ELSE least(floor((value - mn) / ((mx - mn) / 10.0)), 9) END AS INTEGER) AS bin
+      FROM lv JOIN g USING (feature))
+SELECT feature, bin, count(*) AS n, {r('mn + bin * ((mx - mn) / 10.0)', 'lo')}
+FROM b GROUP BY feature, bin, mn, mx""")
+def q_histogram_10(spark, sf):
+    """A10, 10 equal-width bins over all rows."""
+    return rounded(stats.histogram(customer_table(spark, sf), CF, bins=10, by=None))
