@@ -207,3 +207,13 @@ def test_ranking_threshold_from_conf(spark):
         spark.conf.unset("segscore.ranking.localRows")
     r = r.sort_values(["s", "id"])
     assert list(r["rk"]) == list(range(1, 51))
+
+
+def test_rename_snake_fields_to_labels(spark):
+    from segscore.plans.recipes import FEATURE_LABELS
+    snakes = [validation.snake(n) for n in FEATURE_LABELS]
+    assert len(set(snakes)) == len(FEATURE_LABELS) == 95
+    d = spark.createDataFrame([tuple([1] + [0.5] * 95)], ", ".join(["id long"] + [f"{s} double" for s in snakes]))
+    out = validation.rename_to_labels(d, FEATURE_LABELS)
+    assert out.columns == ["id"] + FEATURE_LABELS
+    assert validation.validate(out, FEATURE_LABELS).collect()[0]["valid"]
