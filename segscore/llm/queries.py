@@ -80,7 +80,7 @@ w AS (SELECT *, [3, 1, 2][place % 3 + 1] AS weight, 2.0::DOUBLE * source_size AS
 r AS (SELECT *, cap / weight AS ratio,
              coalesce(sum(cap) OVER (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0::DOUBLE) AS below,
              sum(weight) OVER (ORDER BY cap / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE AS free FROM w),
-l AS (SELECT min(ratio) AS at, arg_min((budget - below) / free, ratio) AS level FROM r WHERE weight * ((budget - below) / free) <= cap),
+l AS (SELECT min(ratio) AS place, arg_min((budget - below) / free, ratio) AS level FROM r WHERE weight * ((budget - below) / free) <= cap),
 t AS (SELECT source, source_size, CASE WHEN l.at IS NULL THEN cap ELSE least(weight * l.level, cap) END AS target FROM r, l),
 e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM t),
 o AS (SELECT d.doc_id, d.size, e.source_size, e.target, e.whole, e.target - e.whole * e.source_size AS part,
@@ -107,7 +107,7 @@ m{i} AS (SELECT doc_id, regexp_extract_all(t, '{pattern}', 0) AS hit, regexp_ext
                string_split_regex(t, '{pattern}') AS gap FROM docs),
 p{i} AS (SELECT doc_id, unnest(range(1, len(hit) + 1)) AS i, hit, part, gap FROM m{i}),
 k{i} AS (SELECT doc_id, {i} AS kind, length(hit[i]) AS len,
-               length(array_to_string(gap[1:i], '')) + length(array_to_string(hit[1:i - 1], '')) AS at
+               length(array_to_string(gap[1:i], '')) + length(array_to_string(hit[1:i - 1], '')) AS place
         FROM p{i} WHERE length(part[i]) >= {rule.least})"""
 
 
@@ -115,7 +115,7 @@ SQL["op6_secrets"] = f"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), {_spans_sql(0)}, {_spans_sql(1)}, {_spans_sql(2)},
 a AS (SELECT * FROM k0 UNION ALL SELECT * FROM k1 UNION ALL SELECT * FROM k2),
 g AS (SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
-             string_agg(['assign', 'access', 'hex'][kind + 1] || ':' || at || ':' || (at + len), ',' ORDER BY at, kind) AS spans
+             string_agg(['assign', 'access', 'hex'][kind + 1] || ':' || place || ':' || (place + len), ',' ORDER BY place, kind) AS spans
       FROM a GROUP BY doc_id)
 SELECT docs.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
        sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
