@@ -81,7 +81,7 @@ r AS (SELECT *, cap / weight AS ratio,
              coalesce(sum(cap) OVER (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0::DOUBLE) AS below,
              sum(weight) OVER (ORDER BY cap / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE AS free FROM w),
 l AS (SELECT min(ratio) AS place, arg_min((budget - below) / free, ratio) AS level FROM r WHERE weight * ((budget - below) / free) <= cap),
-t AS (SELECT source, source_size, CASE WHEN l.at IS NULL THEN cap ELSE least(weight * l.level, cap) END AS target FROM r, l),
+t AS (SELECT source, source_size, CASE WHEN l.place IS NULL THEN cap ELSE least(weight * l.level, cap) END AS target FROM r, l),
 e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM t),
 o AS (SELECT d.doc_id, d.size, e.source_size, e.target, e.whole, e.target - e.whole * e.source_size AS part,
              coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('42:' || d.doc_id), d.doc_id
