@@ -61,12 +61,12 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         # one row per text whose hash is among the at most 4n hot ones
         winner = F.broadcast(winner)
         salt = F.coalesce(F.pmod(F.xxhash64(F.col(id_col), F.lit(11)), F.col("_x_salts")), F.lit(0))
-    else:
-        salt = F.lit(0).cast("long")
-    keyed = keyed.withColumn("_x_salt", salt).drop("_x_norm")
+        keyed = keyed.withColumn("_x_salt", salt)
+    keyed = keyed.drop("_x_norm")
+    range_key = ["_x_lead", "_x_hash"] + (["_x_salt"] if hot else [])  # a constant column would hide the range's order
     # the normalised text is made anew after the exchange: only the original crosses it
-    placed = keyed.repartitionByRange(n, "_x_lead", "_x_hash", "_x_salt").withColumn("_x_norm", normalised(F.col(text_col)))
-    run = (Window.partitionBy("_x_lead", "_x_hash", "_x_salt", "_x_norm")
+    placed = keyed.repartitionByRange(n, *range_key).withColumn("_x_norm", normalised(F.col(text_col)))
+    run = (Window.partitionBy(*range_key, "_x_norm")
            .orderBy(F.col("_x_len").desc(), F.col(id_col).asc_nulls_last()))
     every = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     out = (placed.withColumn("_x_row", F.row_number().over(run))
