@@ -13,6 +13,8 @@ a length's pieces and the driver sees the histogram only.
 
 from __future__ import annotations
 
+import functools
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -30,32 +32,121 @@ REMEMBERED = 200_000
 
 
 # ------------------------------------------------------------ tokenising
-class Tokens(dict):
+def byte_letters() -> dict[int, str]:
+    """The printable letter that a byte-level vocabulary writes for each byte:
+    printable Latin-1 bytes stand for themselves, the others for 256, 257, ..."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) if b in own else chr(256 + rest.index(b)) for b in range(256)}
+
+
+#: Chunks of printable ASCII and Latin letters need no Unicode normalisation and fold one letter to one.
+_PLAIN = re.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
+#: The vocabulary's units, for such chunks in lower case.
+_UNIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+|[0-9]|[!-/:-`{-~]+")
+_MARKS = frozenset(b".,;:!?")
+#: Units that go to the vocabulary's model in one string.
+TOGETHER = 2000
+
+
+class Tokens:
     """chunk between white space -> little-endian unsigned 32-bit ids.
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are its chunks' ids one after another."""
+    are its chunks' ids one after another. The units of plain chunks go to the
+    tokenizer's model many at once, already split and written in its byte
+    letters; a unit ends where a token ends a word. Any other chunk goes
+    through the whole tokenizer. Two generations of chunks are remembered:
+    what is not seen again is forgotten."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        super().__init__()
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        self.known: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = Tokenizer.from_file(path)
+        self.model.normalizer = normalizers.Sequence([])
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocabulary = self.model.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.letters = {b: c for b, c in byte_letters().items() if c != chr(b)}
+        self.units: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def learn(self, chunks: set[bytes]) -> None:
+        """Makes every chunk known."""
+        known, older, units = self.known, self.older, self.units
+        whole: list[tuple[bytes, bytes]] = []  # chunks that are one unit
+        parts: list[tuple[bytes, list[bytes]]] = []
+        for c in chunks:
+            ids = older.get(c)
+            if ids is not None:
+                known[c] = ids
+            elif c.isalpha():  # ASCII letters
+                whole.append((c, c.lower()))
+            elif c[-1] in _MARKS and c[:-1].isalpha():
+                parts.append((c, [c[:-1].lower(), c[-1:]]))
+            else:
+                text = c.decode("utf-8", "replace")
+                if _PLAIN.fullmatch(text) and "<|" not in text:
+                    text = text.lower()
+                    if text.isalpha():
+                        whole.append((c, text.encode()))
+                    else:
+                        parts.append((c, [u.encode() for u in _UNIT.findall(text)]))
+                else:
+                    known[c] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        needed = {u for _, u in whole}
+        for _, us in parts:
+            needed.update(us)
+        if len(units) + len(needed) > REMEMBERED:
+            self.units = units = {u: units[u] for u in needed if u in units}
+        self.encode([u for u in needed if u not in units], units)
+        for c, u in whole:
+            known[c] = units[u]
+        for c, us in parts:
+            known[c] = b"".join([units[u] for u in us])
+
+    def encode(self, new: list[bytes], units: dict[bytes, bytes]) -> None:
+        """The ids of lower-case units, straight from the vocabulary's model."""
+        for i in range(0, len(new), TOGETHER):
+            some = new[i:i + TOGETHER]
+            written = " ".join([u.decode() if u.isascii() else u.decode("latin-1").translate(self.letters) for u in some])
+            ids = np.array(self.model.encode_batch_fast([written], add_special_tokens=False)[0].ids, "<u4")
+            end = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            if len(end) != len(some):
+                raise ValueError("the vocabulary does not end every unit with a word end")
+            raw = ids.tobytes()
+            units.update(zip(some, [raw[x:y] for x, y in zip([0, *end], end)]))
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text."""
+        split = [t.split() for t in texts]
+        chunks = set().union(*split)
+        new = chunks.difference(self.known)
+        if len(self.known) + len(new) > REMEMBERED:  # a new generation begins
+            self.older, self.known, new = self.known, {}, chunks
+        if new:
+            self.learn(new)
+        return [b"".join(map(self.known.__getitem__, s)) for s in split]
+
+
+@functools.lru_cache(maxsize=2)
+def tokens(path: str) -> Tokens:
+    """One coder a worker process and vocabulary."""
+    return Tokens(path)
 
-    def learn(self, chunks: list[bytes]) -> dict[bytes, bytes]:
-        new = [c for c in dict.fromkeys(chunks) if c not in self]
-        if not new:
-            return self
-        coded = self.tokenizer.encode_batch([c.decode("utf-8", "replace") for c in new], add_special_tokens=False)
-        made = {c: np.array(e.ids, "<u4").tobytes() for c, e in zip(new, coded)}
-        if len(self) + len(made) <= REMEMBERED:
-            self.update(made)
-            return self
-        return {**{c: self[c] for c in dict.fromkeys(chunks) if c in self}, **made}
 
-    def ids(self, text: bytes) -> bytes:
-        chunks = text.split()
-        known = self.learn(chunks)
-        return b"".join([known[c] for c in chunks])
+def coded(coder: Tokens, documents: list[bytes], together: int = 1 << 19) -> Iterator[bytes]:
+    """The ids of each document, documents of about ``together`` bytes at once."""
+    held, size = [], 0
+    for t in documents:
+        held.append(t)
+        size += len(t)
+        if size >= together:
+            yield from coder.ids(held)
+            held, size = [], 0
+    yield from coder.ids(held)
 
 
 def pieces(df: DataFrame, tokenizer: str, id_col: str, text_col: str, capacity: int, end_id: int, with_ids: bool) -> DataFrame:
@@ -65,11 +156,11 @@ def pieces(df: DataFrame, tokenizer: str, id_col: str, text_col: str, capacity:
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Tokens(tokenizer)
+        coder = tokens(tokenizer)
         for b in batches:
             rows = {"row": [], "doc": [], "piece": [], "start": [], "length": [], "ids_crc32": [], "ids": []}
-            for row, doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts(b.column(2))):
-                ids = coder.ids(text) + end
+            for row, doc, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), coded(coder, texts(b.column(2)))):
+                ids += end
                 for p, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     rows["row"].append(row)
