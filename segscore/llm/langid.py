@@ -4,7 +4,7 @@ A text becomes an L2-normalised TF-IDF vector of hashed byte n-grams of its
 letters (every other byte is a blank, blanks collapse). Each language has
 ``clusters`` unit centroids from a spherical k-means over a bounded sample; a
 text gets the language of the centroid with the highest cosine, and is
-rejected when that cosine is below the centroid's own floor.
+rejected when that cosine is below the language's floor.
 """
 
 from __future__ import annotations
@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 
 from segscore.llm.common import cut_lineage, text_slices, with_columns
 
-GRAMS = (1, 2, 3, 4)
+GRAMS = (2, 3, 4)
 DIM = 1 << 14
 #: Rows whose dense vectors are held at once.
 ROWS = 64
-#: A centroid rejects texts below this share of its least similar training text.
-FLOOR = 0.5
+#: A language rejects texts below this share of the cosine of its least similar training text.
+FLOOR = 0.3
 MAX_LANGUAGES = 1000
 UNKNOWN = "und"
 
@@ -72,7 +72,10 @@ def gram_counts(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def unit_rows(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    x = np.log1p(counts, dtype=np.float32) * idf
+    return unit_vectors(np.log1p(counts, dtype=np.float32) * idf)
+
+
+def unit_vectors(x: np.ndarray) -> np.ndarray:
     norm = np.sqrt((x * x).sum(axis=1, keepdims=True))
     return x / np.where(norm > 0, norm, 1)
 
@@ -81,25 +84,20 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
-    """At most ``k`` unit centroids; starts from the row nearest the mean,
-    then the rows farthest from all starts."""
-    mean = x.sum(axis=0)
-    start = [int(np.argmax(x @ mean))]
-    best = x @ x[start[0]]
-    while len(start) < min(k, len(x)):
-        start.append(int(np.argmin(best)))
-        best = np.maximum(best, x @ x[start[-1]])
-    c = x[start]
+def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 5) -> np.ndarray:
+    """At most ``k`` unit centroids from a seeded start. Each leans half on the
+    mean of all rows, so a small cluster does not win by its noise."""
+    k = min(k, len(x))
+    own = np.random.default_rng(seed).permutation(len(x)) % k
+    mean = unit_vectors(x.sum(axis=0, keepdims=True))
+    c = np.repeat(mean, k, axis=0)
     for _ in range(rounds):
+        new = unit_vectors(np.stack([x[own == j].sum(axis=0) if (own == j).any() else c[j] for j in range(k)]))
+        done, c = np.allclose(new, c), new
         own = np.argmax(x @ c.T, axis=1)
-        new = np.stack([x[own == j].sum(axis=0) if (own == j).any() else c[j] for j in range(len(c))])
-        norm = np.linalg.norm(new, axis=1, keepdims=True)
-        new = new / np.where(norm > 0, norm, 1)
-        if np.allclose(new, c):
+        if done:
             break
-        c = new
-    return c
+    return unit_vectors(c + mean)
 
 
 def fit_languages(df: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = 500,
@@ -151,9 +149,7 @@ def fit_languages(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
             counts[i, np.frombuffer(s, "<u2")] = np.frombuffer(c, "<u4")
         x = unit_rows(counts, idf)
         cent = spherical_kmeans(x, clusters)
-        sim = x @ cent.T
-        own = np.argmax(sim, axis=1)
-        floor = [FLOOR * float(sim[own == j, j].min()) if (own == j).any() else 1.0 for j in range(len(cent))]
+        floor = FLOOR * float((x @ cent.T).max(axis=1).min())  # of the least similar training text
         return pd.DataFrame({"lang": [pdf["lang"].iloc[0]] * len(cent), "floor": floor,
                              "unit": [c.astype("<f4").tobytes() for c in cent]})
 
