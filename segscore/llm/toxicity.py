@@ -120,9 +120,24 @@ def fit_chain(words: list[set[str]], toxic: np.ndarray, passes: int = 4) -> Chai
                 held[i] = linear.sigmoid(w[made[i][0]] @ made[i][1])
         chain.weights.append(linear.train(made, y, **kw) if made else np.zeros(size))
         earlier = np.c_[earlier, held]
+    if len(rows):  # 0.5 stands where the out-of-fold predictions separate the label best
+        cut = best_cut(earlier[:, -1], toxic)
+        chain.weights[-1][0] -= np.log(cut / (1 - cut))
     return chain
 
 
+def best_cut(p: np.ndarray, y: np.ndarray) -> float:
+    """The cut between neighbouring predictions with the highest F1, kept
+    within 0.1 and 0.9; the middle of the best stretch on ties."""
+    o = np.argsort(-p, kind="stable")
+    p, hit = p[o], np.cumsum(y[o])
+    f1 = 2 * hit / (np.arange(1, len(p) + 1) + max(int(y.sum()), 1))
+    last = np.r_[p[1:] != p[:-1], True]
+    best = np.flatnonzero(last & (f1 >= f1[last].max() - 1e-12))
+    below = p[min(best[-1] + 1, len(p) - 1)]
+    return float(np.clip((p[best[0]] + below) / 2, 0.1, 0.9))
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, bound: int = 12_000) -> Chain:
     """The chain learned in one task from at most ``bound`` labelled documents
     that are not held out (crc32(id) mod 3 is not 1); the driver gets the model."""
