@@ -1,10 +1,12 @@
-"""Pairwise-complete Pearson statistics in one data pass.
-
-Per Arrow batch, numpy forms the p×p sums over rows where both columns are
-present (``MᵀM``, ``XᵀM``, ``(X²)ᵀM``, ``XᵀX`` with NULL→0 and a presence
-mask M); each task emits p² partial rows and Spark sums them by pair. The
-shuffle is ``tasks × p²`` rows no matter how many data rows there are, and
-nothing but the p×p result reaches the driver. (2 000+ ``corr`` expressions
+"""Pairwise-complete Pearson statistics.
+
+One aggregate gives each column's mean; the second pass works on values less
+that mean, so large means cancel before anything is squared. Per Arrow batch,
+numpy forms the p×p sums over rows where both columns are present (``MᵀM``,
+``XᵀM``, ``(X²)ᵀM``, ``XᵀX`` with NULL→0 and a presence mask M); each task
+emits one row per pair i ≤ j and Spark sums them by pair. The shuffle is
+``tasks × p²/2`` rows no matter how many data rows there are, and nothing but
+the p×p result reaches the driver. (2 000+ ``corr`` expressions
 in one aggregate overwhelm codegen; a vector ``Correlation.corr`` cannot do
 pairwise-complete NULL handling.)
 """
@@ -20,9 +22,18 @@ from segscore.functions.scalar import nan_to_null, qcol
 PAIR_SCHEMA = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
 
 
-def pair_sums(df: DataFrame, features: list[str]) -> DataFrame:
-    """``(i, j, n, sx, sy, sxx, syy, sxy)`` summed over rows where both
-    column i and column j are non-NULL/non-NaN; i, j index ``features``."""
+def column_means(df: DataFrame, features: list[str]) -> np.ndarray:
+    """Mean of each column's present values (0 for none)."""
+    row = df.agg(*[F.avg(nan_to_null(qcol(f).cast("double"))).alias(f"m{i}") for i, f in enumerate(features)]).first()
+    m = np.array([0.0 if v is None else float(v) for v in row], float)
+    return np.where(np.isfinite(m), m, 0.0)
+
+
+def pair_sums(df: DataFrame, features: list[str], shift: np.ndarray | None = None) -> DataFrame:
+    """``(i, j, n, sx, sy, sxx, syy, sxy)``, i ≤ j, of the values less
+    ``shift`` (the column means) over rows where both column i and column j
+    are non-NULL/non-NaN; i, j index ``features``."""
+    shift = column_means(df, features) if shift is None else shift
     p = len(features)
     cols = [f"c{i}" for i in range(p)]
     sel = df.select(*[nan_to_null(qcol(f).cast("double")).alias(c) for f, c in zip(features, cols)])
@@ -36,19 +47,18 @@ def pair_sums(df: DataFrame, features: list[str]) -> DataFrame:
                 continue
             seen = True
             m = (~np.isnan(x)).astype("float64")
-            x0 = np.where(m > 0, x, 0.0)
+            x0 = np.where(m > 0, x - shift, 0.0)
             n += m.T @ m
             sx += x0.T @ m          # sx[i, j] = Σ x_i over rows with both present
             sxx += (x0 * x0).T @ m
             sxy += x0.T @ x0
         if not seen:
             return
-        ii, jj = np.meshgrid(np.arange(p), np.arange(p), indexing="ij")
+        u = np.triu_indices(p)
         import pandas as pd
         yield pd.DataFrame({
-            "i": ii.ravel().astype("int32"), "j": jj.ravel().astype("int32"),
-            "n": n.ravel(), "sx": sx.ravel(), "sy": sx.T.ravel(),
-            "sxx": sxx.ravel(), "syy": sxx.T.ravel(), "sxy": sxy.ravel(),
+            "i": u[0].astype("int32"), "j": u[1].astype("int32"),
+            "n": n[u], "sx": sx[u], "sy": sx.T[u], "sxx": sxx[u], "syy": sxx.T[u], "sxy": sxy[u],
         })
 
     partial = sel.mapInPandas(part, PAIR_SCHEMA)
@@ -56,13 +66,17 @@ def pair_sums(df: DataFrame, features: list[str]) -> DataFrame:
 
 
 def pair_sums_matrix(df: DataFrame, features: list[str]) -> dict[str, np.ndarray]:
-    """The summed statistics as p×p numpy arrays on the driver (p² numbers)."""
+    """The summed statistics as p×p numpy arrays on the driver (p² numbers) and
+    the ``shift`` that was taken off each column."""
     p = len(features)
-    out = {k: np.zeros((p, p)) for k in ["n", "sx", "sy", "sxx", "syy", "sxy"]}
-    for r in pair_sums(df, features).collect():
-        for k in out:
+    shift = column_means(df, features)
+    mirror = {"n": "n", "sx": "sy", "sy": "sx", "sxx": "syy", "syy": "sxx", "sxy": "sxy"}
+    out = {k: np.zeros((p, p)) for k in mirror}
+    for r in pair_sums(df, features, shift).collect():
+        for k, back in mirror.items():
             out[k][r["i"], r["j"]] = r[k]
-    return out
+            out[back][r["j"], r["i"]] = r[k]
+    return {**out, "shift": shift}
 
 
 def corr_from_sums(s: dict[str, np.ndarray]) -> np.ndarray:

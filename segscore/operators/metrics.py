@@ -58,21 +58,23 @@ def pr_curve(df: DataFrame, score: str = "score", label: str = "label", by: list
 
 
 def average_precision(df: DataFrame, score: str = "score", label: str = "label", by: list[str] = ()) -> DataFrame:
-    """Σ_k (pos_k / P) · precision_k over distinct thresholds."""
+    """Σ_k (pos_k / P) · precision_k over distinct thresholds; NULL for a
+    group without positives."""
     by = list(by)
     c = pr_curve(df, score, label, by)
     return c.groupBy(*by).agg(
-        (F.sum(F.col("pos") * F.col("precision")) / F.first("P")).alias("average_precision")
+        F.try_divide(F.sum(F.col("pos") * F.col("precision")), F.first("P")).alias("average_precision")
     )
 
 
 def roc_auc(df: DataFrame, score: str = "score", label: str = "label", by: list[str] = ()) -> DataFrame:
-    """Tie-aware AUC = Σ_s pos_s·(neg below s + ½ neg_s) / (P·N)."""
+    """Tie-aware AUC = Σ_s pos_s·(neg below s + ½ neg_s) / (P·N); NULL for
+    a group of one class."""
     by = list(by)
     c = pr_curve(df, score, label, by)
     below = F.col("N") - F.col("fp")
     return c.groupBy(*by).agg(
-        (F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))) / (F.first("P") * F.first("N"))).alias("roc_auc")
+        F.try_divide(F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))), F.first("P") * F.first("N")).alias("roc_auc")
     )
 
 
@@ -128,15 +130,16 @@ def precision_at_k(df: DataFrame, ks=(5, 10, 20), score: str = "score", label: s
 
 def top_share_flags(df: DataFrame, share: float = 0.2, score: str = "score", label: str = "label", id_col: str = "id") -> DataFrame:
     """The round(share·n) best rows (half to even, like Python) are
-    flagged; precision and recall of that flag."""
+    flagged; precision and recall of that flag (NULL if no row is flagged, or
+    none is positive)."""
     r = ranked(df, score, label, id_col)
     n = df.count()
     top_n = int(round(share * n))
     flag = (F.col("rank") <= F.lit(top_n)).cast("long")
     return r.agg(
         F.lit(top_n).cast("long").alias("top_n"),
-        (F.sum(flag * F.col("label")) / F.lit(top_n)).alias("precision_topk"),
-        (F.sum(flag * F.col("label")) / F.sum("label")).alias("recall_topk"),
+        F.try_divide(F.sum(flag * F.col("label")), F.lit(top_n)).alias("precision_topk"),
+        F.try_divide(F.sum(flag * F.col("label")), F.sum("label")).alias("recall_topk"),
     )
 
 
@@ -157,7 +160,7 @@ def ndcg_map(df: DataFrame, score: str = "score", label: str = "label", id_col:
     disc = F.lit(1.0) / F.log2(F.col("rank") + 1.0)
     return r.agg(
         (F.sum(F.col("label") * disc) / F.sum(F.when(F.col("rank") <= F.lit(P), disc))).alias("ndcg"),
-        (F.sum(F.when(F.col("label") == 1, F.col("cum_label") / F.col("rank"))) / F.lit(P)).alias("map"),
+        (F.sum(F.when(F.col("label") == 1, F.col("cum_label") / F.col("rank"))) / F.lit(P or None).cast("long")).alias("map"),
     )
 
 
@@ -221,17 +224,25 @@ def classification_report(df: DataFrame, actual: str = "label", predicted: str =
     return per.select(*cols).unionByName(macro.select(*cols)).unionByName(weighted.select(*cols)).unionByName(acc.select(*cols))
 
 
-def metric_gate(metrics: DataFrame, gates: dict[str, float], missing: float | None = None) -> DataFrame:
+def metric_gate(metrics: DataFrame, gates: dict[str, float], missing: float | None = None,
+                expected: list[tuple[str, str]] | None = None) -> DataFrame:
     """``metrics(model, metric, value)`` checked against per-metric
-    minimums; a missing value fails unless ``missing`` supplies a default.
-    Returns one row per model/metric plus an ``ALL`` row (bool_and)."""
-    g = metrics.sparkSession.createDataFrame(list(gates.items()), "metric string, gate double")
-    m = metrics.join(F.broadcast(g), "metric")  # gates: a handful of rows
-    v = F.coalesce(F.col("value"), F.lit(missing).cast("double")) if missing is not None else F.col("value")
-    rows = m.select("model", "metric", v.alias("value"), "gate",
-                    F.coalesce(v >= F.col("gate"), F.lit(False)).alias("passed"))
+    minimums. It fails closed: a NULL or NaN value, an ``expected`` (model,
+    metric) without a row, and a gate that no model has a value for (its row
+    has a NULL model) all fail unless ``missing`` supplies a default; with no
+    rows at all ``ALL`` fails. One row per model/metric plus an ``ALL`` row."""
+    spark = metrics.sparkSession
+    g = spark.createDataFrame([(m, float(v)) for m, v in gates.items()], "metric string, gate double")
+    if expected is None:
+        rows = F.broadcast(g).join(metrics, "metric", "left")  # gates: a handful of rows
+    else:
+        want = spark.createDataFrame([e for e in expected if e[1] in gates], "model string, metric string").join(F.broadcast(g), "metric")
+        rows = want.join(metrics, ["model", "metric"], "left")
+    value = F.nanvl(F.col("value").cast("double"), F.lit(None).cast("double"))
+    checked = F.coalesce(value, F.lit(missing).cast("double")) if missing is not None else value
+    rows = rows.select("model", "metric", checked.alias("value"), "gate",
+                       F.coalesce(checked >= F.col("gate"), F.lit(False)).alias("passed"))
     allrow = rows.agg(F.lit("ALL").alias("model"), F.lit("all").alias("metric"),
                       F.lit(None).cast("double").alias("value"), F.lit(None).cast("double").alias("gate"),
-                      F.bool_and("passed").alias("passed"))
+                      F.coalesce(F.bool_and("passed"), F.lit(False)).alias("passed"))
     return rows.unionByName(allrow)
-

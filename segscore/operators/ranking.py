@@ -4,8 +4,8 @@
 Here the sort is a range-partitioned ``orderBy`` (ties are split by the
 unique tie-break key, so one hot score cannot land in one task), each row
 gets its position inside its partition, the tiny per-partition totals are
-turned into offsets, and offsets are broadcast back (their size is bounded
-by the number of partitions). The tagged sort is checkpointed to the shared
+turned into offsets, and offsets are joined back (one row per partition and
+group). The tagged sort is checkpointed to the shared
 checkpoint folder so every later pass sees the same partition layout.
 """
 
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from segscore.session import conf_int, cut_lineage
+from segscore.session import cut_lineage
 
 _PID = "_pid"
 _MID = "_mid"
@@ -26,62 +26,35 @@ def _sorted_tagged(df: DataFrame, order: list[Column]) -> DataFrame:
     return cut_lineage(s)
 
 
-# Up to this many rows a plain window (one task per group, or one task) is
-# cheaper than a distributed sort plus checkpoint, and bounded by the check.
-LOCAL_ROWS = 2_000_000
-
-
 def global_running(
     df: DataFrame,
     order: list[Column],
     values: list[str] = (),
     partition_by: list[str] = (),
     rank_col: str = "_rank",
-    local_rows: int | None = None,
 ) -> DataFrame:
     """Adds ``rank_col`` (1-based position in ``order``) and ``cum_<v>``
-    (inclusive running sum) for each value column, optionally restarted per
-    ``partition_by`` group. ``order`` must end in a unique key."""
-    values = list(values)
-    partition_by = list(partition_by)
-    limit = conf_int(df.sparkSession, "segscore.ranking.localRows", LOCAL_ROWS) if local_rows is None else local_rows
-    if limit > 0 and df.limit(limit + 1).count() <= limit:
-        w = Window.partitionBy(*partition_by).orderBy(*order) if partition_by else Window.orderBy(*order)
-        out = df.withColumn(rank_col, F.row_number().over(w))
-        wr = w.rowsBetween(Window.unboundedPreceding, 0)
-        for v in values:
-            out = out.withColumn(f"cum_{v}", F.sum(F.col(v)).over(wr))
-        return out
-    s = _sorted_tagged(df, [F.col(c).asc() for c in partition_by] + list(order))
-
-    # per-partition totals → exclusive prefix offsets (one row per partition)
-    tot = s.groupBy(_PID).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.sum(F.col(v)).alias(f"_t_{v}") for v in values]
-    )
-    wp = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    (inclusive running sum, NULL counts 0) for each value column, restarted per
+    ``partition_by`` group (NULL keys form a group). ``order`` must end in a
+    unique key. One plan at every size."""
+    values, by = list(values), list(partition_by)
+    s = _sorted_tagged(df, [F.col(c).asc() for c in by] + list(order))
+    # one row per (sorted partition, group) → exclusive offsets inside the group
+    tot = s.groupBy(_PID, *by).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(v).alias(f"_t_{v}") for v in values])
+    before = (Window.partitionBy(*by) if by else Window).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select(
-        _PID,
-        F.coalesce(F.sum("_n").over(wp), F.lit(0)).alias("_o_n"),
-        *[F.coalesce(F.sum(f"_t_{v}").over(wp), F.lit(0)).alias(f"_o_{v}") for v in values],
+        F.col(_PID).alias("_o_pid"), *[F.col(c).alias(f"_o_by_{c}") for c in by],
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o_n"),
+        *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}") for v in values],
     )
-    # bounded by the partition count of the sort → safe to broadcast
-    s = s.join(F.broadcast(off), _PID)
-    wi = Window.partitionBy(_PID).orderBy(_MID).rowsBetween(Window.unboundedPreceding, 0)
-    s = s.withColumn(rank_col, F.col("_o_n") + F.row_number().over(Window.partitionBy(_PID).orderBy(_MID)))
+    on = F.col(_PID) == F.col("_o_pid")
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"_o_by_{c}"))
+    # without groups the offsets are bounded by the partition count → safe to broadcast
+    s = s.join(off if by else F.broadcast(off), on)
+    inside = Window.partitionBy(_PID, *by).orderBy(_MID)
+    running = inside.rowsBetween(Window.unboundedPreceding, 0)
+    s = s.withColumn(rank_col, F.col("_o_n") + F.row_number().over(inside))
     for v in values:
-        s = s.withColumn(f"cum_{v}", F.col(f"_o_{v}") + F.sum(F.col(v)).over(wi))
-
-    if partition_by:
-        # subtract what earlier groups contributed: read at each group's first row
-        first = s.groupBy(*partition_by).agg(
-            F.min_by(F.struct(
-                (F.col(rank_col) - 1).alias("_b_rank"),
-                *[(F.col(f"cum_{v}") - F.col(v)).alias(f"_b_{v}") for v in values]
-            ), F.col(_MID)).alias("_b")
-        ).select(*partition_by, "_b.*")
-        s = s.join(first, partition_by)
-        s = s.withColumn(rank_col, F.col(rank_col) - F.col("_b_rank"))
-        for v in values:
-            s = s.withColumn(f"cum_{v}", F.col(f"cum_{v}") - F.col(f"_b_{v}"))
-    drop = [_PID, _MID, "_o_n", "_b_rank"] + [f"_o_{v}" for v in values] + [f"_b_{v}" for v in values]
-    return s.drop(*[c for c in drop if c in s.columns])
+        s = s.withColumn(f"cum_{v}", F.col(f"_o_{v}") + F.coalesce(F.sum(F.col(v)).over(running), F.lit(0)))
+    return s.drop(_PID, _MID, "_o_pid", "_o_n", *[f"_o_by_{c}" for c in by], *[f"_o_{v}" for v in values])

@@ -84,17 +84,24 @@ def _class_counts(df: DataFrame, label: str, minority: int) -> tuple[int, int]:
 
 
 def smote_synthetic(df: DataFrame, features: list[str], k: int = 5, seed: int = 42, label: str = "label",
-                    id_col: str = "id", minority: int = 1) -> DataFrame | None:
+                    id_col: str = "id", minority: int = 1) -> DataFrame:
+    """The synthetic rows that even out the classes; none if they are even or
+    fewer than 2 minority rows have all features. Rows with a missing feature
+    have no neighbours, so every synthetic row is dealt to one without."""
     df = cut_lineage(df.select(qcol(id_col), qcol(label), *[qcol(f) for f in features]))
     n_min, n_maj = _class_counts(df, label, minority)
     g = n_maj - n_min
+    none = _with_flags(df, features, label, id_col).limit(0)
     if g <= 0:
-        return None
-    if n_min < 2:
-        warnings.warn("SMOTE needs at least 2 minority rows; input returned unchanged")
-        return None
-    k_eff = min(k, n_min - 1)
+        return none
     minor = df.filter(qcol(label) == minority)
+    for f in features:
+        minor = minor.filter(qcol(f).isNotNull() & ~F.isnan(qcol(f)))
+    n_eligible = minor.count()
+    if n_eligible < 2:
+        warnings.warn("SMOTE needs at least 2 complete minority rows; input returned unchanged")
+        return none
+    k_eff = min(k, n_eligible - 1)
     nn = knn(minor, features, k_eff, id_col=id_col)
     return _generate(df, features, _counts_even(minor, g, seed, id_col), nn, k_eff, seed, label, id_col, minority)
 
@@ -104,7 +111,7 @@ def smote(df: DataFrame, features: list[str], k: int = 5, seed: int = 42, label:
     """M13 + U3: originals ∪ synthetic minority rows."""
     orig = _with_flags(df, features, label, id_col)
     syn = smote_synthetic(df, features, k, seed, label, id_col, minority)
-    return orig if syn is None else cut_lineage(orig.unionByName(syn))
+    return cut_lineage(orig.unionByName(syn))
 
 
 def adasyn(df: DataFrame, features: list[str], k: int = 5, seed: int = 42, label: str = "label",

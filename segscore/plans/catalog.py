@@ -1053,3 +1053,7 @@ FROM b GROUP BY feature, bin, mn, mx""")
 def q_histogram_10(spark, sf):
     """A10, 10 equal-width bins over all rows."""
     return rounded(stats.histogram(customer_table(spark, sf), CF, bins=10, by=None))
+
+# the two earlier names of the same counts share the twins
+SQL["smote_enn_counts"] = SQL["smote_enn_counts_sql"]
+SQL["smote_tomek_counts"] = SQL["smote_tomek_counts_sql"]

@@ -16,7 +16,6 @@ import uuid
 import warnings
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -339,13 +338,22 @@ def gate(t: Trained, accuracy_min: float, ap_min: float) -> DataFrame:
     m = t.metric_log.filter(F.col("key").isin("accuracy", "average_precision_score")).select(
         "model", F.when(F.col("key") == "accuracy", "accuracy").otherwise("average_precision").alias("metric"),
         F.col("value").cast("double").alias("value"))
-    return metrics.metric_gate(m, {"accuracy": accuracy_min, "average_precision": ap_min})
+    expected = [("classifier", "accuracy")] + [(f"segment_{c}", "average_precision") for c in t.models]
+    return metrics.metric_gate(m, {"accuracy": accuracy_min, "average_precision": ap_min}, expected=expected)
 
 
 def score(df: DataFrame, t: Trained) -> DataFrame:
-    """``(id, cluster, score, prediction)`` for every input row."""
+    """``(id, cluster, score, prediction)`` for every input row. A row with
+    a missing feature cannot be placed: its cluster, score and prediction are NULL."""
     g = apply_global(df, t.prep, passthrough=("id",))
-    cl = t.classifier.transform(g).persist(StorageLevel.MEMORY_AND_DISK)
+    missing = F.lit(False)
+    for c in t.prep.out:
+        missing = missing | qcol(c).isNull() | F.isnan(qcol(c))
+    g = cut_lineage(g.withColumn("_missing", missing))  # read once per segment; nothing stays cached
+    cl = cut_lineage(t.classifier.transform(g.filter("not _missing").drop("_missing")))
     handlers = {c: (lambda m: (lambda d: m.score(d).select("id", "cluster", "score", "prediction")))(m)
                 for c, m in t.models.items()}
-    return segment.route(cl, "cluster", handlers)
+    scored = segment.route(cl, "cluster", handlers)
+    kinds = dict(scored.dtypes)
+    unplaced = g.filter("_missing").select("id", *[F.lit(None).cast(kinds[c]).alias(c) for c in ("cluster", "score", "prediction")])
+    return scored.unionByName(unplaced)

@@ -24,15 +24,15 @@ def test_standard_and_minmax_edge_cases(spark):
     assert mm[3]["a"] == 1.0 and mm[2]["c"] == 0.0  # constant → 0, not 0.5
 
 
-@pytest.mark.parametrize("local_rows", [None, 0])
-def test_global_running_matches_window(spark, local_rows):
+def test_global_running_matches_window(spark):
     rng = np.random.default_rng(1)
-    rows = [(int(i), int(g), float(rng.integers(0, 5)), int(rng.integers(0, 2))) for i, g in
-            zip(range(400), rng.integers(0, 3, 400))]
-    d = _df(spark, rows, "id long, g int, s double, y long")
+    rows = [(int(i), int(g) or None, float(rng.integers(0, 5)), int(rng.integers(0, 2))) for i, g in
+            zip(range(400), rng.integers(0, 4, 400))]  # NULL is a group of its own
+    d = _df(spark, rows, "id long, g int, s double, y long").repartition(6)
     r = ranking.global_running(d, [F.col("s").desc(), F.col("id").asc()], values=["y"], partition_by=["g"],
-                               rank_col="rk", local_rows=local_rows).toPandas()
-    for g, part in r.groupby("g"):
+                               rank_col="rk").toPandas()
+    assert len(r) == 400 and r["g"].isna().any()
+    for g, part in r.groupby("g", dropna=False):
         part = part.sort_values(["s", "id"], ascending=[False, True])
         assert list(part["rk"]) == list(range(1, len(part) + 1))
         assert list(part["cum_y"]) == list(np.cumsum(part["y"]))
@@ -198,13 +198,9 @@ def test_ap_evaluator_and_permutation(spark):
     assert sorted(p["x"]) == [float(i) for i in range(50)] and (p.sort_values("id")["x"].to_numpy() != np.arange(50)).any()
 
 
-def test_ranking_threshold_from_conf(spark):
+def test_ranking_without_groups(spark):
     d = _df(spark, [(i, float(i % 5)) for i in range(50)], "id long, s double")
-    spark.conf.set("segscore.ranking.localRows", "0")
-    try:
-        r = ranking.global_running(d, [F.col("s").asc(), F.col("id").asc()], rank_col="rk").toPandas()
-    finally:
-        spark.conf.unset("segscore.ranking.localRows")
+    r = ranking.global_running(d, [F.col("s").asc(), F.col("id").asc()], rank_col="rk").toPandas()
     r = r.sort_values(["s", "id"])
     assert list(r["rk"]) == list(range(1, 51))
 
@@ -217,3 +213,55 @@ def test_rename_snake_fields_to_labels(spark):
     out = validation.rename_to_labels(d, FEATURE_LABELS)
     assert out.columns == ["id"] + FEATURE_LABELS
     assert validation.validate(out, FEATURE_LABELS).collect()[0]["valid"]
+
+
+def test_metric_gate_fails_closed(spark):
+    from segscore.operators import metrics
+    schema = "model string, metric string, value double"
+    gates = {"accuracy": 0.5, "average_precision": 0.1}
+
+    def passed(rows, **kw):
+        out = metrics.metric_gate(_df(spark, rows, schema), gates, **kw).collect()
+        return {(r["model"], r["metric"]): r["passed"] for r in out}
+
+    good = [("c", "accuracy", 0.9), ("s", "average_precision", 0.2)]
+    assert passed(good)["ALL", "all"]
+    assert not passed([])["ALL", "all"]
+    assert not passed(good[:1])["ALL", "all"] and not passed(good[1:])["ALL", "all"]
+    assert not passed([good[0], ("s", "average_precision", float("nan"))])["s", "average_precision"]
+    assert not passed([good[0], ("s", "average_precision", None)])["ALL", "all"]
+    assert not passed(good, expected=[("c", "accuracy"), ("s", "average_precision"), ("t", "average_precision")])["t", "average_precision"]
+    assert passed(good, expected=[("c", "accuracy"), ("s", "average_precision")])["ALL", "all"]
+
+
+def test_one_class_groups_give_null(spark):
+    from segscore.operators import metrics
+    d = _df(spark, [(i, "a" if i < 4 else "b", float(i % 3), int(i < 2)) for i in range(8)], "id long, g string, score double, label int")
+    ap = {r["g"]: r["average_precision"] for r in metrics.average_precision(d, by=["g"]).collect()}
+    auc = {r["g"]: r["roc_auc"] for r in metrics.roc_auc(d, by=["g"]).collect()}
+    assert ap["b"] is None and auc["b"] is None and ap["a"] > 0 and auc["a"] is not None
+    none = metrics.top_share_flags(d.limit(1), 0.2).first()
+    assert none["top_n"] == 0 and none["precision_topk"] is None
+
+
+def test_correlation_with_large_means(spark):
+    from segscore.operators import correlation
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=400)
+    y = 0.8 * x + 0.5 * rng.normal(size=400)
+    x, y = x + 1e9, y * 3 - 2e9
+    d = _df(spark, [(float(a), float(b) if i % 7 else None) for i, (a, b) in enumerate(zip(x, y))], "a double, b double").repartition(3)
+    keep = np.arange(400) % 7 != 0
+    r = correlation.corr_long(d, ["a", "b"]).first()["corr"]
+    assert r == pytest.approx(np.corrcoef(x[keep], y[keep])[0, 1], abs=1e-6)
+
+
+def test_smote_is_complete_with_missing_features(spark):
+    from segscore.operators import resample
+    rng = np.random.default_rng(6)
+    rows = [(i, int(i < 8), None if i in (0, 3) else float(rng.normal()), float("nan") if i == 5 else float(rng.normal())) for i in range(40)]
+    d = _df(spark, rows, "id long, label int, a double, b double")
+    out = {r["label"]: r["count"] for r in resample.smote(d, ["a", "b"], k=3).groupBy("label").count().collect()}
+    assert out == {0: 32, 1: 32}
+    even = _df(spark, [(i, i % 2, float(i), 0.0) for i in range(6)], "id long, label int, a double, b double")
+    assert resample.smote_synthetic(even, ["a", "b"]).count() == 0
