@@ -24,14 +24,18 @@ MAX_BROADCAST_GROUPS = 100_000
 
 
 def _attach(df: DataFrame, totals: DataFrame, by: list[str]) -> DataFrame:
-    """Join per-group totals; with no grouping the single row becomes literals."""
+    """Join per-group totals (a NULL key is a group); with no grouping the
+    single row becomes literals."""
     if not by:
         row = totals.collect()[0]
         return df.select("*", *[F.lit(row[c]).alias(c) for c in totals.columns])
     n = totals.count()
     cap = conf_int(df.sparkSession, "segscore.metrics.maxBroadcastGroups", MAX_BROADCAST_GROUPS)
-    t = F.broadcast(totals) if n <= cap else totals
-    return df.join(t, by)
+    t = totals.withColumnsRenamed({c: f"_t_{c}" for c in by})
+    on = F.lit(True)
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"_t_{c}"))
+    return df.join(F.broadcast(t) if n <= cap else t, on).drop(*[f"_t_{c}" for c in by])
 
 
 def score_counts(df: DataFrame, score: str = "score", label: str = "label", by: list[str] = ()) -> DataFrame:

@@ -505,6 +505,19 @@ def q_classification_report(spark, sf):
     return rounded(metrics.classification_report(_pred(spark, sf)))
 
 
+@query("average_precision_nullable_segment", "WITH s AS (SELECT id, nullif(segment, 'BUILDING') AS segment, label, score FROM (" + fx.SCORED_SQL + """)),
+c AS (SELECT segment, score, sum(label) AS pos, count(*) AS n FROM s GROUP BY segment, score),
+w AS (SELECT segment, score, pos, sum(pos) OVER (PARTITION BY segment ORDER BY score DESC) AS tp,
+             sum(n) OVER (PARTITION BY segment ORDER BY score DESC) AS seen, sum(pos) OVER (PARTITION BY segment) AS P FROM c)
+""" + f"SELECT segment, {r('sum(pos * (tp / seen)) / any_value(P)', 'average_precision')} FROM w GROUP BY segment")
+def q_average_precision_nullable_segment(spark, sf):
+    """A17 by a key that is NULL for a fifth of the rows: they are one group."""
+    s = fx.scored(spark, sf).withColumn("segment", F.nullif("segment", F.lit("BUILDING")))
+    c = metrics.pr_curve(s, by=["segment"])
+    ap = c.groupBy("segment").agg((F.sum(F.col("pos") * F.col("precision")) / F.first("P")).alias("average_precision"))
+    return rounded(ap)
+
+
 @query("metric_gate", curve_sql("segment") + f""",
 ap AS (SELECT 'segment=' || segment AS model, 'average_precision' AS metric,
          sum(pos * precision) / any_value("P") AS value FROM pr GROUP BY segment),
@@ -568,6 +581,28 @@ def q_request_validation(spark, sf):
     return rounded(validation.validate(fx.event_values(spark, sf), EV))
 
 
+BAD_EV_SQL = f"""(SELECT id, CASE WHEN id % 7 = 0 THEN NULL WHEN id % 11 = 0 THEN value * 1e12 ELSE value END AS value,
+  CASE WHEN id % 13 = 0 THEN 'NaN'::DOUBLE ELSE value_c END AS value_c, log_value FROM {EV_SQL})"""
+
+
+@query("invalid_requests", f"""WITH c AS (SELECT id, list_filter([{", ".join(f"CASE WHEN {c} IS NULL OR isnan({c}) OR NOT ({c} > -1e10 AND {c} < 1e10) THEN '{c}' END" for c in EV)}],
+  lambda x: x IS NOT NULL) AS fl FROM {BAD_EV_SQL})
+SELECT id, len(fl) = 0 AS valid, array_to_string(fl, ',') AS failed FROM c""")
+def q_invalid_requests(spark, sf):
+    """F7 on records with missing, out-of-range and NaN fields."""
+    e = fx.event_values(spark, sf)
+    value = F.when(F.col("id") % 7 == 0, None).when(F.col("id") % 11 == 0, F.col("value") * 1e12).otherwise(F.col("value"))
+    bad = e.withColumn("value", value).withColumn("value_c", F.when(F.col("id") % 13 == 0, F.lit(float("nan"))).otherwise(F.col("value_c")))
+    return validation.validate(bad, EV).select("id", "valid", "failed")
+
+
+@query("request_rename", f"""SELECT id, {r("value", '"Event Value (%)"')}, {r("log_value", '"Log value"')} FROM {EV_SQL}""")
+def q_request_rename(spark, sf):
+    """snake_case request fields get their display labels."""
+    e = fx.event_values(spark, sf).select("id", F.col("value").alias("event_value"), "log_value")
+    return rounded(validation.rename_to_labels(e, ["Event Value (%)", "Log value"]))
+
+
 CANON = ["n_chars", "n_words", "n_urls", "n_lines", "upper_share"]
 
 
@@ -906,7 +941,7 @@ _TRAINED: dict = {}
 
 
 def trained_flow(spark, sf):
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)  # frames of a stopped session are never reused
     if key not in _TRAINED:
         df = fx.customer_features(spark, sf)
         _TRAINED[key] = (df, training.fit_all(df, CF, RC.small_recipes()))
@@ -919,6 +954,16 @@ def q_risk_scores(spark, sf):
     return rounded(training.score(df, t))
 
 
+@query("scored_ids", f"""SELECT id, id % 10 <> 0 AS placed FROM {CF_SQL}""")
+def q_scored_ids(spark, sf):
+    """Every row that goes in comes out; one with a missing feature (here
+    every tenth) has no cluster, score or prediction, any other has all."""
+    df, t = trained_flow(spark, sf)
+    holes = df.withColumn(CF[0], F.when(F.col("id") % 10 != 0, qcol(CF[0])))
+    return training.score(holes, t).select(
+        "id", (F.col("cluster").isNotNull() & F.col("score").isNotNull() & F.col("prediction").isNotNull()).alias("placed"))
+
+
 @query("risk_gate")
 def q_risk_gate(spark, sf):
     _, t = trained_flow(spark, sf)
@@ -928,7 +973,7 @@ def q_risk_gate(spark, sf):
 @query("metric_log")
 def q_metric_log(spark, sf):
     _, t = trained_flow(spark, sf)
-    return t.metric_log.select("model", "kind", "key")
+    return t.metric_log.select("model", "kind", "key", "value")
 
 
 @query("segment_partitions")

@@ -261,25 +261,47 @@ def fit_segment_model(df: DataFrame, recipe: Recipe, seed: int = 42) -> SegmentM
         s = split.stratified_split(x, 0.2, recipe.split_seed)
         train, test = s.filter(~F.col("is_test")).drop("is_test"), s.filter(F.col("is_test")).drop("is_test")
         tr, params = prepared(train)
-        best = (-math.inf, None, None)
-        for cand in _candidates(recipe):
+
+        def fitted(cand: dict, tr: DataFrame, params):
             if recipe.learner == "stack":
-                st = _fit_stack(cand, tr, feats)
-                chain = _StackScorer(st, params)
-            else:
-                est = _make_estimator(recipe, cand, feats, tr)
-                chain = L.FittedChain(feats, params, est.fit(L.assemble(tr, feats)))
-            scored = chain.transform(test)
-            obj = _ap(scored) if recipe.metric == "average_precision" else _recall(scored)
-            if obj > best[0]:
-                best = (obj, chain, scored)
-        _, chain, scored = best
+                return _StackScorer(_fit_stack(cand, tr, feats), params)
+            est = _make_estimator(recipe, cand, feats, tr)
+            return L.FittedChain(feats, params, est.fit(L.assemble(tr, feats)))
+
+        def objective(scored: DataFrame) -> float:
+            v = _ap(scored) if recipe.metric == "average_precision" else _recall(scored)
+            return v if math.isfinite(v) else -math.inf
+
+        cands = _candidates(recipe)
+        if recipe.search == "holdout_grid":  # chosen on the held-out part
+            chains = [fitted(c, tr, params) for c in cands]
+            chain = max(chains, key=lambda c: objective(c.transform(test)))
+        else:
+            chain = fitted(_cross_validated(cands, train, prepared, fitted, objective, recipe.cv_folds, seed), tr, params)
+        scored = cut_lineage(chain.transform(test).select("id", "label", "score"))  # the test part is scored once
         sm.chain = chain
         sm.metrics["average_precision_score"] = _ap(scored)
         sm.threshold = _threshold(recipe.threshold, scored)
     return sm
 
 
+def _cross_validated(cands: list[dict], train: DataFrame, prepared, fitted, objective, k: int, seed: int) -> dict:
+    """The candidate with the best mean objective over ``k`` folds of the
+    training part; scaling and resampling happen inside each fold."""
+    if len(cands) == 1:
+        return cands[0]
+    d = cut_lineage(split.stratified_folds(train, k, seed))
+
+    def one_fold(f: int) -> list[float]:
+        tr, params = prepared(d.filter(F.col("fold") != f).drop("fold"))
+        held = d.filter(F.col("fold") == f).drop("fold")
+        return [objective(fitted(c, tr, params).transform(held)) for c in cands]
+
+    per_fold = L.parallel_map(one_fold, range(k), k)
+    means = [sum(fold[i] for fold in per_fold) / k for i in range(len(cands))]
+    return cands[max(range(len(cands)), key=means.__getitem__)]
+
+
 def _recall(scored: DataFrame) -> float:
     r = scored.agg(F.sum(F.when((F.col("label") == 1) & (F.col("score") >= 0.5), 1).otherwise(0)),
                    F.sum("label")).collect()[0]

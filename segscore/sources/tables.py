@@ -47,8 +47,10 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 def write_by_segment(df: DataFrame, path: str, segment_col: str = "cluster") -> None:
     """One directory per segment; readers filtering on the segment get
-    partition pruning instead of a scan of every file."""
-    df.repartition(segment_col).write.mode("overwrite").partitionBy(segment_col).parquet(path)
+    partition pruning instead of a scan of every file. Rows are gathered by
+    segment so each task writes few directories; AQE splits a large segment
+    over several tasks."""
+    df.hint("rebalance", F.col(segment_col)).write.mode("overwrite").partitionBy(segment_col).parquet(path)
 
 
 def save_params(df: DataFrame, path: str) -> None:
