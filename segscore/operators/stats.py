@@ -138,8 +138,8 @@ def histogram(df: DataFrame, features: list[str], bins: int = 30, by: str | None
 
 def kde(df: DataFrame, features: list[str], points: int = 64) -> DataFrame:
     """Gaussian KDE (Scott bandwidth, sample sd) on a ``points`` grid from
-    min to max. The grid is a bounded per-feature table joined by feature; the
-    density sum is a grouped aggregate, so data rows are never collected."""
+    min to max. Equal values are counted first (map-side combined), so each
+    distinct value meets the grid once; the grid is a bounded per-feature table."""
     lv = long_values(df, features, keep=[])
     st = lv.groupBy("feature").agg(
         F.count(F.lit(1)).alias("n"), F.min("value").alias("mn"), F.max("value").alias("mx"),
@@ -153,8 +153,9 @@ def kde(df: DataFrame, features: list[str], points: int = 64) -> DataFrame:
     ).select("feature", "n", "k", "h",
              (F.col("mn") + F.col("k") * (F.col("mx") - F.col("mn")) / F.lit(float(points - 1))).alias("x"))
     z = (F.col("x") - F.col("value")) / F.col("h")
-    dens = spread(lv).join(F.broadcast(grid), "feature").groupBy("feature", "k", "x", "n", "h").agg(
-        F.sum(F.exp(-0.5 * z * z)).alias("s")
+    counted = lv.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("times"))
+    dens = counted.join(F.broadcast(grid), "feature").groupBy("feature", "k", "x", "n", "h").agg(
+        F.sum(F.col("times") * F.exp(-0.5 * z * z)).alias("s")
     )
     return dens.select(
         "feature", "k", "x",

@@ -76,9 +76,9 @@ def q_customer_features(spark, sf):
     return rounded(fx.customer_features(spark, sf))
 
 
-@query("doc_features", "SELECT id, label, " + ", ".join(r(c, c) for c in fx.DOC_FEATURES) + f" FROM ({fx.DOC_FEATURES_SQL})")
+@query("doc_features", "SELECT id, label, " + ", ".join(r(c, c) for c in fx.DOC_FEATURES) + f" FROM ({fx.ALL_DOC_FEATURES_SQL})")
 def q_doc_features(spark, sf):
-    return rounded(fx.doc_features(spark, sf))
+    return rounded(fx.doc_features(spark, sf, labelled=False))
 
 
 @query("event_values", "SELECT id, label, " + ", ".join(r(c, c) for c in fx.EVENT_FEATURES) + f" FROM ({fx.EVENT_VALUES_SQL})")
@@ -191,11 +191,8 @@ def q_histogram(spark, sf):
     return rounded(stats.histogram(customer_table(spark, sf), CF, bins=30))
 
 
-KDE_COLS = ["avg_disc", "max_line", "ret_rate"]
-
-
 @query("kde", f"""
-WITH lv AS ({_unpivot_sql(CF_SQL, KDE_COLS)}),
+WITH lv AS ({_unpivot_sql(CF_SQL, CF)}),
 s AS (SELECT feature, count(*) AS n, min(value) AS mn, max(value) AS mx, stddev_samp(value) AS sd FROM lv GROUP BY feature),
 g AS (SELECT feature, n, k, sd * pow(CAST(n AS DOUBLE), -0.2) AS h, mn + k * (mx - mn) / 63.0 AS x
       FROM s, range(0, 64) t(k))
@@ -203,18 +200,15 @@ SELECT g.feature, CAST(k AS INTEGER) AS k, {r('x', 'x')},
   {r('sum(exp(-0.5 * ((x - value) / h) * ((x - value) / h))) / (n * h * sqrt(2 * pi()))', 'density')}
 FROM lv JOIN g USING (feature) GROUP BY g.feature, k, x, n, h""")
 def q_kde(spark, sf):
-    return rounded(stats.kde(customer_table(spark, sf), KDE_COLS, points=64))
-
-
-SCATTER = ["qty", "gross", "ret_rate"]
+    return rounded(stats.kde(customer_table(spark, sf), CF, points=64))
 
 
 @query("scatter_sample", f"""
-SELECT id, label, {", ".join(r(c, c) for c in SCATTER)} FROM {CF_SQL}
+SELECT id, label, {", ".join(r(c, c) for c in CF)} FROM {CF_SQL}
 WHERE CAST(CAST(('0x' || substr(md5(CAST(id AS VARCHAR) || ':' || '7'), 1, 8)) AS BIGINT) AS DOUBLE) / CAST(4294967296 AS DOUBLE) < 0.2""")
 def q_scatter_sample(spark, sf):
     df = fx.customer_features(spark, sf)
-    return rounded(stats.hash_sample(df, 0.2, 7).select("id", "label", *SCATTER))
+    return rounded(stats.hash_sample(df, 0.2, 7).select("id", "label", *CF))
 
 
 # ------------------------------------------------------------------ correlation
@@ -607,9 +601,9 @@ CANON = ["n_chars", "n_words", "n_urls", "n_lines", "upper_share"]
 
 
 @query("conform_zero_fill", f"""SELECT id, {", ".join(r(c, c) if c in fx.DOC_FEATURES else f"0.0 AS {c}" for c in CANON)}
-FROM ({fx.DOC_FEATURES_SQL})""")
+FROM ({fx.ALL_DOC_FEATURES_SQL})""")
 def q_conform_zero_fill(spark, sf):
-    return rounded(validation.conform(fx.doc_features(spark, sf), CANON, missing="zero"))
+    return rounded(validation.conform(fx.doc_features(spark, sf, labelled=False), CANON, missing="zero"))
 
 
 @query("drop_listed", f"SELECT id, label, {', '.join(r(c, c) for c in CF if c not in ('gross', 'net', 'qty'))} FROM {CF_SQL}")
@@ -679,9 +673,9 @@ def q_knn_minority(spark, sf):
 
 
 @query("knn_all", f"""SELECT qid, nid, CAST(rank AS INTEGER) AS rank, {r('dist', 'dist')} FROM
-{knn_op.knn_bruteforce_sql(DOCS_SQL, DF, 3)}""")
+{knn_op.knn_bruteforce_sql(f"({fx.ALL_DOC_FEATURES_SQL})", DF, 3)}""")
 def q_knn_all(spark, sf):
-    return rounded(knn_op.knn(fx.doc_features(spark, sf), DF, 3).select("qid", "nid", F.col("rank").cast("int"), "dist"))
+    return rounded(knn_op.knn(fx.doc_features(spark, sf, labelled=False), DF, 3).select("qid", "nid", F.col("rank").cast("int"), "dist"))
 
 
 def _smote_ctes(feats: list[str], k: int, seed: int) -> str:
@@ -797,9 +791,9 @@ def q_multiclass_cv_metrics(spark, sf):
 
 @query("ovr_boosted_cv_metrics")
 def q_ovr_boosted_cv_metrics(spark, sf):
-    """M17 as one boosted binary model per class (one-vs-rest)."""
-    e = split.stratified_folds(fx.embedding_features(spark, sf).filter("label < 3"), 3, 42)
-    return rounded(L.cross_validate(L.boosted_multiclass(max_iter=5), L.assemble(e, EMB[:16], keep=["id", "label", "fold"]), k=3))
+    """M17 as one boosted binary model per class (one-vs-rest), all classes and columns."""
+    e = split.stratified_folds(fx.embedding_features(spark, sf), 3, 42)
+    return rounded(L.cross_validate(L.boosted_multiclass(max_iter=5), L.assemble(e, EMB, keep=["id", "label", "fold"]), k=3))
 
 
 @query("feature_importance_top")

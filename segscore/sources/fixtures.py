@@ -118,14 +118,15 @@ _WORD = "[^ \t\n\r]+"
 DOC_FEATURES = ["n_chars", "n_words", "n_lines", "n_digits", "n_punct", "upper_share"]
 
 
-def doc_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole-text counts per labelled document, label = ``toxic``."""
+def doc_features(spark: SparkSession, sf_dir: str, labelled: bool = True) -> DataFrame:
+    """Whole-text counts per document, label = ``toxic``: the labelled
+    documents, or all (label NULL where there is none)."""
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     lab = read_table(spark, sf_dir, "labels").select("doc_id", "toxic")
     t = F.coalesce(F.col("text"), F.lit(""))
     length = F.length(t).cast("double")
     upper = (length - F.length(F.regexp_replace(t, "[A-Z]", ""))).cast("double")
-    return d.join(lab, "doc_id").select(
+    return d.join(lab, "doc_id", "inner" if labelled else "left").select(
         F.col("doc_id").alias("id"),
         F.col("toxic").cast("int").alias("label"),
         length.alias("n_chars"),
@@ -150,6 +151,8 @@ SELECT d.doc_id AS id, CAST(l.toxic AS INTEGER) AS label,
 FROM documents d JOIN labels l ON l.doc_id = d.doc_id
 """
 
+ALL_DOC_FEATURES_SQL = DOC_FEATURES_SQL.replace("documents d JOIN", "documents d LEFT JOIN")
+
 EVENT_FEATURES = ["value", "value_c", "log_value"]
 
 
@@ -158,7 +161,7 @@ def event_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     the same value centred on zero (Yeo-Johnson case), and its log; label =
     purchase events."""
     e = read_table(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    return e.filter(F.col("value").isNotNull()).select(
+    return e.select(
         F.col("event_id").alias("id"),
         (F.col("event_type") == "purchase").cast("int").alias("label"),
         F.col("value"),
@@ -170,21 +173,9 @@ def event_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 EVENT_VALUES_SQL = """
 SELECT event_id AS id, CAST(event_type = 'purchase' AS INTEGER) AS label,
        value, value - 50.0 AS value_c, CASE WHEN value > 0 THEN ln(value) END AS log_value
-FROM events WHERE value IS NOT NULL
+FROM events
 """
 
-LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-
-
-def line_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
-    return li.select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
-        (F.col("l_returnflag") == "R").cast("int").alias("label"),
-        *[F.col(c).cast("double").alias(c) for c in LINE_FEATURES],
-    )
-
-
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with a rare label and a coarse score full of ties:
     label = ``c_acctbal < 0``, score = ``round(-c_acctbal / 100)``, and a
