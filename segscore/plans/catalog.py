@@ -888,12 +888,49 @@ def q_resampling_pipeline_scores(spark, sf):
 
 @query("ranker_scores")
 def q_ranker_scores(spark, sf):
-    """M19 (re-aimed): boosted regression on the 0/1 label as ranking score."""
+    """Boosted trees on the exponential pairwise loss, held-out 20 %."""
     tr, te = _docs_split(spark, sf)
-    m = L.pointwise_ranker(max_iter=20, max_depth=3).fit(L.assemble(tr, DF))
+    m = L.BipartiteRanker(max_iter=20, max_depth=3).fit(L.assemble(tr, DF))
     return rounded(m.transform(L.assemble(te, DF)).select("id", "label", F.col("prediction").alias("score")))
 
 
+# what is exact about fitted results, checked by id: the twin knows which rows
+# must come out and that every check holds
+DOC_TEST_SQL = f"""(SELECT id, label FROM (SELECT id, label, row_number() OVER (PARTITION BY label ORDER BY {_H.format(seed=42)}, id) AS rk,
+  count(*) OVER (PARTITION BY label) AS n FROM {DOCS_SQL}) WHERE rk <= round_even(0.2 * n, 0))"""
+
+
+@query("ranker_ids", f"SELECT id, label, true AS scored FROM {DOC_TEST_SQL}")
+def q_ranker_ids(spark, sf):
+    """Every held-out document gets one finite score."""
+    s = Q["ranker_scores"](spark, sf)
+    return s.select("id", "label", (F.col("score").isNotNull() & (F.abs("score") < 1e9)).alias("scored"))
+
+
+@query("oof_ids", f"SELECT id, label, CAST(1 AS BIGINT) AS times FROM {DOCS_SQL}")
+def q_oof_ids(spark, sf):
+    """Each row is scored by exactly one fold's model."""
+    s = Q["oof_scores_smote"](spark, sf)
+    return s.groupBy("id", "label").agg(F.count("score").alias("times"))
+
+
+@query("contributions_margin", f"SELECT id, true AS adds_up FROM {DOC_TEST_SQL}")
+def q_contributions_margin(spark, sf):
+    """Contributions and the margin at the means add up to the model's margin."""
+    from pyspark.ml.functions import vector_to_array
+    tr, te = _docs_split(spark, sf)
+    z = scalers.fit_standard(tr, DF)
+    ztr, zte = scalers.apply_standard(tr, z), scalers.apply_standard(te, z)
+    m = L.logistic(200).fit(L.assemble(ztr, DF))
+    mu = {r["feature"]: r["mean"] for r in stats.moments(ztr, DF).collect()}
+    parts = zte.select("id", *[(F.lit(float(w)) * (qcol(f) - F.lit(mu[f]))).alias(f"c{i}")
+                               for i, (f, w) in enumerate(zip(DF, m.coefficients.toArray()))])
+    at_means = float(m.intercept) + sum(float(w) * mu[f] for f, w in zip(DF, m.coefficients.toArray()))
+    total = sum((F.col(f"c{i}") for i in range(len(DF))), F.lit(at_means))
+    margin = m.transform(L.assemble(zte, DF)).select("id", vector_to_array("rawPrediction")[1].alias("margin"))
+    return parts.join(margin, "id").select("id", (F.abs(total - F.col("margin")) < 1e-8).alias("adds_up"))
+
+
 @query("feature_regression")
 def q_feature_regression(spark, sf):
     """M25 (re-aimed): one feature regressed on another (max_line on gross)."""
@@ -918,15 +955,17 @@ def q_linear_contributions(spark, sf):
 @query("collinearity")
 def q_collinearity(spark, sf):
     """A29 + A30: VIF per feature and the condition number of the correlation
-    matrix (p×p on the driver, from the one-pass pair sums)."""
+    matrix (p×p on the driver, from the one-pass pair sums); infinite if it is
+    singular."""
     import numpy as np
     r = corr.corr_from_sums(corr.pair_sums_matrix(fx.customer_features(spark, sf), CF))
-    r = np.nan_to_num(r, nan=0.0) + np.eye(len(CF)) * 1e-12
+    r = np.nan_to_num(r, nan=0.0)
     np.fill_diagonal(r, 1.0)
-    inv = np.linalg.pinv(r)
     ev = np.linalg.eigvalsh(r)
-    cond = float(np.sqrt(ev.max() / max(ev.min(), 1e-300)))
-    rows = [(f, float(inv[i, i]), cond) for i, f in enumerate(CF)]
+    singular = ev.min() <= len(CF) * np.finfo(float).eps * ev.max()
+    vif = np.full(len(CF), np.inf) if singular else np.diag(np.linalg.inv(r))
+    cond = np.inf if singular else np.sqrt(ev.max() / ev.min())
+    rows = [(f, float(v), float(cond)) for f, v in zip(CF, vif)]
     return rounded(spark.createDataFrame(rows, "feature string, vif double, condition_number double"), 3)
 
 
@@ -996,6 +1035,31 @@ def q_stream_scores(spark, sf):
     return rounded(spark.read.parquet(f"{base}/out/scored").drop("batch"))
 
 
+@query("stream_ids", f"SELECT id, true AS equal FROM {CF_SQL}")
+def q_stream_ids(spark, sf):
+    """R1 = M27: the stream writes every row once, scored as the batch scores it."""
+    batch = Q["risk_scores"](spark, sf).select("id", F.col("score").alias("b"), F.col("prediction").alias("p"))
+    s = Q["stream_scores"](spark, sf).select("id", "score", "prediction").join(batch, "id", "full")
+    return s.select("id", (F.col("score").eqNullSafe(F.col("b")) & F.col("prediction").eqNullSafe(F.col("p"))).alias("equal"))
+
+
+@query("thresholds_applied", f"SELECT id, true AS applied FROM {CF_SQL}")
+def q_thresholds_applied(spark, sf):
+    """F11 in the flow: prediction = (score >= the threshold of the row's segment)."""
+    df, t = trained_flow(spark, sf)
+    cut = F.create_map(*[F.lit(x) for c, m in t.models.items() for x in (int(c), float(m.threshold))])
+    s = training.score(df, t)
+    return s.select("id", ((F.col("score") >= cut[F.col("cluster")]).cast("int") == F.col("prediction")).alias("applied"))
+
+
+@query("segment_rows", f"SELECT count(*) AS n, CAST(5 AS BIGINT) AS segments, CAST(0 AS BIGINT) AS unplaced FROM {CF_SQL}")
+def q_segment_rows(spark, sf):
+    """M6: five segments that hold every row."""
+    seg, _, _ = customer_segments(spark, sf)
+    return seg.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("cluster").alias("segments"),
+                   F.sum(F.col("cluster").isNull().cast("long")).alias("unplaced"))
+
+
 # ------------------------------------------------------------------ sources round trips
 @query("csv_roundtrip", f"SELECT id, label, {', '.join(r(c, c) for c in CF)} FROM {CF_SQL}")
 def q_csv_roundtrip(spark, sf):

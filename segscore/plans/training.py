@@ -162,7 +162,8 @@ def _gbt(params: dict, seed: int = 42):
                             step=float(params.get("stepSize", 0.1)),
                             subsample=float(min(1.0, params.get("subsamplingRate", 1.0))),
                             min_instances=int(params.get("minInstancesPerNode", 1)),
-                            min_gain=float(params.get("minInfoGain", 0.0)), seed=seed)
+                            subset=str(params.get("featureSubsetStrategy", "all")),
+                            min_gain=float(params.get("minInfoGain", 0.0)), weight="posWeight" in params, seed=seed)
 
 
 def _candidates(recipe: Recipe) -> list[dict]:
@@ -198,17 +199,20 @@ def _make_estimator(recipe: Recipe, params: dict, feats: list[str], train: DataF
 
 def _fit_stack(params: dict, data: DataFrame, feats: list[str]):
     bases = [L.random_forest(int(params.get("rf_trees", 20)), int(params.get("rf_depth", 5))),
-             L.mlp(len(feats), int(params.get("mlp_hidden", 16)), max_iter=100),
+             L.mlp(len(feats), int(params.get("mlp_hidden", 16)), max_iter=int(params.get("mlp_iter", 500))),
              L.boosted_binary(int(params.get("gbt_iter", 10)), int(params.get("gbt_depth", 3)),
-                              float(params.get("gbt_step", 0.1)))]
-    d = split.stratified_folds(data, 5, 42)
+                              float(params.get("gbt_step", 0.1)), weight=True)]
+    d = split.stratified_folds(L.add_class_weight(data, 1.5), 5, 42)
     return L.fit_stack(bases, L.logistic(), d, feats, k=5)
 
 
 def fit_segment_model(df: DataFrame, recipe: Recipe, seed: int = 42) -> SegmentModel:
     keep = ["id", "label"]
     base = [c for c in df.columns if c not in ("id", "label", "cluster")]
-    drops = [d for d in recipe.drops if d in base]
+    drops = list(recipe.drops)
+    missing = [d for d in drops if d not in base]
+    if missing:
+        raise KeyError(f"segment {recipe.segment}: columns to drop not found: {missing}")
     feats0 = [f for f in base if f not in drops]
     if recipe.drop_before_scale:
         sc = scalers.standard_params_list(df, feats0)
@@ -266,6 +270,8 @@ def fit_segment_model(df: DataFrame, recipe: Recipe, seed: int = 42) -> SegmentM
             if recipe.learner == "stack":
                 return _StackScorer(_fit_stack(cand, tr, feats), params)
             est = _make_estimator(recipe, cand, feats, tr)
+            if "posWeight" in cand:
+                tr = tr.withColumn("weight", F.when(F.col("label") == 1, float(cand["posWeight"])).otherwise(1.0))
             return L.FittedChain(feats, params, est.fit(L.assemble(tr, feats)))
 
         def objective(scored: DataFrame) -> float:

@@ -265,3 +265,16 @@ def test_smote_is_complete_with_missing_features(spark):
     assert out == {0: 32, 1: 32}
     even = _df(spark, [(i, i % 2, float(i), 0.0) for i in range(6)], "id long, label int, a double, b double")
     assert resample.smote_synthetic(even, ["a", "b"]).count() == 0
+
+
+def test_bipartite_ranker_orders_ties_and_one_class(spark):
+    from segscore.operators import learners as L
+    rows = [(i, float(i % 7), float(i % 5), int((i % 7) + 2 * (i % 5) >= 9)) for i in range(210)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, label int")
+    x = L.assemble(df, ["a", "b"])
+    p = L.BipartiteRanker(max_iter=4, max_depth=2, step=1.0).fit(x).transform(x).select("label", "prediction").toPandas()
+    pos, neg = p[p.label == 1].prediction.to_numpy(), p[p.label == 0].prediction.to_numpy()
+    diff = pos[:, None] - neg[None, :]
+    assert ((diff > 0) + 0.5 * (diff == 0)).mean() > 0.95
+    one = x.filter("label = 0")
+    assert L.BipartiteRanker(max_iter=2).fit(one).transform(one).select("prediction").distinct().collect()[0][0] == 0
