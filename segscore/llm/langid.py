@@ -4,7 +4,8 @@ A text becomes an L2-normalised TF-IDF vector of hashed byte n-grams of its
 letters (every other byte is a blank, blanks collapse). Each language has
 ``clusters`` unit centroids from a spherical k-means over a bounded sample; a
 text gets the language of the centroid with the highest cosine, and is
-rejected when that cosine is below the language's floor.
+rejected when that cosine is below the language's floor for texts with as many
+different n-grams: a share of a low quantile over all learning rows of the language.
 """
 
 from __future__ import annotations
@@ -24,8 +25,15 @@ GRAMS = (2, 3, 4)
 DIM = 1 << 14
 #: Rows whose dense vectors are held at once.
 ROWS = 64
-#: A language rejects texts below this share of the cosine of its least similar training text.
-FLOOR = 0.3
+#: A language rejects texts below this share of that quantile of its learning rows' closeness.
+FLOOR, QUANTILE = 0.35, 0.05
+#: Bands of different n-grams in a text; one with fewer learning rows than BAND_ROWS takes the language's quantile.
+BANDS = np.array([16, 64, 256, 1024])
+BAND_ROWS = 100
+#: Different n-grams of a text at which its cosine to a dense centroid is about 0.7.
+HALF = 600
+#: Closeness is counted in steps of 1 / STEPS.
+STEPS = 1000
 MAX_LANGUAGES = 1000
 UNKNOWN = "und"
 
@@ -40,7 +48,7 @@ class Centroids:
     languages: list[str]
     owner: np.ndarray  # language index of each centroid
     unit: np.ndarray  # centroids x DIM
-    floor: np.ndarray  # least cosine that a centroid accepts
+    floor: np.ndarray  # languages x bands: least closeness that a language accepts
     idf: np.ndarray
 
 
@@ -80,6 +88,15 @@ def unit_vectors(x: np.ndarray) -> np.ndarray:
     return x / np.where(norm > 0, norm, 1)
 
 
+def cosines(raw: np.ndarray, at: np.ndarray, m: Centroids) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(texts x centroids) cosines, and per text its band and the cosine that a
+    clean text of as many different n-grams may reach; a cosine's share of that
+    is its closeness."""
+    counts = gram_counts(raw, at)
+    used = (counts > 0).sum(axis=1)
+    return unit_rows(counts, m.idf) @ m.unit.T, np.searchsorted(BANDS, used, "right"), np.sqrt(used / (used + HALF))
+
+
 def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
@@ -112,7 +129,7 @@ def fit_languages(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not sizes:
-        return Centroids([], np.zeros(0, int), np.zeros((0, DIM), np.float32), np.zeros(0), np.ones(DIM, np.float32))
+        return Centroids([], np.zeros(0, int), np.zeros((0, DIM), np.float32), np.zeros((0, len(BANDS) + 1)), np.ones(DIM, np.float32))
     spark = df.sparkSession
     share = spark.createDataFrame([(r["lang"], min(1.0, per_language / r["n"])) for r in sizes], "lang string, share double")
     draw = F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(5)), F.lit(1 << 30)) / (1 << 30)
@@ -149,22 +166,51 @@ def fit_languages(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
             counts[i, np.frombuffer(s, "<u2")] = np.frombuffer(c, "<u4")
         x = unit_rows(counts, idf)
         cent = spherical_kmeans(x, clusters)
-        floor = FLOOR * float((x @ cent.T).max(axis=1).min())  # of the least similar training text
-        return pd.DataFrame({"lang": [pdf["lang"].iloc[0]] * len(cent), "floor": floor,
-                             "unit": [c.astype("<f4").tobytes() for c in cent]})
+        return pd.DataFrame({"lang": [pdf["lang"].iloc[0]] * len(cent), "unit": [c.astype("<f4").tobytes() for c in cent]})
 
-    found = vectors.groupBy("lang").applyInPandas(cluster, "lang string, floor double, unit binary").collect()
+    found = vectors.groupBy("lang").applyInPandas(cluster, "lang string, unit binary").collect()
     found.sort(key=lambda r: (r["lang"], r["unit"]))  # at most MAX_LANGUAGES x clusters rows
     languages = sorted({r["lang"] for r in found})
-    return Centroids(languages, np.array([languages.index(r["lang"]) for r in found]),
-                     np.stack([np.frombuffer(r["unit"], "<f4") for r in found]), np.array([r["floor"] for r in found]), idf)
+    model = Centroids(languages, np.array([languages.index(r["lang"]) for r in found]),
+                      np.stack([np.frombuffer(r["unit"], "<f4") for r in found]), np.zeros((len(languages), len(BANDS) + 1)), idf)
+    model.floor = floors(df, model)
+    return model
+
+
+def floors(df: DataFrame, model: Centroids) -> np.ndarray:
+    """``Centroids.floor`` from the closeness of every row of ``df(text, lang)``
+    to its own language: one pass, counted by language and band."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def closeness(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        number = {name: i for i, name in enumerate(m.languages)}
+        for b in batches:
+            lang = np.array([number.get(x, -1) for x in b.column(1).to_pylist()], int)
+            band, step = np.zeros(b.num_rows, np.int32), np.zeros(b.num_rows, np.int32)
+            for lo, hi, raw, at in text_slices(b.column(0), limit=1 << 19, rows=ROWS):
+                sim, band[lo:hi], reach = cosines(raw, at, m)
+                own = np.where(m.owner == lang[lo:hi, None], sim, 0).max(axis=1)
+                step[lo:hi] = np.clip(own / np.where(reach > 0, reach, 1), 0, 8) * STEPS
+            yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(band), pa.array(step)], names=["lang", "band", "step"])
+
+    steps = df.select("text", "lang").mapInArrow(closeness, "lang long, band int, step int").filter("lang >= 0")
+    low = F.percentile("step", F.lit(QUANTILE)).alias("low")
+    rows = steps.rollup("lang", "band").agg(F.count(F.lit(1)).alias("n"), low).filter("lang is not null").collect()
+    out = np.zeros((len(model.languages), len(BANDS) + 1))  # at most MAX_LANGUAGES x bands rows
+    for r in sorted(rows, key=lambda r: r["band"] is not None):  # the language's own quantile first
+        if r["band"] is None:
+            out[r["lang"]] = FLOOR * r["low"] / STEPS
+        elif r["n"] >= BAND_ROWS:
+            out[r["lang"], r["band"]] = FLOOR * r["low"] / STEPS
+    return out
 
 
 def predict_languages(df: DataFrame, model: Centroids, text_col: str = "text") -> DataFrame:
     """All rows and columns of ``df`` with ``lang_pred`` (``und`` for null texts
     and texts without a letter, or if nothing was learned), ``score`` (cosine to
-    the nearest centroid, 0 to 1) and ``rejected`` (``und``, or nearer than no
-    centroid accepts). Columns of those names are replaced."""
+    the nearest centroid, 0 to 1) and ``rejected`` (``und``, or less close than
+    that centroid's language accepts). Columns of those names are replaced."""
     df = df.drop(*[c for c in ("lang_pred", "score", "rejected") if c != text_col]).withColumn("_l_letter", has_letter(F.col(text_col)))
     names = df.columns
     at, letter = names.index(text_col), names.index("_l_letter")
@@ -174,16 +220,17 @@ def predict_languages(df: DataFrame, model: Centroids, text_col: str = "text") -
         m = shared.value
         for b in batches:
             n = b.num_rows
-            best, cosine = np.zeros(n, int), np.zeros(n)
+            best, cosine, least = np.zeros(n, int), np.zeros(n), np.ones(n)
             if len(m.languages):
                 for lo, hi, raw, offsets in text_slices(b.column(at), limit=1 << 19, rows=ROWS):
-                    sim = unit_rows(gram_counts(raw, offsets), m.idf) @ m.unit.T
+                    sim, band, reach = cosines(raw, offsets, m)
                     best[lo:hi] = np.argmax(sim, axis=1)
                     cosine[lo:hi] = sim[np.arange(hi - lo), best[lo:hi]]
+                    least[lo:hi] = m.floor[m.owner[best[lo:hi]], band] * reach
             known = b.column(letter).to_numpy(zero_copy_only=False).astype(bool) & (len(m.languages) > 0)
             cosine = np.where(known, np.clip(cosine, 0, 1), 0.0)
             pred = [m.languages[m.owner[j]] if k else UNKNOWN for j, k in zip(best, known)]
-            gone = ~known | (cosine < (m.floor[best] if len(m.languages) else 1.0))
+            gone = ~known | (cosine < least)
             cols = [c for i, c in enumerate(b.columns) if i != letter]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(pred, pa.string()), pa.array(cosine), pa.array(gone)],
                                              names=[c for c in names if c != "_l_letter"] + ["lang_pred", "score", "rejected"])

@@ -195,6 +195,28 @@ def test_language_id(spark, tables):
     assert {r.lang_pred for r in langid.predict_languages(docs.limit(5), langid.fit_languages(docs.limit(0))).collect()} == {"und"}
 
 
+def test_language_id_rejects_what_it_did_not_learn(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    r = np.random.default_rng(4)
+
+    def noise(words):
+        return " ".join("".join(chr(97 + int(c)) for c in r.integers(0, 26, int(r.integers(2, 10)))) for _ in range(words))
+
+    strange = ["T\u00e4m\u00e4 on suomenkielinen lause joka kertoo ett\u00e4 kielt\u00e4 ei ole opittu ja siksi se pit\u00e4isi hyl\u00e4t\u00e4",
+               "To jest zdanie w j\u0119zyku polskim, kt\u00f3rego nikt nie nauczy\u0142, i powinno zosta\u0107 odrzucone bez wahania",
+               'int main(void) { for (int i = 0; i < n; ++i) { printf("%d\\n", buf[i]); } return 0; }',
+               *[noise(int(n)) for n in r.integers(8, 300, 40)]]
+    rows = [(20_000 + i, t, None, "s", 0) for i, t in enumerate(strange)]
+    junk = [(30_000 + i, noise(40), "en", "s", 0) for i in range(3)]  # a few bad learning rows set no floor
+    got = language_id(docs.unionByName(spark.createDataFrame(rows + junk, docs.schema))).collect()
+    new = [g for g in got if 20_000 <= (g.doc_id or 0) < 30_000]
+    assert len(new) == len(strange) and [g.text for g in new if not g.rejected] == []
+    clean = [g for g in got if (g.doc_id or 0) < 20_000 and g.lang_pred != "und" and g.lang == g.lang_pred]
+    short = [g for g in clean if len(g.text) < 100]
+    assert len(short) >= 15 and [g.text for g in short if g.rejected] == []
+    assert np.mean([g.rejected for g in clean]) < 0.002
+
+
 def test_gram_counts_do_not_cross_texts():
     raw = "Été! été".encode() + b"ab"
     both = langid.gram_counts(np.frombuffer(raw, np.uint8), np.array([0, len(raw) - 2, len(raw)]))
