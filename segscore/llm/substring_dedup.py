@@ -11,12 +11,15 @@ sample is taken so that matches of ``LENGTH`` bytes can be read off it alone:
   suffix and about one suffix in thirty is carried.
 * Tuples: a sampled suffix travels as (hash of its first bytes, hash of the
   whole context that its windows span, id, run of windows). Tuples are
-  shuffled by hash into groups of bounded size (spilled by Spark) and sorted there.
+  shuffled by hash (spilled by Spark) and sorted there. A hash that a task holds
+  in ``HOT`` contexts or more it deals by (hash, context) instead, and marks the
+  hash's own group: so one hash brings a group fewer than ``HOT`` tuples a task.
 * Induction: suffixes with equal contexts have all their windows in common, so
   every one but the first passes its whole run on as repeated. Where a group
   has several contexts, common prefixes are shorter than the context: only the
   first of each context sends its windows, one by one, into a second round of
-  the same sort keyed by the window itself.
+  the same sort keyed by the window itself. Where a task dealt a hash by context,
+  the first of each context always does, so tuples that did not meet still do there.
 
 Before each shuffle a task keeps the first tuple of each key and settles the
 rest itself, so a passage that a third of the texts share sends one tuple a
@@ -44,6 +47,8 @@ SLICE = 1 << 20
 GATHERED = 24 << 20
 #: Bytes of text for each group of the shuffles.
 GROUP = 16 << 20
+#: A task deals a hash by context from this many contexts on.
+HOT = 16
 
 _U = np.uint64
 _POS_BITS = 28
@@ -204,7 +209,8 @@ def text_check(column) -> np.ndarray:
 
 ROWS = pa.schema([("grp", pa.int64()), ("kind", pa.int32()), ("payload", pa.binary())])
 ROWS_SQL = "grp long, kind int, payload binary"
-SEND, REPEATED, ASKED = 0, 1, 2
+#: SPLIT: tuples dealt by (hash, context); MARKED: their hashes, dealt as SEND.
+SEND, REPEATED, ASKED, SPLIT, MARKED = 0, 1, 2, 3, 4
 
 
 def table(*parts: tuple[list, list, list]) -> pa.Table:
@@ -228,25 +234,33 @@ def later(doc, start, new) -> np.ndarray:
 
 def sent(tuples: list[np.ndarray], groups: int) -> pa.Table:
     """A task's tuples: the first of each (key, rest) goes to the key's group,
-    runs of all later ones are known to be repeated."""
+    or if the key is hot to that of (key, rest); runs of all later ones are
+    known to be repeated."""
     o, new = ordered(*tuples[:3], tuples[4])
     t = [c[o] for c in tuples]
     after = later(t[2], t[4], new)
     one = ~after
     repeat = runs_joined(t[2][after], t[3][after], t[5][after], t[5][after] + t[6][after])
     keep = [c[one] for c in t]
+    hashes, which, n = np.unique(keep[0], return_inverse=True, return_counts=True)
+    hot = (n >= HOT)[which]
+    marked = hashes[n >= HOT]
     back = np.lexsort((keep[4], keep[2]))  # by text: neighbouring ids compress well
-    keep = [c[back] for c in keep]
-    return table(dealt(keep[0] >> _U(8), groups, SEND, keep), dealt(doc_key(*repeat[:2]), groups, REPEATED, list(repeat)))
+    stay, split = ([c[back[k[back]]] for c in keep] for k in (~hot, hot))
+    return table(dealt(stay[0] >> _U(8), groups, SEND, stay), dealt(mixed(split[0] ^ mixed(split[1])), groups, SPLIT, split),
+                 dealt(marked >> _U(8), groups, MARKED, [marked]), dealt(doc_key(*repeat[:2]), groups, REPEATED, list(repeat)))
 
 
 def settled(rows: pa.Table, texts: int, windows: bool) -> pa.Table:
     """A group of the sort: runs that are repeated and, in the first round, the
-    first suffix of each context where a hash has several."""
+    first suffix of each context where a hash has several or is hot in a task."""
     kind = rows.column("kind").to_numpy()
     payload = rows.column("payload").to_pylist()
-    t = unpacked([p for p, k in zip(payload, kind) if k == SEND], TUPLE)
+    t, split = (unpacked([p for p, k in zip(payload, kind) if k == one], TUPLE) for one in (SEND, SPLIT))
     done = unpacked([p for p, k in zip(payload, kind) if k == REPEATED], RUN)
+    marked = unpacked([p for p, k in zip(payload, kind) if k == MARKED], ["<u8"])[0]
+    marked = np.unique(np.concatenate([marked, split[0]]))
+    t = [np.concatenate(c) for c in zip(t, split)]
     o, new = ordered(*t[:3], t[4])
     t = [c[o] for c in t]
     after = later(t[2], t[4], new)
@@ -257,7 +271,7 @@ def settled(rows: pa.Table, texts: int, windows: bool) -> pa.Table:
         key = t[0]
         group = np.cumsum(np.r_[True, key[1:] != key[:-1]]) - 1 if len(key) else np.zeros(0, np.int64)
         several = np.bincount(group[new], minlength=1)[group] > 1 if len(key) else np.zeros(0, bool)
-        ask = several & ~after
+        ask = (several | np.isin(key, marked)) & ~after
         asked = runs_joined(t[2][ask], t[3][ask], t[5][ask], t[5][ask] + t[6][ask])
         parts.append(dealt(doc_key(*asked[:2]), texts, ASKED, list(asked)))
     return table(*parts)

@@ -175,6 +175,40 @@ def test_repeated_spans_against_brute_force(spark, docs, slice_bytes, monkeypatc
     assert got == sorted(want)
 
 
+def hot_line(n, seed=9):
+    """Texts that hold one line of 60 bytes amid neighbours of their own; some neighbours recur."""
+    rng = np.random.default_rng(seed)
+    line = "".join(map(chr, rng.integers(97, 123, 60)))
+    near = ["".join(map(chr, rng.integers(97, 123, 150))) for _ in range(n)]
+    return [(i, near[i % (n - 20)] + line + near[(i * 7 + 3) % (n - 20)]) for i in range(n)]
+
+
+def test_repeated_spans_deals_a_hot_line_to_many_groups():
+    m = substring_dedup
+    raw = [t.encode() for _, t in hot_line(600)]
+    at = np.cumsum([0] + [len(r) for r in raw])
+    t, a, lo, hi, h, c = m.sampled(np.frombuffer(b"".join(raw), np.uint8), at)
+    zero = np.zeros(len(t), "<i4")
+    rows = m.sent([h, c, t.astype("<i8"), zero, a.astype("<i4"), lo.astype("<i4"), (hi - lo).astype("<i4")], 1 << 20).to_pylist()
+    tuples = [(r["grp"], m.unpacked([r["payload"]], m.TUPLE)[0]) for r in rows if r["kind"] in (m.SEND, getattr(m, "SPLIT", m.SEND))]
+    sizes = {}
+    for grp, keys in tuples:
+        sizes[grp] = sizes.get(grp, 0) + len(keys)
+    top = max(np.unique(np.concatenate([k for _, k in tuples]), return_counts=True)[1])
+    assert top > 300 and max(sizes.values()) < 20  # was: all of the hot hash in one group
+
+
+def test_repeated_spans_of_a_hot_line_against_brute_force(spark):
+    rows = hot_line(160) + [(1000 + i, t) for i, t in hot_line(40)[:8]]  # dealt so that the line is hot in some tasks only
+    parts = [rows[:100], rows[100:110], rows[110:115], rows[115:]]
+    df = spark.createDataFrame(parts[0], "doc_id long, text string").coalesce(1)
+    for p in parts[1:]:
+        df = df.unionByName(spark.createDataFrame(p, df.schema).coalesce(1))
+    got = sorted((r.doc_id, bytes(r.kept)) for r in repeated_spans(df).collect())
+    assert got == sorted((d, np.frombuffer(b, np.uint8)[~gone].tobytes()) for d, b, gone in removed(rows))
+    assert sum(len(k) for _, k in got) < sum(len(t) for _, t in rows) - 5000
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     for f in (exact_dedup, simhash_dedup, drop_near_copies, repeated_spans):
