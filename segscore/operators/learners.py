@@ -79,9 +79,9 @@ def boosted_binary(max_iter=50, max_depth=3, step=0.1, subsample=1.0, subset="al
     return g
 
 
-def boosted_multiclass(max_iter=20, max_depth=3, step=0.1, subsample=1.0, seed=42, parallelism=4) -> OneVsRest:
+def boosted_multiclass(max_iter=20, max_depth=3, step=0.1, subsample=1.0, seed=42, parallelism=4, subset="all") -> OneVsRest:
     """One binary boosted model per class (K× the work of one)."""
-    return OneVsRest(classifier=boosted_binary(max_iter, max_depth, step, subsample, seed=seed),
+    return OneVsRest(classifier=boosted_binary(max_iter, max_depth, step, subsample, subset, seed=seed),
                      featuresCol=VEC, labelCol="label", parallelism=parallelism)
 
 
@@ -197,8 +197,10 @@ def out_of_fold_scores(est, data: DataFrame, features: list[str], k: int = 5, re
 
 # ------------------------------------------------------------------ importances
 def importances(model, features: list[str]) -> DataFrame:
-    """Impurity importances as a table, largest first (ties by name)."""
-    imp = model.featureImportances.toArray()
+    """Impurity importances as a table, largest first (ties by name); of
+    one-vs-rest models their mean."""
+    parts = [m.featureImportances.toArray() for m in getattr(model, "models", [model])]
+    imp = sum(parts) / len(parts)
     spark = SparkSession.getActiveSession()
     rows = [(f, float(v)) for f, v in zip(features, imp)]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")

@@ -971,13 +971,17 @@ def q_collinearity(spark, sf):
 
 # ------------------------------------------------------------------ full flow
 _TRAINED: dict = {}
+#: Search budgets of the flow queries; only tests lower it (recipes.flow_recipes).
+FLOW_BUDGET = "full"
 
 
-def trained_flow(spark, sf):
-    key = (spark.sparkContext.applicationId, sf)  # frames of a stopped session are never reused
+def trained_flow(spark, sf, budget=None):
+    budget = budget or FLOW_BUDGET
+    key = (spark.sparkContext.applicationId, sf, budget)  # frames of a stopped session are never reused
     if key not in _TRAINED:
         df = fx.customer_features(spark, sf)
-        _TRAINED[key] = (df, training.fit_all(df, CF, RC.small_recipes()))
+        recipes, search = RC.flow_recipes(budget)
+        _TRAINED[key] = (df, training.fit_all(df, CF, recipes, classifier_search=search))
     return _TRAINED[key]
 
 

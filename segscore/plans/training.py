@@ -11,6 +11,7 @@ one persisted frame, then a union), and the segment's threshold decides.
 
 from __future__ import annotations
 
+import itertools
 import math
 import uuid
 import warnings
@@ -74,12 +75,23 @@ class SegmentClassifier:
 
 
 def fit_segment_classifier(df: DataFrame, features: list[str], top_n: int = 28, seed: int = 42,
-                           max_iter: int = 10, learner: str = "forest") -> tuple[SegmentClassifier, DataFrame]:
+                           max_iter: int = 10, learner: str = "forest", search: tuple | None = None) -> tuple[SegmentClassifier, DataFrame]:
     """Importance ranking (forest) → top-n features → multi-class model
     (``forest``: one native multi-class forest; ``ovr_boosted``: one boosted
-    binary model per segment); returns it and its 5-fold CV metrics (A15)."""
+    binary model per segment); returns it and its 5-fold CV metrics (A15).
+
+    With ``search`` (two grids of boosted models) both steps take the candidate
+    of the best macro recall over five folds of the training part."""
     data = df.select("id", F.col("cluster").alias("label"), *[qcol(f) for f in features])
     data = split.stratified_folds(data, 5, seed)
+    if search:
+        train = split.stratified_split(data.drop("fold"), 0.2, seed).filter(~F.col("is_test")).drop("is_test")
+        train = cut_lineage(split.stratified_folds(train, 5, seed))
+        first = _best_multiclass(train, features, search[0], seed).fit(L.assemble(train, features))
+        top = L.top_features(L.importances(first, features), min(top_n, len(features)))
+        est = _best_multiclass(train, top, search[1], seed)
+        cvm = L.cross_validate(est, L.assemble(data, top, keep=["id", "label", "fold"]))
+        return SegmentClassifier(top, est.fit(L.assemble(data, top))), cvm
     rf = L.random_forest(n_trees=50, max_depth=8, seed=seed).fit(L.assemble(data, features))
     top = L.top_features(L.importances(rf, features), min(top_n, len(features)))
     est = (L.boosted_multiclass(max_iter=max_iter, max_depth=3, step=0.1, seed=seed) if learner == "ovr_boosted"
@@ -89,6 +101,20 @@ def fit_segment_classifier(df: DataFrame, features: list[str], top_n: int = 28,
     return SegmentClassifier(top, model), cvm
 
 
+def _best_multiclass(train: DataFrame, features: list[str], space: dict, seed: int):
+    """The boosted multi-class candidate of the best mean macro recall over the folds of ``train``."""
+    x = cut_lineage(L.assemble(train, features, keep=["id", "label", "fold"]))
+    best = None
+    for vals in itertools.product(*space.values()):
+        c = dict(zip(space, vals))
+        est = L.boosted_multiclass(c["maxIter"], c["maxDepth"], c["stepSize"], c["subsamplingRate"], seed,
+                                   subset=c.get("featureSubsetStrategy", "all"))
+        recall = L.cross_validate(est, x).first()["recall_macro_mean"]
+        if best is None or recall > best[0]:
+            best = recall, est
+    return best[1]
+
+
 # ------------------------------------------------------------------ per-segment models
 @dataclass
 class SegmentModel:
@@ -183,7 +209,6 @@ def _candidates(recipe: Recipe) -> list[dict]:
                     d[k] = rng.choice(list(v))
             out.append(d)
         return out
-    import itertools
     keys = list(sp)
     return [dict(zip(keys, vals)) for vals in itertools.product(*[sp[k] for k in keys])] or [dict(recipe.learner_params)]
 
@@ -335,7 +360,7 @@ class Trained:
 
 
 def fit_all(df: DataFrame, features: list[str], recipes: dict[int, Recipe], k: int = 5, kseed: int = 2,
-            drops=(), post_drop=(), parallelism: int = 3) -> Trained:
+            drops=(), post_drop=(), parallelism: int = 3, classifier_search: tuple | None = None) -> Trained:
     spark = df.sparkSession
     # every fitting pass reads the feature table: materialise it once
     df = cut_lineage(df.select("id", "label", *[qcol(f) for f in features]))
@@ -343,7 +368,7 @@ def fit_all(df: DataFrame, features: list[str], recipes: dict[int, Recipe], k: i
     mm = cut_lineage(apply_global(df, prep))
     seg = segment.fit_kmeans(mm, prep.out, k=k, seed=kseed)
     clustered = cut_lineage(segment.assign(mm, seg))
-    clf, cvm = fit_segment_classifier(clustered, prep.out)
+    clf, cvm = fit_segment_classifier(clustered, prep.out, search=classifier_search)
     run = uuid.uuid4().hex[:12]
     rows = [(run, "classifier", "metric", k2, str(v)) for k2, v in cvm.collect()[0].asDict().items()]
     rows.append((run, "classifier", "metric", "accuracy", str(cvm.collect()[0]["accuracy_mean"])))
