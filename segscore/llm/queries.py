@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from segscore.llm.exact import exact_dedup
 from segscore.llm.langid import language_id
+from segscore.llm.lexical import ranked_search
 from segscore.llm.mixing import mix_sources
 from segscore.llm.packing import pack
 from segscore.llm.quality import quality
@@ -159,6 +160,33 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "p_insult", "p_severe", "score", "predicted")
 
 
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ranked_search(docs, read_table(spark, sf_dir, "benchmark"), k=20)
+
+
+_TERMS_SQL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+SQL["op11_lexical_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_TERMS_SQL} AS words FROM documents),
+n AS (SELECT row, doc_id, len(words)::BIGINT AS n FROM d WHERE len(words) > 0),
+a AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM n),
+i AS (SELECT row_number() OVER () AS item, item_id, {_TERMS_SQL} AS words FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+q AS (SELECT item, item_id, term, count(*)::BIGINT AS times FROM (SELECT item, item_id, unnest(words) AS term FROM i) GROUP BY ALL),
+t AS (SELECT row, term, count(*)::BIGINT AS tf FROM (SELECT row, unnest(words) AS term FROM d)
+      WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * max(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM t, a GROUP BY term),
+s AS (SELECT item, item_id, row, n.doc_id,
+             sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms))))::BIGINT AS score
+      FROM q JOIN t USING (term) JOIN w USING (term) JOIN n USING (row), a GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id)::INTEGER AS rank FROM s
+      WHERE score > 0 AND doc_id IS NOT NULL)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
