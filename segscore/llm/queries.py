@@ -12,6 +12,7 @@ from segscore.llm.exact import exact_dedup
 from segscore.llm.langid import language_id
 from segscore.llm.lexical import ranked_search
 from segscore.llm.mixing import mix_sources
+from segscore.llm.negatives import hard_negatives
 from segscore.llm.packing import pack
 from segscore.llm.quality import quality
 from segscore.llm.secret_scan import RULES, joined_spans, of_kind, scan_secrets
@@ -187,6 +188,29 @@ SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
 """
 
 
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = read_table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(v.select("vec_id", "embedding", moved.alias("label")))
+
+
+SQL["op13_hard_negatives"] = """
+WITH v AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND label IS NOT NULL AND vec_id IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS score
+      FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % 50 = 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM s WHERE same),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+      FROM p JOIN s USING (anchor_id)
+      WHERE place <= 5 AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from segscore.llm import lexical
+from segscore.llm import negatives as negatives_module
 from segscore.llm.lexical import ranked_search
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -75,3 +76,80 @@ def test_heaps_keep_smaller_ids_on_ties():
     h.push(np.array([0, 0, 1]), np.array([5, 5, 0]), np.array([9, 8, 1]))
     h.push(np.array([0, 0, 0]), np.array([5, 4, 6]), np.array([7, 1, 30]))
     assert list(zip(h.item, h.score, h.doc)) == [(0, 6, 30), (0, 5, 7)]
+
+
+# ------------------------------------------------------- hard negatives
+def plain_negatives(rows, every, positives, negatives, low, high, scale):
+    seen = []
+    for i, x, label in rows:
+        if i is None or label is None or x is None or any(c is None or not math.isfinite(c) for c in x):
+            continue
+        r = (i, label, tuple(math.floor(int(scale) * c) if abs(c) > 1e300 else math.floor(scale * c) for c in x), tuple(x))
+        if r not in seen:
+            seen.append(r)
+    out = []
+    for a in seen:
+        if a[0] % every:
+            continue
+        dot = lambda o: sum(p * q for p, q in zip(a[2], o[2]))
+        same = sorted((-dot(o), o[0]) for o in seen if o[1] == a[1] and o[0] != a[0] and len(o[2]) == len(a[2]))[:positives]
+        for s, p in same:
+            ok = sorted((-dot(o), o[0]) for o in seen if o[1] != a[1] and len(o[2]) == len(a[2])
+                        and low * -s <= 100 * dot(o) <= high * -s)[:negatives]
+            out += [(a[0], p, r + 1, n, -s, -t) for r, (t, n) in enumerate(ok)]
+    return sorted(out)
+
+
+def mined(spark, rows, **kw):
+    df = spark.createDataFrame([(i, x, label, "c") for i, x, label in rows], "vec_id long, embedding array<double>, label int, key string")
+    return sorted(tuple(r) for r in negatives_module.hard_negatives(df.repartition(3), **kw).collect())
+
+
+@pytest.mark.parametrize("dim,block", [(6, 4096), (6, 64), (1, 64)])
+def test_hard_negatives_equal_brute_force(spark, monkeypatch, dim, block):
+    monkeypatch.setattr(negatives_module, "ROW_BLOCK", block)
+    r = np.random.default_rng(dim)
+    rows = [(i, [float(v) for v in np.round(r.normal(size=dim) + 0.4, 1)], int(r.integers(0, 3))) for i in range(400)]
+    rows += [rows[3], rows[50], rows[50], (50, rows[51][1], 1), (None, rows[1][1], 1), (500, None, 1), (550, rows[2][1], None),
+             (600, [float("nan")] * dim, 1), (601, [float("inf")] * dim, 1), (602, [None] * dim, 1), (650, [1.0, 2.0], 0),
+             (651, [1.0, 2.0], 0), (652, [0.5, 1.0], 2), (700, [], 1), (701, [], 1), (-50, rows[9][1], 2)]
+    want = plain_negatives(rows, 50, 5, 3, 50, 95, 256)
+    assert len(want) > 20
+    assert mined(spark, rows) == want
+
+
+def test_hard_negatives_of_large_components(spark):
+    r = np.random.default_rng(1)
+    rows = [(i, [float(v) for v in r.integers(1, 1 << 20, 256)], i % 2) for i in range(60)]
+    rows += [(61, [1e20] * 256, 0), (62, [1e22] + [0.0] * 255, 1)]
+    most = (1 << 63) - 1
+    want = plain_negatives(rows, 7, 5, 3, 50, 95, 256)
+    assert any(w[4] > most for w in want) and any(w[4] < most for w in want)
+    assert mined(spark, rows, every=7) == sorted((*w[:4], min(w[4], most), min(w[5], most)) for w in want)
+
+
+def test_products_do_not_overflow():
+    v = np.full((1, 256), 1 << 31, np.int64)
+    assert negatives_module.products(v, v[0])[0] == 256 << 62
+    assert negatives_module.products(v // 2**20, v[0] // 2**20).dtype == np.int64
+    assert negatives_module.whole(np.array([[1e308, -0.5]]), 256.0)[0].tolist() == [int(1e308) * 256, -256 * 1 // 2]
+
+
+def test_walk_visits_every_row_once_in_order_of_bounds():
+    r = np.random.default_rng(3)
+    v = r.integers(-50, 50, (700, 8))
+    index = negatives_module.MultiIndex(np.arange(700), np.zeros(700, np.int64), v)
+    q = r.integers(-50, 50, 8)
+    seen, last = [], np.inf
+    for then, low, at, _ in index.walk(q):
+        score = index.values[at] @ q
+        assert not len(at) or (score.max() <= last and score.min() >= low)
+        seen += at.tolist()
+        last = then
+    assert sorted(seen) == list(range(700))
+
+
+def test_hard_negatives_without_rows(spark):
+    assert mined(spark, [(50, [1.0], 1)]) == []
+    df = spark.createDataFrame([], "vec_id long, embedding array<double>, label int")
+    assert negatives_module.hard_negatives(df).count() == 0
