@@ -14,6 +14,7 @@ from segscore.llm.lexical import ranked_search
 from segscore.llm.mixing import mix_sources
 from segscore.llm.negatives import hard_negatives
 from segscore.llm.packing import pack
+from segscore.llm.pitman_yor import score_corpus
 from segscore.llm.quality import quality
 from segscore.llm.secret_scan import RULES, joined_spans, of_kind, scan_secrets
 from segscore.llm.simhash import simhash_dedup
@@ -188,6 +189,11 @@ SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
 """
 
 
+@query
+def op12_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_corpus(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = read_table(spark, sf_dir, "embeddings")
