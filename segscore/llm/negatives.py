@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 from segscore.llm.common import cut_lineage
 
 #: Rows of a block, codes of a half, anchors of a pack, packs that one copy of a block answers.
-ROW_BLOCK = 4096
+ROW_BLOCK = 8192
 CODES = 16
 PACK = 16
 PACKS = 2048
-#: Rows scored at once.
+#: Rows scored at once, at first; every further run is twice as long.
 RUN = 128
 _EXACT = Decimal(10) ** 38 - 1
 
@@ -38,22 +38,29 @@ _EXACT = Decimal(10) ** 38 - 1
 # ----------------------------------------------------------- exact integers
 def whole(x: np.ndarray, scale: float) -> np.ndarray:
     """floor(scale * x) exactly: 64-bit integers, Python's where they do not fit."""
-    y = np.floor(x * scale)
+    with np.errstate(over="ignore"):
+        y = np.floor(x * scale)
     if not y.size or float(np.abs(y).max()) < 2.0 ** 62:
         return y.astype(np.int64)
-    if np.isfinite(y).all():
-        return np.array([int(v) for v in y.ravel()], object).reshape(y.shape)
-    return np.array([int(v) * int(scale) for v in x.ravel()], object).reshape(x.shape)  # beyond doubles: x is whole there
+    exact = [int(f) if np.isfinite(f) else int(v) * int(scale) for f, v in zip(y.ravel().tolist(), x.ravel().tolist())]
+    return np.array(exact, object).reshape(x.shape)
 
 
-def products(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Inner products without overflow: 64-bit where the bound of the sum allows it."""
+def largest(x: np.ndarray) -> int:
+    return max(int(x.max()), -int(x.min())) if x.size else 0
+
+
+def products(rows: np.ndarray, query: np.ndarray, most: int | None = None) -> np.ndarray:
+    """Inner products without rounding or overflow: in doubles or 64 bits where
+    the bound of the sums (``most``: largest component of ``rows``) allows it."""
     if not rows.shape[1] or not len(rows):
         return np.zeros(len(rows), np.int64)
-    if rows.dtype == np.int64 and query.dtype == np.int64:
-        most = int(np.abs(rows).max()) * int(np.abs(query).max()) * rows.shape[1]
-        if most < 1 << 62:
-            return rows @ query
+    bound = (largest(rows) if most is None else most) * largest(query) * rows.shape[1]
+    if bound < 1 << 53:
+        return (rows.astype(float) @ query.astype(float)).astype(np.int64)
+    if bound < 1 << 62:
+        return rows.astype(np.int64) @ query.astype(np.int64)
+    rows = rows.astype(np.int64) if rows.dtype == float else rows
     return rows.astype(object) @ query.astype(object)
 
 
@@ -93,12 +100,14 @@ class MultiIndex:
         cell = k1 * len(self.c2) + k2
         order = np.lexsort((ids, cell))
         self.ids, self.labels, self.values = ids[order], labels[order], values[order]
+        self.most = largest(values)
+        if self.most < 1 << 53:
+            self.values = self.values.astype(float)  # still whole numbers; products are faster
         self.first = np.searchsorted(cell[order], np.arange(len(self.c1) * len(self.c2) + 1))
 
-    def walk(self, query: np.ndarray) -> Iterator[tuple[float, float, np.ndarray, np.ndarray]]:
+    def walk(self, query: np.ndarray) -> Iterator[tuple[float, float, np.ndarray]]:
         """Runs of cells, best bound first: (largest score any later cell can
-        reach, smallest of this run, its rows as positions, exact scores).
-        Bounds are widened by what the arithmetic may have lost."""
+        reach, smallest of this run, its rows as positions). Bounds are widened by what the arithmetic may have lost."""
         q = query.astype(float)
         size = float(np.abs(q).max()) if q.size else 0.0
         q = q / size if size else q
@@ -114,8 +123,9 @@ class MultiIndex:
         o1, o2 = o1.tolist(), o2.tolist()
         first, width = self.first, len(o2)
         heap = [(-(u1[0] + u2[0]), 0, 0)]
-        spans: list[tuple[int, int]] = []
-        rows, low = 0, np.inf
+        spans: list[np.ndarray] = []
+        rows, low, run = 0, np.inf, RUN
+        place = np.arange(len(self.ids))
         while heap:
             _, i, j = heapq.heappop(heap)
             if j + 1 < width:
@@ -125,22 +135,26 @@ class MultiIndex:
             cell = o1[i] * width + o2[j]
             lo, hi = int(first[cell]), int(first[cell + 1])
             if hi > lo:
-                spans.append((lo, hi))
+                spans.append(place[lo:hi])
                 rows += hi - lo
                 low = min(low, low1[i] + low2[j])
-            if rows >= RUN or not heap:
+            if rows >= run or not heap:
                 then = (-heap[0][0] + slack) * unit + 1e-3 if heap else -np.inf
-                at = np.concatenate([np.arange(lo, hi) for lo, hi in spans]) if spans else np.zeros(0, np.int64)
-                yield then, (low - slack) * unit - 1e-3, at, query
-                spans, rows, low = [], 0, np.inf
+                yield then, (low - slack) * unit - 1e-3, np.concatenate(spans) if spans else place[:0]
+                spans, rows, low, run = [], 0, np.inf, 2 * run
 
     def positives(self, own: int, label: int, query: np.ndarray, k: int) -> list[tuple]:
         """The ``k`` best (score, id) of ``label`` but for ``own``."""
         best: list[tuple] = []
-        for then, _, at, q in self.walk(query):
-            at = at[(self.labels[at] == label) & (self.ids[at] != own)]
+        for then, _, at in self.walk(query):
+            at = at[self.labels[at] == label]
+            at = at[self.ids[at] != own]
             if len(at):
-                best = sorted([*best, *zip((-products(self.values[at], q)).tolist(), self.ids[at].tolist())])[:k]
+                score = products(self.values[at], query, self.most)
+                if len(best) == k:
+                    good = score >= -best[-1][0]
+                    at, score = at[good], score[good]
+                best = sorted([*best, *zip((-score).tolist(), self.ids[at].tolist())])[:k]
             if len(best) == k and -best[-1][0] > then:
                 break
         return [(-s, i) for s, i in best]
@@ -148,19 +162,24 @@ class MultiIndex:
     def windows(self, label: int, query: np.ndarray, bounds: list[tuple[int, int]], k: int) -> list[list[tuple]]:
         """For each (low, high) the first ``k`` (score, id) of other labels inside it."""
         best: list[list[tuple]] = [[] for _ in bounds]
-        open_ = {i for i, (lo, hi) in enumerate(bounds) if lo <= hi}
-        for then, low, at, q in self.walk(query):
+        open_ = [i for i, (lo, hi) in enumerate(bounds) if lo <= hi]
+        enough = [lo for lo, _ in bounds]  # what a newcomer has to reach
+        for then, low, at in self.walk(query):
             if not open_:
                 break
-            if low <= max(bounds[i][1] for i in open_):  # else every row of the run lies above all windows
+            most = max(bounds[i][1] for i in open_)
+            if low <= most:  # else every row of the run lies above all windows
                 at = at[self.labels[at] != label]
-                score = products(self.values[at], q)
-                for i in open_:
-                    lo, hi = bounds[i]
-                    good = np.flatnonzero((score >= lo) & (score <= hi))
-                    if len(good):
+                score = products(self.values[at], query, self.most)
+                some = np.flatnonzero((score >= min(enough[i] for i in open_)) & (score <= most))
+                at, score = at[some], score[some]
+                for i in open_ if len(at) else []:
+                    good = (score >= enough[i]) & (score <= bounds[i][1])
+                    if good.any():
                         best[i] = sorted([*best[i], *zip((-score[good]).tolist(), self.ids[at[good]].tolist())])[:k]
-            open_ = {i for i in open_ if then >= bounds[i][0] and not (len(best[i]) == k and -best[i][-1][0] > then)}
+                        if len(best[i]) == k:
+                            enough[i] = -best[i][-1][0]
+            open_ = [i for i in open_ if then >= bounds[i][0] and not (len(best[i]) == k and enough[i] > then)]
         return [[(-s, i) for s, i in b] for b in best]
 
 
@@ -248,8 +267,12 @@ def hard_negatives(df: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     rows = rows.filter("id is not null and label is not null and x is not null").filter(F.forall("x", fine)).distinct()
     key = F.xxhash64("id", "label", "x")
     rows = rows.withColumn("dim", F.size("x")).withColumn("key", key)
-    blocks = max(1, -(-rows.count() // ROW_BLOCK))
-    rows = rows.withColumn("block", F.pmod("key", F.lit(blocks)).cast("int"))
+    rows = rows.withColumn("large", F.exists("x", lambda e: F.abs(e) * scale >= 2.0 ** 48))  # slow integers keep to blocks of their own
+    n, n_large = rows.agg(F.count(F.lit(1)), F.count_if("large")).first()
+    blocks = max(1, -(-n // ROW_BLOCK))
+    place = F.pmod("key", F.lit(blocks))
+    rows = rows.withColumn("block", (place + F.when(F.col("large"), F.lit(blocks)).otherwise(F.lit(0))).cast("int"))
+    blocks *= 2 if n_large else 1
     index = stored_blocks(rows, scale)
     anchors = cut_lineage(rows.filter(F.col("id") % every == 0).select("key", "dim", "id", "label", "x"))
 

@@ -141,7 +141,7 @@ def test_walk_visits_every_row_once_in_order_of_bounds():
     index = negatives_module.MultiIndex(np.arange(700), np.zeros(700, np.int64), v)
     q = r.integers(-50, 50, 8)
     seen, last = [], np.inf
-    for then, low, at, _ in index.walk(q):
+    for then, low, at in index.walk(q):
         score = index.values[at] @ q
         assert not len(at) or (score.max() <= last and score.min() >= low)
         seen += at.tolist()
