@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segscore.session import cut_lineage as checkpointed
+from segscore.session import ensure_checkpoint_dir
 
 #: The contracts' white space: space and the code points 9 to 13.
 BLANK = r"[\x20\x09-\x0D]"
@@ -36,6 +38,36 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             conf.set(_CLEANUP, before)
 
 
+class Scratch:
+    """Tables of one run, written under the shared checkpoint folder; a step's
+    table is dropped as soon as a later one holds what is needed of it."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+    def write(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """Writes ``df`` (its blobs are packed already), in folders by ``by``, and reads it back."""
+        path = f"{self.folder}/{name}"
+        conf = self.spark.conf
+        before = conf.get(_CLEANUP, None)
+        conf.set(_CLEANUP, "true")
+        try:
+            out = df.select("*").write.option("compression", "uncompressed")
+            (out.partitionBy(by) if by else out).parquet(path)
+        finally:
+            if before is None:
+                conf.unset(_CLEANUP)
+            else:
+                conf.set(_CLEANUP, before)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -5,9 +5,10 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 
 from segscore.llm import pitman_yor
-from segscore.llm.pitman_yor import Setting, Shard, seat, score_corpus, trigram_rows
+from segscore.llm.pitman_yor import Setting, Shard, chunk_rows, counted, numbered, score_corpus, seat, unpacked
 
 SF = "/root/testdata/sf0.001"
 
@@ -48,8 +49,15 @@ def test_seats_of_hot_dishes_and_none():
 
 
 def one_shard(documents, held=None, setting=Setting()):
-    rows, own = trigram_rows(list(range(len(documents))), held or [False] * len(documents), documents, 1)
-    return Shard([r[2] for r in rows], setting, (1, 0, 0))
+    """A shard of all texts, and the number of every word in it."""
+    held = held or [False] * len(documents)
+    own, ask = chunk_rows(0, list(range(len(documents))), held, documents, 1)
+    _, answer = numbered(0, 1, [ask[4]], [0])
+    rows = counted(0, own[4], [answer[4]], 1, 1, 1)
+    words = sorted({w for t in documents for w in t.split()} | {b""})
+    key = {xxhash.xxh64_intdigest(w): w for w in words}
+    number = dict(zip((key[k] for k in unpacked(ask[4])[1].tolist()), unpacked(answer[4])[1].tolist()))
+    return Shard([r[4] for r in rows[1:]], setting, (1, 0)), number
 
 
 def test_predictive_probabilities_add_up():
@@ -58,15 +66,13 @@ def test_predictive_probabilities_add_up():
     documents = [b" ".join(r.choice(vocabulary, 30, p=np.arange(1, 13) / 78)) for _ in range(20)]
     # held-out texts put every word behind one context and behind one that was never seen
     probes = [b"w3 w4 " + w for w in vocabulary] + [b"w3 w4", b"w3 w4 new"] + [b"x y " + w for w in vocabulary] + [b"x y", b"x y new"]
-    m = one_shard(documents + probes, [False] * 20 + [True] * len(probes))
+    m, number = one_shard(documents + probes, [False] * 20 + [True] * len(probes))
+    at = {w: int(np.searchsorted(m.key, n)) for w, n in number.items()}
     root = m.local_root()
-    unknown = [i for i in range(len(m.key)) if not m.c3[m.word == i].any()]
-    known = root.sum() - root[unknown].sum()
-    assert abs(known + root[unknown[0]] - 1) < 1e-12  # all words that were not learnt are one
+    learnt = [at[w] for w in [*vocabulary, b""]]
+    assert abs(root[learnt].sum() + root[at[b"new"]] - 1) < 1e-12  # all words that were not learnt are one
     m.sweep(root)
     p = m.trigrams(m.bigrams(root))
-    key = {w: pitman_yor.xxhash.xxh64_intdigest(w) for w in [*vocabulary, b"", b"new", b"x", b"y"]}
-    at = {w: int(np.searchsorted(m.key, np.uint64(h).astype(np.int64))) for w, h in key.items()}
     for a, b in ((b"w3", b"w4"), (b"x", b"y")):
         context = np.flatnonzero(m.pair_key == pitman_yor._mixed(m.key[[at[a]]], m.key[[at[b]]])[0])[0]
         mine = m.pair == context
@@ -74,6 +80,31 @@ def test_predictive_probabilities_add_up():
         assert abs(p[mine].sum() - 1) < 1e-9
 
 
+def test_packing_round_trip():
+    r = np.random.default_rng(8)
+    for x in (np.zeros(0, np.int64), np.array([0]), r.integers(0, 1 << 40, 99), r.integers(-5, 5, 9), r.normal(size=7),
+              r.integers(0, 1 << 63, 5).astype(np.uint64) * np.uint64(2) + np.uint64(1)):
+        (back,) = unpacked(pitman_yor.packed(x))
+        assert back.dtype == x.dtype and back.tolist() == x.tolist()
+
+
+def test_trigrams_give_every_token_its_place():
+    r = np.random.default_rng(8)
+    lengths = r.integers(1, 9, 40)
+    seq = r.integers(1, 9, lengths.sum())
+    three, ends, at = pitman_yor.trigrams(seq, lengths, 3)
+    want, i = [], 0
+    for n in lengths:
+        t = [0, 0, *seq[i:i + n].tolist()]
+        want += [tuple(t[j:j + 3]) for j in range(n)]
+        i += n
+    assert [tuple(three[:, a]) for a in at] == want
+    assert len({tuple(t) for t in three.T}) == three.shape[1] and ends[-1] == three.shape[1]
+    for s in range(3):
+        mine = three[1, ends[s]:ends[s + 1]]
+        assert (pitman_yor.spread(mine, 3) == s).all() and (np.diff(mine) >= 0).all()
+
+
 def test_scores_where_no_seat_is_free_to_vary(spark):
     """One learnt text without repeated words: every dish has one customer, so
     the probabilities are a closed form."""
@@ -101,7 +132,7 @@ def test_scores_where_no_seat_is_free_to_vary(spark):
     for i, t in rows:
         seq = [None, None, *words_of(t)]
         want = sum(math.log10(p3(*seq[j - 2:j + 1])) for j in range(2, len(seq)))
-        assert abs(got[i].score - want) < 1e-5
+        assert abs(got[i].score - want) < 1e-5 * len(seq)
 
 
 def plain_counts(rows):
@@ -128,6 +159,7 @@ def test_counts_and_base_scores_on_a_whole_table(spark, monkeypatch, cut):
     if cut:
         monkeypatch.setattr(pitman_yor, "CHUNK_BYTES", 20_000)
         monkeypatch.setattr(pitman_yor, "SHARD_BYTES", 100_000)
+        monkeypatch.setattr(pitman_yor, "OWNER_BYTES", 200_000)
         monkeypatch.setattr(pitman_yor, "SHARD_MOST", 4_000)
     got = score_corpus(df).collect()
     want = plain_counts(rows + extra)
