@@ -13,6 +13,9 @@
    join or a broadcast of the block table. Only those extra blocks are
    joined, by block id.
 
+A table of at most ``LOCAL_CELLS`` numbers (checked by a count) takes a
+shorter way: its points are broadcast and every task searches them whole.
+
 Neighbours are ordered by (distance, neighbour id). Points at exactly d_k in
 blocks outside the candidate window are not searched (strict bound), so a
 group of exact duplicates never fans out over the blocks it spans; the
@@ -86,6 +89,50 @@ def _lookup_broadcast(need: DataFrame, blocks: DataFrame) -> DataFrame:
     return need.mapInPandas(look, "qid long, qb long, lo_b long, hi_b long")
 
 
+#: rows × features up to which the points are broadcast (8 bytes each)
+LOCAL_CELLS = 400_000
+
+
+def _knn_local(base: DataFrame, fx: list[str], k: int) -> DataFrame:
+    """Each query point against all points, in slices of queries. The squares
+    add up in the order of the columns, as in the SQL form."""
+    import pyarrow as pa
+    pts = base.select("pid", *fx).toArrow()
+    ids = pts.column("pid").to_numpy()
+    x = np.stack([pts.column(c).to_numpy() for c in fx], axis=1)
+    order = np.argsort(ids, kind="stable")  # equal distances: the smaller id comes first
+    bc = base.sparkSession.sparkContext.broadcast((ids[order], x[order]))
+    step = max(1, 2_000_000 // max(1, len(ids)))
+
+    def search(batches):
+        nid, pts = bc.value
+        for b in batches:
+            qid = b.column(0).to_numpy()
+            q = np.stack([b.column(i + 1).to_numpy() for i in range(len(fx))], axis=1) if b.num_rows else np.zeros((0, len(fx)))
+            out = []
+            for lo in range(0, len(qid), step):
+                some = q[lo:lo + step]
+                d = np.zeros((len(some), len(nid)))
+                for j in range(len(fx)):
+                    d += (some[:, j, None] - pts[None, :, j]) ** 2
+                d = np.sqrt(d)
+                d[qid[lo:lo + step, None] == nid[None, :]] = np.inf
+                kk = min(k, len(nid) - 1)
+                edge = np.partition(d, kk - 1, axis=1)[:, kk - 1] if kk > 0 else np.zeros(0)
+                for i in range(len(some) if kk > 0 else 0):
+                    near = np.flatnonzero(d[i] <= edge[i])
+                    near = near[np.isfinite(d[i][near])]
+                    near = near[np.argsort(d[i][near], kind="stable")][:k]
+                    out.append((np.full(len(near), qid[lo + i]), nid[near], np.arange(1, len(near) + 1), d[i][near]))
+            cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0)] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0].astype("i8")), pa.array(cols[1].astype("i8")),
+                                              pa.array(cols[2].astype("i4")), pa.array(cols[3].astype("f8"))],
+                                             names=["qid", "nid", "rank", "dist"])
+
+    queries = base.filter("_isq").select("pid", *fx).repartition(base.sparkSession.sparkContext.defaultParallelism)
+    return cut_lineage(queries.mapInArrow(search, "qid long, nid long, rank int, dist double"))
+
+
 def knn(df: DataFrame, features: list[str], k: int, id_col: str = "id", query: Column | None = None,
         block: int = 256) -> DataFrame:
     """``(qid, nid, rank, dist)`` — the k nearest other rows of ``df`` for each
@@ -100,6 +147,8 @@ def knn(df: DataFrame, features: list[str], k: int, id_col: str = "id", query: C
     ).na.drop(subset=fx)
     # several passes read the projected points: materialise them once
     base = cut_lineage(base)
+    if base.count() * max(1, p) <= conf_int(df.sparkSession, "segscore.knn.localCells", LOCAL_CELLS):
+        return _knn_local(base, fx, k)
     u = principal_direction(base, fx)
     t = sum((F.lit(float(w)) * F.col(c) for w, c in zip(u, fx)), F.lit(0.0))
     pts = global_running(base.withColumn("t", t), [F.col("t").asc(), F.col("pid").asc()], rank_col="_r")
