@@ -38,14 +38,16 @@ from pyspark.sql import functions as F
 from segscore.functions.scalar import qcol
 from segscore.session import conf_int, cut_lineage
 
-BINS = 64
+BINS = 32
 #: Bytes of a binned table that is broadcast.
 LOCAL_CELLS = 8 << 20
 #: (model, row) pairs of one lockstep group on the broadcast plan.
-GROUP_PAIRS = 60_000
+GROUP_PAIRS = 40_000
 #: Rounds between two stored scores on the partitioned plan.
 STORE_EVERY = 10
 _UNIT = 2.0 ** 30
+#: Fold of rows that are scored but never fitted.
+NEVER = -9
 
 
 @dataclass(frozen=True)
@@ -80,14 +82,18 @@ def mixed(*parts) -> np.ndarray:
     return (x >> np.uint64(11)).astype(float) / 2.0 ** 53
 
 
-def row_weights(p: Params, round_: int, key: np.ndarray, fold: np.ndarray) -> np.ndarray:
+def fitted(p: Params, fold: np.ndarray) -> np.ndarray:
+    return (fold != p.fold) & (fold != NEVER)
+
+
+def row_weights(p: Params, round_: int, key: np.ndarray, fold: np.ndarray, draw: np.ndarray | None = None) -> np.ndarray:
     """How often each row counts in a round: 0 outside the fit and the sample."""
-    w = (fold != p.fold).astype(float)
+    w = fitted(p, fold).astype(float)
     if p.bootstrap:
-        u = mixed(key, round_, p.seed, 1)
+        u = mixed(key, round_, p.seed, 1) if draw is None else draw
         w *= np.searchsorted(np.cumsum([np.exp(-1) / f for f in (1, 1, 2, 6, 24, 120, 720)]), u, "right")  # Poisson(1)
     elif p.subsample < 1:
-        w *= mixed(key, round_, p.seed, 1) < p.subsample
+        w *= (mixed(key, round_, p.seed, 1) if draw is None else draw) < p.subsample
     return w
 
 
@@ -154,43 +160,60 @@ class Round:
         self.nodes: list[tuple] = []      # (model, place, feature, bin, left, value, gain) arrays
         self.at_depth = 0
 
-    def allowed(self, j: int) -> np.ndarray:
-        """Open nodes that may split on column ``j``."""
-        lv = self.level
-        ok = self.columns[lv.model, j]
-        return ok if self.ranks is None else ok & (self.ranks[:, j] < self.features[lv.model])
-
-    def draw(self) -> None:
-        self.ranks = None
-        if (self.features > 0).any():
-            lv, p = self.level, self.columns.shape[1]
-            u = mixed(np.arange(p)[None, :], lv.place[:, None], self.round, self.seed[lv.model][:, None], 4)
-            self.ranks = np.argsort(np.argsort(u, axis=1, kind="stable"), axis=1)
-            self.ranks[self.features[lv.model] == 0] = -1
-
-    def best(self, n_columns: int, histogram, total: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, ...]:
-        """The best (gain, feature, bin) of every open node; ``histogram(j)``
-        gives the sums by (node, bin) of column ``j``. Equal gains keep the first."""
-        lv = self.level
-        G, H = total
-        lam, child = self.lam[lv.model][:, None], self.child[lv.model][:, None]
-        root = (G * G / np.maximum(H + self.lam[lv.model], 1e-300))[:, None]
-        gain, feature, cut = np.zeros(len(G)), np.full(len(G), -1), np.zeros(len(G), int)
-        self.draw()
-        for j in range(n_columns):
-            ok = self.allowed(j)
-            if not ok.any():
-                continue
+    def open_nodes(self, total: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """Nodes that can still split: above the depth and with hessian for two
+        children. Only they need histograms."""
+        m = self.level.model
+        return np.flatnonzero((self.at_depth < self.depth[m]) & (total[1] >= 2 * self.child[m]))
+
+    def allowed(self, at: np.ndarray) -> np.ndarray:
+        """Which columns each of the nodes ``at`` may split on."""
+        model, place = self.level.model[at], self.level.place[at]
+        ok = self.columns[model]
+        wanted = self.features[model]
+        if (wanted > 0).any():
+            u = mixed(np.arange(ok.shape[1])[None, :], place[:, None], self.round, self.seed[model][:, None], 4)
+            rank = np.argsort(np.argsort(u, axis=1, kind="stable"), axis=1)
+            ok = ok & ((rank < wanted[:, None]) | (wanted[:, None] == 0))
+        return ok
+
+    def best(self, at: np.ndarray, histogram, total: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, ...]:
+        """The best (gain, feature, bin) by node; of the nodes ``at``, whose sums
+        by (node, bin) of column j ``histogram(j)`` gives. Equal gains keep the first."""
+        n = len(self.level.model)
+        gain, feature, cut = np.zeros(n), np.full(n, -1), np.zeros(n, int)
+        if not len(at):
+            return gain, feature, cut
+        m = self.level.model[at]
+        G, H = total[0][at], total[1][at]
+        lam, child = np.maximum(self.lam[m], 1e-12)[:, None], np.maximum(self.child[m], 1e-9)[:, None]
+        root = G * G / (H + lam[:, 0])
+        ok = self.allowed(at)
+        top, col, place = np.zeros(len(at)), np.full(len(at), -1), np.zeros(len(at), int)
+        rows, G, H = np.arange(len(at)), G[:, None], H[:, None]
+        for j in np.flatnonzero(ok.any(axis=0)):
             g, h = histogram(j)
-            gl, hl = np.cumsum(g, axis=1)[:, :-1], np.cumsum(h, axis=1)[:, :-1]
-            gr, hr = G[:, None] - gl, H[:, None] - hl
-            with np.errstate(divide="ignore", invalid="ignore"):
-                more = gl * gl / (hl + lam) + gr * gr / (hr + lam) - root
-            more[~((hl >= child) & (hr >= child) & (hl > 0) & (hr > 0))] = -np.inf
-            k = np.argmax(more, axis=1)
-            here = more[np.arange(len(G)), k]
-            better = ok & (here > gain + 1e-12)
-            gain[better], feature[better], cut[better] = here[better], j, k[better]
+            used = int(np.flatnonzero(h.any(axis=0))[-1])  # no cut beyond the last bin in use
+            if not used:
+                continue
+            gl, hl = np.cumsum(g[:, :used], axis=1), np.cumsum(h[:, :used], axis=1)
+            hr = H - hl
+            valid = hl >= child
+            valid &= hr >= child
+            hl += lam
+            hr += lam
+            gr = G - gl
+            gl *= gl
+            gl /= hl
+            gr *= gr
+            gr /= hr
+            gl += gr
+            gl *= valid  # what may not be is worth 0, never above the whole node
+            k = gl.argmax(axis=1)
+            here = gl[rows, k] - root
+            better = ok[:, j] & (here > top + 1e-12)
+            top[better], col[better], place[better] = here[better], j, k[better]
+        gain[at], feature[at], cut[at] = top, col, place
         return gain, feature, cut
 
     def close(self, gain: np.ndarray, feature: np.ndarray, cut: np.ndarray, total: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, ...]:
@@ -241,10 +264,11 @@ class Group:
         """Gradients of the round, as flat (model and class, row) pairs."""
         n, k = len(self.y), self.classes
         g, h, w = (np.empty((len(self.params), k, n)) for _ in range(3))
+        draws = {seed: mixed(self.key, round_, seed, 1) for seed in {p.seed for p in self.params if p.bootstrap or p.subsample < 1}}
         for i, p in enumerate(self.params):
-            fit = self.fold != p.fold
+            fit = fitted(p, self.fold)
             g[i], h[i] = gradients(self.objective, self.f[i], self.y, p.positive, fit, None if sums is None else sums[i])
-            w[i] = row_weights(p, round_, self.key, self.fold)
+            w[i] = row_weights(p, round_, self.key, self.fold, draws.get(p.seed))
         self.g, self.h = (g * w).ravel(), (h * w).ravel()
         self.open = np.flatnonzero(w.ravel() > 0)          # pairs that count
         self.all = np.arange(g.size)                        # pairs that are routed
@@ -255,11 +279,20 @@ class Group:
         node = self.node[self.open]
         return np.bincount(node, self.g[self.open], nodes), np.bincount(node, self.h[self.open], nodes)
 
-    def histogram(self, nodes: int, j: int) -> tuple[np.ndarray, np.ndarray]:
-        key = self.node[self.open] * BINS + self.x[j][self.row[self.open]]
-        shape = (nodes, BINS)
-        return (np.bincount(key, self.g[self.open], nodes * BINS).reshape(shape),
-                np.bincount(key, self.h[self.open], nodes * BINS).reshape(shape))
+    def histograms(self, nodes: int, at: np.ndarray):
+        """Gives, column by column, the sums by (node of ``at``, bin)."""
+        number = np.full(nodes, -1)
+        number[at] = np.arange(len(at))
+        node = number[self.node[self.open]]
+        pairs = self.open[node >= 0]
+        base, row, g, h = node[node >= 0] * BINS, self.row[pairs], self.g[pairs], self.h[pairs]
+        shape, n = (len(at), BINS), len(at) * BINS
+
+        def of(j: int) -> tuple[np.ndarray, np.ndarray]:
+            key = base + self.x[j][row]
+            return np.bincount(key, g, n).reshape(shape), np.bincount(key, h, n).reshape(shape)
+
+        return of
 
     def descend(self, feature: np.ndarray, cut: np.ndarray, value: np.ndarray, child: np.ndarray, flat: np.ndarray) -> None:
         """Rows of closed nodes take the value (into ``flat``), others go to a child."""
@@ -283,11 +316,8 @@ class Group:
         while len(r.level.model):
             nodes = len(r.level.model)
             total = self.totals(nodes)
-            if (r.at_depth < r.depth[r.level.model]).any():
-                found = r.best(len(self.x), lambda j: self.histogram(nodes, j), total)
-            else:
-                found = np.zeros(nodes), np.full(nodes, -1), np.zeros(nodes, int)
-            self.descend(*r.close(*found, total), step)
+            at = r.open_nodes(total)
+            self.descend(*r.close(*r.best(at, self.histograms(nodes, at), total), total), step)
         self.add(step)
         return r.trees()
 
@@ -378,39 +408,115 @@ def staged(f: np.ndarray, y: np.ndarray, objective: str) -> float:
 
 
 # ------------------------------------------------------------------------ plans
+def family(p: Params) -> Params:
+    """Models of one family differ in depth alone. While no tree of the deepest
+    has passed a shallower limit they are the same model, and grow as one."""
+    return replace(p, depth=0)
+
+
 def _groups(params: list[Params], pairs: int) -> list[list[int]]:
-    """Models of like depth and length share a group of about ``GROUP_PAIRS``."""
+    """Families of like length share a lockstep group of about ``GROUP_PAIRS``."""
     size = max(1, GROUP_PAIRS // max(1, pairs))
-    order = sorted(range(len(params)), key=lambda i: (-params[i].rounds[-1], -params[i].depth, i))
-    return [order[i:i + size] for i in range(0, len(order), size)]
+    kin: dict[Params, list[int]] = {}
+    for i, p in enumerate(params):
+        kin.setdefault(family(p), []).append(i)
+    order = sorted(kin.values(), key=lambda at: (-params[at[0]].rounds[-1], -max(params[i].depth for i in at), at))
+    return [[i for at in order[lo:lo + size] for i in at] for lo in range(0, len(order), size)]
+
+
+def depths(tree: dict) -> np.ndarray:
+    out = np.zeros(len(tree["feature"]), int)
+    for i in np.flatnonzero(tree["feature"] >= 0):  # a child's place is larger than its parent's
+        out[tree["left"][i]:tree["left"][i] + 2] = out[i] + 1
+    return out
+
+
+def shallow(tree: dict, depth: int) -> dict:
+    """The tree a lower limit would have given: its nodes there are leaves."""
+    at = depths(tree)
+    keep = at <= depth
+    number = np.cumsum(keep) - 1
+    inner = (tree["feature"] >= 0) & (at < depth)
+    return {"feature": np.where(inner, tree["feature"], -1)[keep], "cut": tree["cut"][keep],
+            "left": np.where(inner, number[np.where(inner, tree["left"], 0)], -1)[keep], "value": tree["value"][keep],
+            "gain": np.where(inner, tree["gain"], 0.0)[keep]}
+
+
+def leaf_values(tree: dict, x: np.ndarray) -> np.ndarray:
+    """The value every row (of bytes, columns x rows) gets."""
+    node, rows = np.zeros(x.shape[1], int), np.arange(x.shape[1])
+    while True:
+        f = tree["feature"][node]
+        inner = np.flatnonzero(f >= 0)
+        if not len(inner):
+            return tree["value"][node]
+        at = node[inner]
+        node[inner] = tree["left"][at] + (x[f[inner], rows[inner]] > tree["cut"][at])
+
+
+@dataclass
+class Live:
+    """A model that grows, and those of its family that so far are the same."""
+    at: int
+    same: list[int]
 
 
 def run_group(data: tuple, params: list[Params], objective: str, classes: int, evaluate: bool, keep: bool) -> tuple[list[list[float]], list[list[dict]], np.ndarray]:
     """Grows the models; the metric of their left-out fold at every stage, their trees, their last scores."""
     x, y, key, fold = data
-    live = list(range(len(params)))
-    group = Group(x, y, key, fold, params, objective, classes)
+    kin: dict[Params, list[int]] = {}
+    for i, p in enumerate(params):
+        kin.setdefault(family(p), []).append(i)
+    live = []
+    for at in kin.values():
+        first, *rest = sorted(at, key=lambda i: -params[i].depth)
+        live.append(Live(first, rest))
+    group = Group(x, y, key, fold, [params[m.at] for m in live], objective, classes)
     seen: list[list[float]] = [[] for _ in params]
     trees: list[list[dict]] = [[] for _ in params]
     final = np.zeros((len(params), classes, len(y)))
     for t in range(max((p.rounds[-1] for p in params), default=0)):
+        before = group.f.copy()
         grown = group.grow(t)
-        for a, i in enumerate(live):
+        forked, scores = [], []
+        for a, m in enumerate(live):
+            mine = grown[a * classes:(a + 1) * classes]
+            deepest = max(int(depths(tree).max()) for tree in mine) if m.same else 0
+            apart = [i for i in m.same if params[i].depth < deepest]
+            if apart:
+                m.same = [i for i in m.same if i not in apart]
+                for limit in sorted({params[i].depth for i in apart}, reverse=True):
+                    first, *rest = [i for i in apart if params[i].depth == limit]
+                    lower = [shallow(tree, limit) for tree in mine]
+                    eta = 1.0 / params[first].rounds[-1] if objective == "forest" else params[first].eta
+                    forked.append(Live(first, rest))
+                    scores.append(before[a] + eta * np.stack([leaf_values(tree, x) for tree in lower]))
+                    if keep:
+                        for i in (first, *rest):
+                            trees[i] = [*trees[m.at], *lower]
             if keep:
-                trees[i] += grown[a * classes:(a + 1) * classes]
-            if evaluate and t + 1 in params[i].rounds:
-                out = fold == params[i].fold
-                f = group.f[a][:, out]
-                if objective == "forest":
-                    f = f * (params[i].rounds[-1] / (t + 1))
-                seen[i].append(staged(f, y[out], objective))
-        done = [a for a, i in enumerate(live) if t + 1 == params[i].rounds[-1]]
-        if done:
-            for a in done:
-                final[live[a]] = group.f[a]
+                for i in (m.at, *m.same):
+                    trees[i] = [*trees[i], *mine]
+        if forked:
+            live += forked
+            group.f = np.concatenate([group.f, np.stack(scores)])
+        done = []
+        for a, m in enumerate(live):
+            p = params[m.at]
+            if evaluate and t + 1 in p.rounds:
+                out = fold == p.fold
+                f = group.f[a][:, out] * (p.rounds[-1] / (t + 1) if objective == "forest" else 1.0)
+                value = staged(f, y[out], objective)
+                for i in (m.at, *m.same):
+                    seen[i].append(value)
+            if t + 1 == p.rounds[-1]:
+                for i in (m.at, *m.same):
+                    final[i] = group.f[a]
+                done.append(a)
+        if done or forked:
             stay = [a for a in range(len(live)) if a not in set(done)]
             group.f, live = group.f[stay], [live[a] for a in stay]
-            group.params = [params[i] for i in live]
+            group.params = [params[m.at] for m in live]
     return seen, trees, final
 
 
@@ -504,7 +610,7 @@ class Partitioned:
             total = {}
             for g in groups:
                 for i, p in enumerate(g.params):
-                    total[i] = np.array(rank_sums(g.f[i], g.y, g.fold != p.fold)) + total.get(i, 0)
+                    total[i] = np.array(rank_sums(g.f[i], g.y, fitted(p, g.fold))) + total.get(i, 0)
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), *(pa.array([v[j] for v in total.values()], pa.float64()) for j in range(3))],
                                              names=["i", "a", "b", "n"])
 
@@ -528,7 +634,8 @@ class Partitioned:
                     step = np.zeros(g.f.size)
                     for lv in so_far:
                         g.descend(*lv, step)
-                    here = np.stack([np.stack(g.histogram(nodes, j)) for j in range(width)], axis=2)  # 2 x nodes x columns x bins
+                    of = g.histograms(nodes, np.arange(nodes))
+                    here = np.stack([np.stack(of(j)) for j in range(width)], axis=2)  # 2 x nodes x columns x bins
                     here = np.rint(here * _UNIT).astype(np.int64)
                     total = here if total is None else total + here
                 if total is not None:
@@ -544,10 +651,8 @@ class Partitioned:
             for row in got:
                 whole[:, row["node"]] = np.frombuffer(row["data"], np.int64).reshape(2, width, BINS) / _UNIT
             total = whole[0, :, 0].sum(axis=1), whole[1, :, 0].sum(axis=1)
-            if (r.at_depth < r.depth[r.level.model]).any():
-                found = r.best(width, lambda j: (whole[0, :, j], whole[1, :, j]), total)
-            else:
-                found = np.zeros(nodes), np.full(nodes, -1), np.zeros(nodes, int)
+            at = r.open_nodes(total)
+            found = r.best(at, lambda j: (whole[0, at, j], whole[1, at, j]), total)
             levels.append(r.close(*found, total))
         self.pending.append((round_, levels))
         if len(self.pending) >= STORE_EVERY:
@@ -623,6 +728,13 @@ def fit(b: Binned, p: Params, objective: str = "binary") -> "Trees":
     return as_trees(got[0][1], b, p, objective)
 
 
+def last_scores(b: Binned, params: list[Params], objective: str = "binary") -> list[np.ndarray]:
+    """Every model's score of every row of a small table, rows by key."""
+    if b.held is None:
+        raise ValueError("the table is larger than segscore.boosting.localCells")
+    return [1 / (1 + np.exp(-g[2][0])) if objective == "binary" else g[2][0] for g in _spread(b, params, objective, False, False, scores=True)]
+
+
 def fit_many(b: Binned, params: list[Params], objective: str = "binary") -> list["Trees"]:
     got = _spread(b, params, objective, False, True) if b.held is not None else _level_jobs(b, params, objective, False)
     return [as_trees(g[1], b, p, objective) for g, p in zip(got, params)]

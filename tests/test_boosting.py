@@ -82,12 +82,13 @@ def test_scores_equal_a_plain_booster(spark, objective, classes):
     params = [B.Params(**{**p.__dict__, "bootstrap": True, "lam": 0.0}) for p in PARAMS] if objective == "forest" else PARAMS
     for p, (seen, trees, final) in zip(params, B._spread(b, params, objective, True, True, scores=True)):
         want = plain_scores(x.T, y, key, fold, p, objective, classes)
-        assert np.allclose(final, want, atol=1e-9)
+        near = 1e-6 if objective == "rank" else 1e-9
+        assert np.allclose(final, want, atol=near)
         out = fold == p.fold
         assert np.isclose(seen[-1], B.staged(want[:, out], y[out], objective))
         model = B.as_trees(trees, b, p, objective)
         raw = np.array([[r["a b"], r["b"], r["c"]] for r in df.orderBy("id").collect()])
-        assert np.allclose(model.raw(raw), want, atol=1e-9)
+        assert np.allclose(model.raw(raw), want, atol=near)
 
 
 @pytest.mark.parametrize("objective,classes", [("binary", 1), ("softmax", 3), ("rank", 1)])
@@ -128,6 +129,18 @@ def test_stages_are_prefixes_and_importances_add_up(spark):
     assert np.allclose(m.truncated(3).raw(x), m.raw(x, upto=3))
 
 
+@pytest.mark.parametrize("objective,classes", [("binary", 1), ("softmax", 3)])
+def test_models_that_differ_in_depth_grow_as_one_until_they_part(spark, objective, classes):
+    df, feats = table(spark, classes=max(2, classes))
+    b = B.binned(df, feats, fold="fold", classes=classes)
+    params = [B.Params(rounds=(2, 4), depth=d, eta=0.4, child=0.5, fold=f) for d in (1, 2, 2, 9, 4, 12) for f in (0, 1)]
+    together = B.run_group(b.held, params, objective, classes, True, True)
+    for i, p in enumerate(params):
+        alone = B.run_group(b.held, [p], objective, classes, True, True)
+        assert together[0][i] == alone[0][0] and np.allclose(together[2][i], alone[2][0], atol=1e-12)
+        assert [t["feature"].tolist() for t in together[1][i]] == [t["feature"].tolist() for t in alone[1][0]]
+
+
 def test_save_load_transform_and_missing_features(spark, tmp_path):
     df, feats = table(spark, classes=3)
     m = B.fit(B.binned(df, feats, classes=3), B.Params(rounds=(4,)), "softmax")
