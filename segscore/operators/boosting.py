@@ -82,6 +82,13 @@ def mixed(*parts) -> np.ndarray:
     return (x >> np.uint64(11)).astype(float) / 2.0 ** 53
 
 
+def all_columns(params: list[Params], round_: int, n: int) -> np.ndarray:
+    """``tree_columns`` of every model; models of one seed and share draw alike."""
+    drawn = {(p.seed, p.colsample): p for p in params}
+    drawn = {k: tree_columns(p, round_, n) for k, p in drawn.items()}
+    return np.stack([drawn[p.seed, p.colsample] for p in params])
+
+
 def fitted(p: Params, fold: np.ndarray) -> np.ndarray:
     return (fold != p.fold) & (fold != NEVER)
 
@@ -99,6 +106,8 @@ def row_weights(p: Params, round_: int, key: np.ndarray, fold: np.ndarray, draw:
 
 def tree_columns(p: Params, round_: int, n: int) -> np.ndarray:
     """Mask of the columns that a round may use."""
+    if p.colsample >= 1:
+        return np.ones(n, bool)
     mask = np.zeros(n, bool)
     take = max(1, int(round(p.colsample * n)))
     mask[np.argsort(mixed(np.arange(n), round_, p.seed, 2), kind="stable")[:take]] = True
@@ -106,25 +115,24 @@ def tree_columns(p: Params, round_: int, n: int) -> np.ndarray:
 
 
 # ----------------------------------------------------------------- objectives
-def gradients(objective: str, f: np.ndarray, y: np.ndarray, positive: float, fit: np.ndarray, sums=None) -> tuple[np.ndarray, np.ndarray]:
-    """(g, h) of one model's scores ``f`` (classes x rows), rounded to the unit.
+def gradients(objective: str, f: np.ndarray, y: np.ndarray, positive: np.ndarray, sums: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(g, h) of the scores ``f`` (models x classes x rows), rounded to the unit.
 
     binary: logistic loss, class 1 weighs ``positive``. softmax: one row of
     scores a class. rank: the logarithm of the pairwise exponential loss, whose
-    sums over positives and negatives (``sums``, of the rows in ``fit``)
-    factorise. forest: squared error, every tree by itself."""
+    sums over positives and negatives (``sums``, of the fitted rows) factorise. forest: squared error, every tree by itself."""
     if objective == "binary":
         p = 1 / (1 + np.exp(-f))
-        w = np.where(y == 1, positive, 1.0)
+        w = np.where(y == 1, np.reshape(positive, (-1, 1, 1)), 1.0)
         g, h = w * (p - y), w * p * (1 - p)
     elif objective == "softmax":
-        e = np.exp(f - f.max(axis=0))
-        p = e / e.sum(axis=0)
-        g = p - (y == np.arange(len(f))[:, None])
+        e = np.exp(f - f.max(axis=1, keepdims=True))
+        p = e / e.sum(axis=1, keepdims=True)
+        g = p - (y == np.arange(f.shape[1])[:, None])
         h = 2 * p * (1 - p)
     elif objective == "rank":
-        up, down, n = rank_sums(f, y, fit) if sums is None else sums
-        g = np.where(y == 1, -np.exp(-f) / max(up, 1e-300), np.exp(f) / max(down, 1e-300)) * (n / 2)
+        up, down, n = (np.reshape([s[i] for s in sums], (-1, 1, 1)) for i in range(3))
+        g = np.where(y == 1, -np.exp(-f) / np.maximum(up, 1e-300), np.exp(f) / np.maximum(down, 1e-300)) * (n / 2)
         h = np.abs(g)
     else:
         g, h = -np.broadcast_to(y.astype(float), f.shape), np.ones(f.shape)
@@ -187,22 +195,23 @@ class Round:
         m = self.level.model[at]
         G, H = total[0][at], total[1][at]
         lam, child = np.maximum(self.lam[m], 1e-12)[:, None], np.maximum(self.child[m], 1e-9)[:, None]
-        root = G * G / (H + lam[:, 0])
+        root = (G * G / (H + lam[:, 0])).astype(np.float32)
+        lam, child = lam.astype(np.float32), child.astype(np.float32)
         ok = self.allowed(at)
-        top, col, place = np.zeros(len(at)), np.full(len(at), -1), np.zeros(len(at), int)
+        top, col, place = np.zeros(len(at), np.float32), np.full(len(at), -1), np.zeros(len(at), int)
         rows, G, H = np.arange(len(at)), G[:, None], H[:, None]
         for j in np.flatnonzero(ok.any(axis=0)):
             g, h = histogram(j)
             used = int(np.flatnonzero(h.any(axis=0))[-1])  # no cut beyond the last bin in use
             if not used:
                 continue
-            gl, hl = np.cumsum(g[:, :used], axis=1), np.cumsum(h[:, :used], axis=1)
-            hr = H - hl
+            gl, hl = np.cumsum(g[:, :used], axis=1), np.cumsum(h[:, :used], axis=1)  # exact
+            gr, hr = (G - gl).astype(np.float32), (H - hl).astype(np.float32)
+            gl, hl = gl.astype(np.float32), hl.astype(np.float32)
             valid = hl >= child
             valid &= hr >= child
             hl += lam
             hr += lam
-            gr = G - gl
             gl *= gl
             gl /= hl
             gr *= gr
@@ -211,7 +220,7 @@ class Round:
             gl *= valid  # what may not be is worth 0, never above the whole node
             k = gl.argmax(axis=1)
             here = gl[rows, k] - root
-            better = ok[:, j] & (here > top + 1e-12)
+            better = ok[:, j] & (here > top + 1e-6 * np.abs(top))
             top[better], col[better], place[better] = here[better], j, k[better]
         gain[at], feature[at], cut[at] = top, col, place
         return gain, feature, cut
@@ -262,57 +271,70 @@ class Group:
 
     def begin(self, round_: int, sums=None) -> None:
         """Gradients of the round, as flat (model and class, row) pairs."""
-        n, k = len(self.y), self.classes
-        g, h, w = (np.empty((len(self.params), k, n)) for _ in range(3))
+        if self.objective == "rank" and sums is None:
+            sums = [rank_sums(f, self.y, fitted(p, self.fold)) for f, p in zip(self.f, self.params)]
+        g, h = gradients(self.objective, self.f, self.y, np.array([p.positive for p in self.params]), sums)
         draws = {seed: mixed(self.key, round_, seed, 1) for seed in {p.seed for p in self.params if p.bootstrap or p.subsample < 1}}
-        for i, p in enumerate(self.params):
-            fit = fitted(p, self.fold)
-            g[i], h[i] = gradients(self.objective, self.f[i], self.y, p.positive, fit, None if sums is None else sums[i])
-            w[i] = row_weights(p, round_, self.key, self.fold, draws.get(p.seed))
-        self.g, self.h = (g * w).ravel(), (h * w).ravel()
-        self.open = np.flatnonzero(w.ravel() > 0)          # pairs that count
-        self.all = np.arange(g.size)                        # pairs that are routed
-        self.node = np.repeat(np.arange(len(self.params) * k), n)
-        self.row = np.tile(np.arange(n), len(self.params) * k)
+        w = np.stack([row_weights(p, round_, self.key, self.fold, draws.get(p.seed)) for p in self.params])
+        w = np.repeat(w[:, None], self.classes, axis=1)
+        w = w.ravel()
+        self.enter(np.concatenate([np.flatnonzero(w > 0), np.flatnonzero(w == 0)]), int(np.count_nonzero(w)))
+        at = self.pair[:self.counted]
+        self.g, self.h = (g.ravel()[at] * w[at]), (h.ravel()[at] * w[at])
+
+    def enter(self, pairs: np.ndarray, counted: int) -> None:
+        """Puts (model and class, row) pairs at the roots; the first ``counted``
+        make the histograms, the others are only routed."""
+        n = len(self.y)
+        self.pair, self.counted = pairs, counted
+        self.node = (pairs // n).astype(np.int32)
+        self.row = (pairs - self.node.astype(np.int64) * n).astype(np.int32)
+        self.g = self.h = np.zeros(counted)
 
     def totals(self, nodes: int) -> tuple[np.ndarray, np.ndarray]:
-        node = self.node[self.open]
-        return np.bincount(node, self.g[self.open], nodes), np.bincount(node, self.h[self.open], nodes)
+        node = self.node[:self.counted]
+        return np.bincount(node, self.g, nodes), np.bincount(node, self.h, nodes)
 
     def histograms(self, nodes: int, at: np.ndarray):
         """Gives, column by column, the sums by (node of ``at``, bin)."""
-        number = np.full(nodes, -1)
-        number[at] = np.arange(len(at))
-        node = number[self.node[self.open]]
-        pairs = self.open[node >= 0]
-        base, row, g, h = node[node >= 0] * BINS, self.row[pairs], self.g[pairs], self.h[pairs]
+        node, row, g, h = self.node[:self.counted], self.row[:self.counted], self.g, self.h
+        if len(at) < nodes:
+            number = np.full(nodes, -1, np.int32)
+            number[at] = np.arange(len(at))
+            node = number[node]
+            some = np.flatnonzero(node >= 0)
+            node, row, g, h = node[some], row[some], g[some], h[some]
+        base = node.astype(np.int64) * BINS
         shape, n = (len(at), BINS), len(at) * BINS
 
         def of(j: int) -> tuple[np.ndarray, np.ndarray]:
-            key = base + self.x[j][row]
+            key = base + self.x[j].take(row)
             return np.bincount(key, g, n).reshape(shape), np.bincount(key, h, n).reshape(shape)
 
         return of
 
     def descend(self, feature: np.ndarray, cut: np.ndarray, value: np.ndarray, child: np.ndarray, flat: np.ndarray) -> None:
         """Rows of closed nodes take the value (into ``flat``), others go to a child."""
-        node = self.node[self.all]
-        leaf = feature[node] < 0
-        done = self.all[leaf]
-        flat[done] += value[node[leaf]]
-        rest, node = self.all[~leaf], node[~leaf]
-        self.node[rest] = child[node] + (self.x[feature[node], self.row[rest]] > cut[node])
-        self.all = rest
-        stay = np.zeros(len(self.node), bool)
-        stay[rest] = True
-        self.open = self.open[stay[self.open]]
+        inner = feature >= 0
+        stay = inner.take(self.node)
+        if not stay.all():
+            done = np.flatnonzero(~stay)
+            flat[self.pair.take(done)] += value.take(self.node.take(done))
+            rest = np.flatnonzero(stay)
+            counted = int(np.searchsorted(rest, self.counted))
+            self.g, self.h = self.g.take(rest[:counted]), self.h.take(rest[:counted])
+            self.pair, self.node, self.row, self.counted = self.pair.take(rest), self.node.take(rest), self.row.take(rest), counted
+        n = self.x.shape[1]
+        cell = (np.where(inner, feature, 0) * n).take(self.node) + self.row
+        right = self.x.ravel().take(cell) > cut.astype(np.uint8).take(self.node)
+        self.node = child.astype(np.int32).take(self.node) + right
 
     def grow(self, round_: int) -> list[dict]:
         """One round over rows that are all here: a tree a (model, class)."""
         self.begin(round_)
         by_class = [p for p in self.params for _ in range(self.classes)]
         step = np.zeros(self.f.size)
-        r = Round(by_class, np.stack([tree_columns(p, round_, len(self.x)) for p in by_class]), round_)
+        r = Round(by_class, all_columns(by_class, round_, len(self.x)), round_)
         while len(r.level.model):
             nodes = len(r.level.model)
             total = self.totals(nodes)
@@ -621,7 +643,7 @@ class Partitioned:
     def grow(self, round_: int) -> list[dict]:
         classes, width = self.b.classes, len(self.b.features)
         by_class = [p for p in self.params for _ in range(classes)]
-        r = Round(by_class, np.stack([tree_columns(p, round_, width) for p in by_class]), round_)
+        r = Round(by_class, all_columns(by_class, round_, width), round_)
         sums = self.rank_sums()
         levels: list[tuple] = []
         while len(r.level.model):
@@ -674,11 +696,7 @@ class Partitioned:
 
 def replay(g: Group, levels: list[tuple]) -> None:
     """Moves the scores of a block by a finished round."""
-    n = len(g.y)
-    g.all = np.arange(len(g.params) * g.classes * n)
-    g.open = g.all[:0]
-    g.node = np.repeat(np.arange(len(g.params) * g.classes), n)
-    g.row = np.tile(np.arange(n), len(g.params) * g.classes)
+    g.enter(np.arange(len(g.params) * g.classes * len(g.y)), 0)
     step = np.zeros(g.f.size)
     for lv in levels:
         g.descend(*lv, step)
