@@ -821,13 +821,13 @@ class Trees:
         def score(cols: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
             m = shared.value
             for c in cols:
-                x = np.stack([s.to_numpy(float) for s in c], axis=1)
+                x = np.stack([s.to_numpy(float) for s in (c if isinstance(c, tuple) else (c,))], axis=1)
                 ok = ~np.isnan(x).any(axis=1)
                 y = np.full(len(x), np.nan)
                 if ok.any():
                     s = m.scores(x[ok])
                     y[ok] = np.argmax(s, axis=1) if many else s
-                yield pd.Series(y).astype(object).where(ok, None)
+                yield pd.Series(pd.array(np.where(ok, y, 0).astype("i4"), dtype="Int32")).where(ok) if many else pd.Series(y).astype(object).where(ok, None)
 
         udf = F.pandas_udf(score, "int" if many else "double")
         return df.withColumn(out, udf(*[qcol(f).cast("double") for f in self.features]))

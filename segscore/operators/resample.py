@@ -33,9 +33,14 @@ from segscore.session import cut_lineage
 CHUNK = 10_000
 
 
+#: Synthetic ids lie below this bound; ids of real rows have to lie above it.
+SYNTHETIC_BELOW = -(1 << 61)
+
+
 def synthetic_id(src: Column, j: Column, seed: int) -> Column:
+    """A 60-bit hash of (source, draw, seed) in a range of its own."""
     h = F.md5(F.concat_ws(":", src.cast("string"), j.cast("string"), F.lit(str(seed)), F.lit("syn")))
-    return F.conv(F.substring(h, 1, 15), 16, 10).cast("long")
+    return F.lit(SYNTHETIC_BELOW) - F.conv(F.substring(h, 1, 15), 16, 10).cast("long")
 
 
 def _counts_even(minor: DataFrame, g: int, seed: int, id_col: str) -> DataFrame:
@@ -49,28 +54,39 @@ def _counts_even(minor: DataFrame, g: int, seed: int, id_col: str) -> DataFrame:
 
 def _generate(df: DataFrame, features: list[str], counts: DataFrame, nn: DataFrame, k_eff: int, seed: int,
               label: str, id_col: str, minority: int) -> DataFrame:
-    """counts(src_id, cnt) × minority neighbours nn(qid, nid, rank) → synthetic rows."""
-    c = counts.filter(F.col("cnt") > 0)
-    ch = c.select("src_id", "cnt", F.explode(F.sequence(F.lit(0), ((F.col("cnt") - 1) / CHUNK).cast("long"))).alias("chunk"))
+    """counts(src_id, cnt) × minority neighbours nn(qid, nid, rank) → synthetic rows.
+
+    A source meets its features and those of its at most k neighbours first,
+    one row a source; only then are its draws made, in chunks spread over the
+    tasks. No exchange follows, so few sources cannot crowd one task."""
+    values = F.array(*[qcol(f).cast("double") for f in features])
+    base = df.select(qcol(id_col).alias("src_id"), values.alias("_a"))
+    near = nn.join(df.select(qcol(id_col).alias("nid"), values.alias("_b")), "nid")
+    near = near.groupBy(F.col("qid").alias("src_id")).agg(F.sort_array(F.collect_list(F.struct("rank", "_b"))).alias("_near"))
+    src = counts.filter(F.col("cnt") > 0).join(near, "src_id").join(base, "src_id")
+    ch = src.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), ((F.col("cnt") - 1) / CHUNK).cast("long"))))
     ch = ch.repartition("src_id", "chunk")
     j = F.explode(F.sequence(F.col("chunk") * CHUNK, F.least(F.col("cnt"), (F.col("chunk") + 1) * CHUNK) - 1))
-    rows = ch.select("src_id", j.alias("syn_j"))
+    rows = ch.select("src_id", "_a", "_near", j.alias("syn_j"))
     u_nn = hash_uniform(F.col("src_id"), F.col("syn_j"), F.lit(seed), F.lit("nn"))
     u_gap = hash_uniform(F.col("src_id"), F.col("syn_j"), F.lit(seed), F.lit("gap"))
-    rows = rows.select("src_id", "syn_j",
-                       (F.floor(u_nn * k_eff) + 1).cast("int").alias("rank"), u_gap.alias("gap"))
-    rows = rows.join(nn.select(F.col("qid").alias("src_id"), "rank", "nid"), ["src_id", "rank"])
-    base = df.select(qcol(id_col).alias("src_id"), *[qcol(f).alias(f"_a{i}") for i, f in enumerate(features)])
-    nb = df.select(qcol(id_col).alias("nid"), *[qcol(f).alias(f"_b{i}") for i, f in enumerate(features)])
-    rows = rows.join(base, "src_id").join(nb, "nid")
+    rows = rows.select("src_id", "syn_j", "_a", F.element_at("_near", (F.floor(u_nn * k_eff) + 1).cast("int"))["_b"].alias("_b"), u_gap.alias("gap"))
     return rows.select(
         synthetic_id(F.col("src_id"), F.col("syn_j"), seed).alias(id_col),
         F.lit(minority).cast("int").alias(label),
-        *[(F.col(f"_a{i}") + F.col("gap") * (F.col(f"_b{i}") - F.col(f"_a{i}"))).alias(f) for i, f in enumerate(features)],
+        *[(F.col("_a")[i] + F.col("gap") * (F.col("_b")[i] - F.col("_a")[i])).alias(f) for i, f in enumerate(features)],
         F.lit(True).alias("synthetic"), F.col("src_id"), F.col("syn_j").cast("long"),
     )
 
 
+def _complete_minority(df: DataFrame, features: list[str], label: str, minority: int) -> DataFrame:
+    """Minority rows without a missing feature: only they have neighbours."""
+    minor = df.filter(qcol(label) == minority)
+    for f in features:
+        minor = minor.filter(qcol(f).isNotNull() & ~F.isnan(qcol(f)))
+    return minor
+
+
 def _with_flags(df: DataFrame, features: list[str], label: str, id_col: str) -> DataFrame:
     return df.select(qcol(id_col).alias(id_col), qcol(label).cast("int").alias(label), *[qcol(f) for f in features],
                      F.lit(False).alias("synthetic"), F.lit(None).cast("long").alias("src_id"),
@@ -94,9 +110,7 @@ def smote_synthetic(df: DataFrame, features: list[str], k: int = 5, seed: int =
     none = _with_flags(df, features, label, id_col).limit(0)
     if g <= 0:
         return none
-    minor = df.filter(qcol(label) == minority)
-    for f in features:
-        minor = minor.filter(qcol(f).isNotNull() & ~F.isnan(qcol(f)))
+    minor = _complete_minority(df, features, label, minority)
     n_eligible = minor.count()
     if n_eligible < 2:
         warnings.warn("SMOTE needs at least 2 complete minority rows; input returned unchanged")
@@ -116,12 +130,16 @@ def smote(df: DataFrame, features: list[str], k: int = 5, seed: int = 42, label:
 
 def adasyn(df: DataFrame, features: list[str], k: int = 5, seed: int = 42, label: str = "label",
            id_col: str = "id", minority: int = 1) -> DataFrame:
-    """Density-weighted counts, minority-neighbour interpolation."""
+    """Density-weighted counts, minority-neighbour interpolation. The
+    missing rows are shared out among the minority rows that have all features;
+    with fewer than 2 of them the input comes back unchanged."""
     df = cut_lineage(df.select(qcol(id_col), qcol(label), *[qcol(f) for f in features]))
     orig = _with_flags(df, features, label, id_col)
     n_min, n_maj = _class_counts(df, label, minority)
     g = n_maj - n_min
-    if g <= 0 or n_min < 2:
+    minor = _complete_minority(df, features, label, minority)
+    n_eligible = minor.count()
+    if g <= 0 or n_eligible < 2:
         return orig
     allnn = knn(df, features, k, id_col=id_col, query=qcol(label) == minority)
     lab = df.select(qcol(id_col).alias("nid"), qcol(label).alias("_nl"))
@@ -137,8 +155,7 @@ def adasyn(df: DataFrame, features: list[str], k: int = 5, seed: int = 42, label
     q, rem = F.floor(num / F.lit(total)).cast("long"), num % F.lit(total)
     up = F.when(2 * rem > total, 1).when((2 * rem == total) & (q % 2 == 1), 1).otherwise(0)
     counts = m.select(F.col("qid").alias("src_id"), (q + up).cast("long").alias("cnt"))
-    k_eff = min(k, n_min - 1)
-    minor = df.filter(qcol(label) == minority)
+    k_eff = min(k, n_eligible - 1)
     nn = knn(minor, features, k_eff, id_col=id_col)
     return cut_lineage(orig.unionByName(_generate(df, features, counts, nn, k_eff, seed, label, id_col, minority)))
 

@@ -312,20 +312,37 @@ SELECT id, label, {", ".join(RED_KEEP)}, w1 * (n_lines - m1) + w2 * (n_orders -
 RED_COLS = RED_KEEP + ["PCA_n_lines_n_orders"]
 
 
-# twin for the step log at sf0.01 (decisions as listed in FIXTURES.md; every
-# correlation and the fused weights recomputed in SQL from the standardised table)
-_STEPS_SQL = """WITH z AS {z},
-c AS (SELECT corr(gross, net) AS r0, corr(n_lines, qty) AS r1, corr(n_lines, gross) AS r2, corr(n_lines, n_orders) AS r3,
-             var_pop(n_lines) AS c11, var_pop(n_orders) AS c22, covar_pop(n_lines, n_orders) AS c12 FROM z),
-a AS (SELECT *, cos(0.5 * atan2(2 * c12, c11 - c22)) AS u1, sin(0.5 * atan2(2 * c12, c11 - c22)) AS u2 FROM c),
-w AS (SELECT *, CASE WHEN (CASE WHEN abs(u1) >= abs(u2) THEN u1 ELSE u2 END) < 0 THEN -1.0 ELSE 1.0 END AS sg FROM a)
-SELECT 0 AS step, 1 AS round, 'drop' AS kind, 'gross' AS feature_1, 'net' AS feature_2, {c0} AS corr,
-       CAST(NULL AS VARCHAR) AS out, CAST(NULL AS DOUBLE) AS w1, CAST(NULL AS DOUBLE) AS w2 FROM w
-UNION ALL SELECT 1, 1, 'drop', 'n_lines', 'qty', {c1}, NULL, NULL, NULL FROM w
-UNION ALL SELECT 2, 1, 'drop', 'n_lines', 'gross', {c2}, NULL, NULL, NULL FROM w
-UNION ALL SELECT 3, 1, 'pca', 'n_lines', 'n_orders', {c3}, 'PCA_n_lines_n_orders', {w1}, {w2} FROM w""".format(
-    z=Z_SQL, c0=rnd("abs(r0)"), c1=rnd("abs(r1)"), c2=rnd("abs(r2)"), c3=rnd("abs(r3)"),
-    w1=rnd("sg * u1"), w2=rnd("sg * u2"))
+# Twin for the step log: the decisions of the first round, from the correlations.
+# Drops go down the pairs above 0.95 as long as both ends are still there; pairs
+# of (0.8, 0.95] are matched greedily and fused if both ends survived the drops.
+_GREEDY = "abs(c) DESC, idx1, idx2"
+_STEPS_SQL = "WITH RECURSIVE zz AS (SELECT 1), " + _corr_sql(Z_SQL, CF).strip().removeprefix("WITH") + f""",
+dr AS (SELECT row_number() OVER (ORDER BY {_GREEDY}) AS k, feature_1 AS f1, feature_2 AS f2, abs(c) AS r
+       FROM p WHERE abs(c) > 0.95 AND NOT isnan(c)),
+fu AS (SELECT row_number() OVER (ORDER BY {_GREEDY}) AS k, feature_1 AS f1, feature_2 AS f2, abs(c) AS r
+       FROM p WHERE abs(c) > 0.8 AND abs(c) <= 0.95 AND NOT isnan(c)),
+st AS (SELECT 0::BIGINT AS k, {CF} AS present, []::BIGINT[] AS hit
+       UNION ALL SELECT dr.k, CASE WHEN list_contains(present, f1) AND list_contains(present, f2)
+                                   THEN list_filter(present, lambda x: x <> f2) ELSE present END,
+                        CASE WHEN list_contains(present, f1) AND list_contains(present, f2) THEN list_append(hit, dr.k) ELSE hit END
+       FROM st JOIN dr ON dr.k = st.k + 1),
+mt AS (SELECT 0::BIGINT AS k, []::VARCHAR[] AS used, []::BIGINT[] AS hit
+       UNION ALL SELECT fu.k, CASE WHEN list_contains(used, f1) OR list_contains(used, f2) THEN used ELSE list_append(list_append(used, f1), f2) END,
+                        CASE WHEN list_contains(used, f1) OR list_contains(used, f2) THEN hit ELSE list_append(hit, fu.k) END
+       FROM mt JOIN fu ON fu.k = mt.k + 1),
+kept AS (SELECT present, hit FROM st ORDER BY k DESC LIMIT 1),
+fused AS (SELECT k, f1, f2, r FROM fu, (SELECT hit FROM mt ORDER BY k DESC LIMIT 1) h, kept
+          WHERE list_contains(h.hit, k) AND list_contains(present, f1) AND list_contains(present, f2)),
+zl AS ({_unpivot_sql('f', CF, keep='id')}),
+m AS (SELECT k, any_value(f1) AS f1, any_value(f2) AS f2, any_value(r) AS r, var_pop(a.value) AS c11, var_pop(b.value) AS c22,
+             covar_pop(a.value, b.value) AS c12
+      FROM fused JOIN zl a ON a.feature = f1 JOIN zl b ON b.feature = f2 AND b.id = a.id GROUP BY k),
+ax AS (SELECT *, cos(0.5 * atan2(2 * c12, c11 - c22)) AS u1, sin(0.5 * atan2(2 * c12, c11 - c22)) AS u2 FROM m),
+w AS (SELECT *, CASE WHEN (CASE WHEN abs(u1) >= abs(u2) THEN u1 ELSE u2 END) < 0 THEN -1.0 ELSE 1.0 END AS sg FROM ax),
+s AS (SELECT 'drop' AS kind, k, f1, f2, r, NULL AS out, NULL::DOUBLE AS w1, NULL::DOUBLE AS w2 FROM dr, kept WHERE list_contains(hit, k)
+      UNION ALL SELECT 'pca', k, f1, f2, r, 'PCA_' || f1 || '_' || f2, sg * u1, sg * u2 FROM w)
+SELECT CAST(row_number() OVER (ORDER BY kind, k) - 1 AS INTEGER) AS step, 1 AS round, kind, f1 AS feature_1, f2 AS feature_2,
+       {r('r', 'corr')}, out, {r('w1', 'w1')}, {r('w2', 'w2')} FROM s"""
 
 
 @query("reduction_steps", _STEPS_SQL)
@@ -682,7 +699,7 @@ def _smote_ctes(feats: list[str], k: int, seed: int) -> str:
     """CTEs over ``d`` (id, label, feats): ``syn`` = synthetic rows (unrounded)."""
     nn = knn_op.knn_bruteforce_sql("(SELECT * FROM d WHERE label = 1)", feats, k)
     pick = f"md5(CAST(id AS VARCHAR) || ':' || '{seed}' || ':' || 'pick')"
-    sid = f"CAST(('0x' || substr(md5(CAST(u.src_id AS VARCHAR) || ':' || CAST(u.syn_j AS VARCHAR) || ':' || '{seed}' || ':' || 'syn'), 1, 15)) AS BIGINT)"
+    sid = f"{resample.SYNTHETIC_BELOW} - CAST(('0x' || substr(md5(CAST(u.src_id AS VARCHAR) || ':' || CAST(u.syn_j AS VARCHAR) || ':' || '{seed}' || ':' || 'syn'), 1, 15)) AS BIGINT)"
     return f"""cc AS (SELECT sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS n_min, sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS n_maj FROM d),
 mn AS (SELECT id, row_number() OVER (ORDER BY {pick}, id) AS rk FROM d WHERE label = 1),
 cnt AS (SELECT id AS src_id, CAST((n_maj - n_min) // n_min + CASE WHEN rk <= (n_maj - n_min) % n_min THEN 1 ELSE 0 END AS BIGINT) AS cnt FROM mn, cc),
@@ -734,18 +751,6 @@ def q_adasyn_class_counts(spark, sf):
     return s.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("smote_enn_counts")
-def q_smote_enn_counts(spark, sf):
-    s = resample.smote_enn(fx.doc_features(spark, sf), DF, 5, 42)
-    return s.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query("smote_tomek_counts")
-def q_smote_tomek_counts(spark, sf):
-    s = resample.smote_tomek(fx.doc_features(spark, sf), DF, 5, 42)
-    return s.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("enn_clean", f"""WITH d AS {CF_SQL}, nn AS {knn_op.knn_bruteforce_sql(CF_SQL, CF, 3)},
 bad AS (SELECT DISTINCT nn.qid FROM nn JOIN d a ON a.id = nn.qid JOIN d b ON b.id = nn.nid WHERE a.label <> b.label)
 SELECT id, label FROM d WHERE id NOT IN (SELECT qid FROM bad)""")
@@ -762,10 +767,11 @@ def q_tomek_clean(spark, sf):
 
 
 # ------------------------------------------------------------------ learners, searches, importances (rows-only)
+from segscore.operators import boosting, mlp, stacking  # noqa: E402
 from segscore.operators import learners as L  # noqa: E402
 from segscore.plans import recipes as RC  # noqa: E402
 from segscore.plans import training  # noqa: E402
-from segscore.session import ensure_checkpoint_dir  # noqa: E402
+from segscore.session import cut_lineage, ensure_checkpoint_dir  # noqa: E402
 
 
 def _docs_split(spark, sf):
@@ -784,9 +790,32 @@ def q_gbt_binary_scores(spark, sf):
 
 @query("multiclass_cv_metrics")
 def q_multiclass_cv_metrics(spark, sf):
-    """M17 + M8 + M11 + A15 on the 10-class embedding table."""
-    e = split.stratified_folds(fx.embedding_features(spark, sf), 5, 42)
-    return rounded(L.cross_validate(L.random_forest(50, 8), L.assemble(e, EMB, keep=["id", "label", "fold"])))
+    """M17 + M8 + M11 + A15: a softmax ensemble on the 10-class embedding table."""
+    e = cut_lineage(split.stratified_folds(fx.embedding_features(spark, sf), 5, 42))
+    table = boosting.binned(e, EMB, fold="fold", classes=10)
+    models = boosting.fit_many(table, [boosting.Params(rounds=(30,), depth=3, eta=0.3, fold=f) for f in range(5)], "softmax")
+    return rounded(training.cv_metrics(e, models))
+
+
+@query("softmax_probabilities", f"""SELECT id, true AS adds_up, true AS likeliest FROM {EMB_SQL}""")
+def q_softmax_probabilities(spark, sf):
+    """Every row's class probabilities are positive and add up to 1, and
+    the predicted class is the likeliest."""
+    from segscore.operators.stacking import scorer
+    e = fx.embedding_features(spark, sf)
+    m = boosting.fit(boosting.binned(e, EMB, classes=10), boosting.Params(rounds=(20,), depth=3, eta=0.3), "softmax")
+
+    class Of:
+        def __init__(self, which):
+            self.which = which
+
+        def scores(self, x):
+            p = m.scores(x)
+            return p.sum(axis=1) if self.which == "sum" else p.min(axis=1) if self.which == "min" else np.argmax(p, axis=1).astype(float)
+
+    cols = [qcol(c) for c in EMB]
+    out = m.transform(e, "_c").select("id", "_c", *[scorer(spark, Of(w))(*cols).alias(w) for w in ("sum", "min", "top")])
+    return out.select("id", ((F.abs(F.col("sum") - 1) < 1e-9) & (F.col("min") > 0)).alias("adds_up"), (F.col("top") == F.col("_c")).alias("likeliest"))
 
 
 @query("ovr_boosted_cv_metrics")
@@ -815,26 +844,24 @@ def q_multiclass_log_loss(spark, sf):
 
 @query("grid_search_cv")
 def q_grid_search_cv(spark, sf):
-    """M9: full grid, stratified fold column, exact-AP evaluator."""
-    d = split.stratified_folds(fx.doc_features(spark, sf), 3, 42)
-    est = L.boosted_binary(max_iter=10)
-    maps = L.grid(est, {"maxDepth": [2, 3], "stepSize": [0.1, 0.3]})
-    cv = L.cross_validator(est, maps, L.AveragePrecisionEvaluator(), parallelism=4).fit(L.assemble(d, DF, keep=["id", "label", "fold"]))
-    rows = [(int(pm[est.getParam("maxDepth")]), float(pm[est.getParam("stepSize")]), float(m))
-            for pm, m in zip(maps, cv.avgMetrics)]
-    return rounded(spark.createDataFrame(rows, "maxDepth int, stepSize double, average_precision double"))
+    """M9: a full grid over stratified folds, all candidates in lockstep; the
+    tree count is read off as a prefix."""
+    d = split.stratified_folds(fx.doc_features(spark, sf), 5, 42)
+    cands = training.candidates({"rounds": [50, 100], "depth": [3, 6], "eta": [0.05, 0.1, 0.3], "subsample": [0.8, 1.0], "child": [1, 5]})
+    values = training.cross_validated(boosting.binned(d, DF, fold="fold"), cands, list(range(5)))
+    rows = [(c["rounds"], c["depth"], c["eta"], c["subsample"], c["child"], float(v)) for c, v in zip(cands, values)]
+    return rounded(spark.createDataFrame(rows, "rounds int, depth int, eta double, subsample double, child int, average_precision double"))
 
 
 @query("random_search_cv")
 def q_random_search_cv(spark, sf):
-    """Seeded random draws over int/uniform/list spaces."""
-    d = split.stratified_folds(fx.doc_features(spark, sf), 3, 42)
-    est = L.boosted_binary(max_iter=10)
-    maps = L.random_grid(est, {"maxDepth": ("int", 2, 5), "stepSize": ("uniform", 0.05, 0.3)}, 3, seed=42)
-    cv = L.cross_validator(est, maps, L.AveragePrecisionEvaluator(), parallelism=3).fit(L.assemble(d, DF, keep=["id", "label", "fold"]))
-    best, score = L.best_params(cv, maps)
-    return rounded(spark.createDataFrame([(int(best["maxDepth"]), float(best["stepSize"]), score)],
-                                         "maxDepth int, stepSize double, average_precision double"))
+    """Seeded random draws over int and uniform spaces, the third segment's."""
+    d = split.stratified_folds(fx.doc_features(spark, sf), 5, 42)
+    cands = training.candidates(RC.reference_recipes()[3].search_space, 30)
+    values = training.cross_validated(boosting.binned(d, DF, fold="fold"), cands, list(range(5)))
+    best = training.best_of(cands, values)
+    return rounded(spark.createDataFrame([(best["rounds"], best["depth"], float(best["eta"]), max(values))],
+                                         "rounds int, depth int, eta double, average_precision double"))
 
 
 @query("oof_scores_smote")
@@ -847,34 +874,50 @@ def q_oof_scores_smote(spark, sf):
 
 @query("permutation_importance")
 def q_permutation_importance(spark, sf):
-    """MLP on standardised features, 5 seeded permutations per column."""
+    """Perceptron on standardised features, 5 seeded permutations per column in one job."""
     tr, _ = _docs_split(spark, sf)
-    z = scalers.apply_standard(tr, scalers.fit_standard(tr, DF))
-    m = L.mlp(len(DF), 16, max_iter=100).fit(L.assemble(z, DF))
-    return rounded(L.permutation_importance(m, z, DF, repeats=5, seed=42))
+    z = cut_lineage(scalers.apply_standard(tr, scalers.fit_standard(tr, DF)))
+    net = mlp.fit_many(mlp.matrix(z, DF), [mlp.Spec()])[0]
+    return rounded(mlp.permutation_importance(net, z, DF, repeats=5, seed=42))
+
+
+@query("permuted_values", f"""SELECT feature, {r('value', 'value')}, 3 * count(*) AS n FROM ({_unpivot_sql(CF_SQL, CF)}) GROUP BY feature, value""")
+def q_permuted_values(spark, sf):
+    """The three permutations of every column hold its values as often as the column does."""
+    p = mlp.permuted(customer_table(spark, sf), CF, repeats=3, seed=7)
+    v = p.select(F.explode("_p").alias("t")).select(F.posexplode(F.col("t")["x"]).alias("i", "value"))
+    v = v.select(F.array(*[F.lit(c) for c in CF])[F.col("i")].alias("feature"), "value")
+    return rounded(v.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))
 
 
 @query("feature_union")
 def q_feature_union(spark, sf):
-    """M28 + K3 + U2: forest ∪ boosted ∪ MLP-permutation top-3 sets."""
+    """M28 + K3 + U2: forest ∪ boosted ∪ perceptron-permutation top-3 sets."""
     tr, _ = _docs_split(spark, sf)
-    rf = L.random_forest(50, 6).fit(L.assemble(tr, DF))
-    gb = L.boosted_binary(max_iter=10).fit(L.assemble(tr, DF))
-    z = scalers.apply_standard(tr, scalers.fit_standard(tr, DF))
-    mp = L.mlp(len(DF), 16, max_iter=100).fit(L.assemble(z, DF))
-    sets = [L.top_features(L.importances(rf, DF), 3), L.top_features(L.importances(gb, DF), 3),
-            L.top_features(L.permutation_importance(mp, z, DF, repeats=2), 3)]
-    return spark.createDataFrame([(f,) for f in L.feature_union(sets)], "feature string")
+    top = training.select_features(cut_lineage(tr), DF, 3, 1.5 * L.metrics_ratio(tr))
+    return spark.createDataFrame([(f,) for f in top], "feature string")
 
 
 @query("stacking_scores")
 def q_stacking_scores(spark, sf):
-    """Out-of-fold base scores + passthrough features → logistic meta."""
+    """Out-of-fold base scores + passthrough features → logistic meta, one-pass scoring."""
     tr, te = _docs_split(spark, sf)
-    tr = split.stratified_folds(tr, 5, 42)
-    bases = [L.random_forest(20, 5), L.mlp(len(DF), 16, max_iter=100), L.boosted_binary(max_iter=10)]
-    st = L.fit_stack(bases, L.logistic(), tr, DF, k=5)
-    return rounded(L.positive_score(st.transform(te)).select("id", "label", "score"))
+    z = scalers.standard_params_list(tr, DF)
+    folds = split.stratified_folds(scalers.apply_standard(tr, z), stacking.FOLDS, 42)
+    st = stacking.fit(folds, DF, {"rf_rounds": 100, "rf_depth": 10, "gbt_rounds": 100, "gbt_depth": 3, "gbt_eta": 0.1}, 1.5 * L.metrics_ratio(tr))
+    return rounded(training.scored_by(st, scalers.apply_standard(te, z)))
+
+
+@query("learning_rates")
+def q_learning_rates(spark, sf):
+    """The perceptron's learning rate changes its scores (held-out average precision by rate)."""
+    tr, te = _docs_split(spark, sf)
+    z = scalers.standard_params_list(tr, DF)
+    rates = [0.0001, 0.001, 0.01]
+    nets = mlp.fit_many(mlp.matrix(scalers.apply_standard(tr, z), DF), [mlp.Spec(rate=x) for x in rates])
+    held = cut_lineage(scalers.apply_standard(te, z))
+    rows = [(x, training._ap(training.scored_by(n, held))) for x, n in zip(rates, nets)]
+    return rounded(spark.createDataFrame(rows, "rate double, average_precision double"))
 
 
 @query("resampling_pipeline_scores")
@@ -1161,6 +1204,25 @@ def q_histogram_10(spark, sf):
     """A10, 10 equal-width bins over all rows."""
     return rounded(stats.histogram(customer_table(spark, sf), CF, bins=10, by=None))
 
-# the two earlier names of the same counts share the twins
-SQL["smote_enn_counts"] = SQL["smote_enn_counts_sql"]
-SQL["smote_tomek_counts"] = SQL["smote_tomek_counts_sql"]
+
+def _cleaned_sql(k: int, gone: str) -> str:
+    return f"""WITH {_resampled_sql(DOCS_SQL, DF, 5, 42)}, o AS (SELECT id, src_id, syn_j FROM syn),
+nn AS {knn_op.knn_bruteforce_sql("rs", DF, k)}, {gone}
+SELECT CASE WHEN rs.synthetic THEN NULL ELSE rs.id END AS id, o.src_id, o.syn_j, rs.label, {", ".join(r("rs." + f, f) for f in DF)}
+FROM rs LEFT JOIN o ON rs.synthetic AND o.id = rs.id WHERE rs.id NOT IN (SELECT x FROM gone)"""
+
+
+@query("smote_enn_rows", _cleaned_sql(3, """gone AS (SELECT DISTINCT nn.qid AS x FROM nn JOIN rs a ON a.id = nn.qid
+  JOIN rs b ON b.id = nn.nid WHERE a.label <> b.label)"""))
+def q_smote_enn_rows(spark, sf):
+    """M15, row by row: what SMOTE made and edited nearest neighbours left."""
+    s = resample.smote_enn(fx.doc_features(spark, sf), DF, 5, 42)
+    return rounded(s.select(F.when(~F.col("synthetic"), F.col("id")).alias("id"), "src_id", "syn_j", "label", *DF))
+
+
+@query("smote_tomek_rows", _cleaned_sql(1, """gone AS (SELECT a.qid AS x FROM nn a JOIN nn b ON a.qid = b.nid AND a.nid = b.qid
+  JOIN rs da ON da.id = a.qid JOIN rs db ON db.id = a.nid WHERE da.label <> db.label)"""))
+def q_smote_tomek_rows(spark, sf):
+    """M16, row by row."""
+    s = resample.smote_tomek(fx.doc_features(spark, sf), DF, 5, 42)
+    return rounded(s.select(F.when(~F.col("synthetic"), F.col("id")).alias("id"), "src_id", "syn_j", "label", *DF))

@@ -123,6 +123,7 @@ def test_ap_and_auc_with_ties(spark):
 @pytest.mark.parametrize("block,bcast", [(4, True), (4, False), (256, True)])
 def test_knn_exact_with_duplicates(spark, block, bcast):
     spark.conf.set("segscore.knn.maxBroadcastBlocks", "200000" if bcast else "0")
+    spark.conf.set("segscore.knn.localCells", "0" if block < 256 else "400000")
     rng = np.random.default_rng(11)
     X = rng.normal(size=(120, 3))
     X[10:14] = X[9]  # exact duplicates
@@ -133,6 +134,7 @@ def test_knn_exact_with_duplicates(spark, block, bcast):
     for q, g in got.groupby("qid"):
         exp = np.sort(D[q])[:3]
         assert np.allclose(np.sort(g["dist"].to_numpy()), exp)
+    spark.conf.unset("segscore.knn.localCells")
 
 
 def test_smote_balances_and_interpolates(spark):
@@ -278,3 +280,78 @@ def test_bipartite_ranker_orders_ties_and_one_class(spark):
     assert ((diff > 0) + 0.5 * (diff == 0)).mean() > 0.95
     one = x.filter("label = 0")
     assert L.BipartiteRanker(max_iter=2).fit(one).transform(one).select("prediction").distinct().collect()[0][0] == 0
+
+
+def test_adasyn_shares_among_complete_minority_rows(spark):
+    """12 minority rows, 3 without NULLs: the 3 get all synthetic rows that are due."""
+    rng = np.random.default_rng(2)
+    rows = [(i, int(i < 12), None if 3 <= i < 12 else float(rng.normal()), float(rng.normal())) for i in range(80)]
+    d = _df(spark, rows, "id long, label int, a double, b double")
+    s = resample.adasyn(d, ["a", "b"])
+    made = s.filter("synthetic").collect()
+    assert abs(len(made) - 56) <= 2 and {r["src_id"] for r in made} <= {0, 1, 2}
+    assert all(r["id"] < resample.SYNTHETIC_BELOW + 1 and r["a"] is not None for r in made)
+    one = d.filter("label = 0 or id in (0, 5, 6)")
+    assert resample.adasyn(one, ["a", "b"]).filter("synthetic").count() == 0
+
+
+def test_permutations_are_permutations(spark):
+    from segscore.operators import mlp
+    for n in (1, 2, 7, 12, 100):
+        for t in range(4):
+            a, b = mlp.affine(n, 5, t)
+            assert sorted((a * r + b) % n for r in range(n)) == list(range(n))
+    d = _df(spark, [(i, 0, float(i), float(-i)) for i in range(50)], "id long, label int, a double, b double")
+    rows = mlp.permuted(d, ["a", "b"], repeats=2, seed=3).collect()
+    place = {r["_r"]: r for r in rows}
+    for t in range(2):
+        a, b = mlp.affine(50, 3, t)
+        for r in rows:  # row r takes the values of the row whose place is a * r + b
+            src = place[(a * r["_r"] + b) % 50]
+            assert r["_p"][t]["x"] == [src["a"], src["b"]]
+
+
+def test_perceptron_plans_agree_and_the_rate_matters(spark):
+    from segscore.operators import mlp
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(100, 3))
+    rows = [(i, int(x[i, 0] + x[i, 1] > 0), *map(float, x[i])) for i in range(100)]
+    d = _df(spark, rows, "id long, label int, a double, b double, c double").repartition(3)
+    m = mlp.matrix(d, ["a", "b", "c"])
+    slow, fast = mlp.fit_many(m, [mlp.Spec(hidden=4, epochs=3, batch=40, rate=v) for v in (0.001, 0.1)])
+    assert not np.allclose(slow.weights, fast.weights)
+    far = mlp._train_partitioned(m, mlp.Spec(hidden=4, epochs=3, batch=40, rate=0.1))
+    assert np.allclose(far, fast.weights, atol=1e-9)
+    good = mlp.fit_many(m, [mlp.Spec(hidden=8, epochs=200, rate=0.05)])[0]
+    assert ((good.scores(x) >= 0.5) == (x[:, 0] + x[:, 1] > 0)).mean() > 0.95
+
+
+def test_gradient_is_the_derivative():
+    from segscore.operators import mlp
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(size=(20, 3)), (rng.random(20) < 0.4).astype(float)
+    w = mlp.start(3, mlp.Spec(hidden=5)) + 0.01
+    g, loss = mlp.gradient(w, x, y, 5)
+    for i in range(len(w)):
+        e = np.zeros_like(w)
+        e[i] = 1e-6
+        assert abs((mlp.gradient(w + e, x, y, 5)[1] - mlp.gradient(w - e, x, y, 5)[1]) / 2e-6 - g[i]) < 1e-4
+
+
+def test_stack_plans_agree(spark):
+    from segscore.operators import stacking
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(80, 2))
+    rows = [(i, int(x[i, 0] + 0.3 * rng.normal() > 0), *map(float, x[i]), i % 5) for i in range(80)]
+    d = _df(spark, rows, "id long, label int, a double, b double, fold int")
+    c = {"rf_rounds": 2, "rf_depth": 2, "mlp_hidden": 3, "mlp_epochs": 2, "gbt_rounds": 2, "gbt_depth": 1}
+    near = stacking.fit(d, ["a", "b"], c, 1.0)
+    z = stacking.with_one(x)
+    w = stacking.newton(lambda v: stacking.newton_sums(z, (x[:, 0] > 0).astype(float), v), 2)
+    t = _df(spark, [(int(v[0] > 0), *map(float, v)) for v in x], "label int, a double, b double")
+    assert np.allclose(stacking.fit_logistic(t, ["a", "b"]), w, atol=1e-6)
+    from segscore.operators import mlp
+    m = mlp.matrix(d, ["a", "b"], fold="fold")
+    folds = [near] * 5
+    got = {r["key"]: r["b1"] for r in stacking._out_of_fold(m, folds).collect()}
+    assert np.allclose([got[i] for i in range(80)], near.net.scores(x))
