@@ -37,11 +37,11 @@ from segscore.llm.common import Scratch, texts
 from segscore.llm.langid import held_out
 
 #: Bytes of text in a chunk, for which there is one shard, and one owner of words.
-CHUNK_BYTES = 16 << 20
-SHARD_BYTES = 16 << 20
+CHUNK_BYTES = 10 << 20
+SHARD_BYTES = 8 << 20
 OWNER_BYTES = 64 << 20
 #: Trigrams of a shard beyond which it is split (counted once a chunk).
-SHARD_MOST = 4_000_000
+SHARD_MOST = 3_000_000
 #: Customers of one dish that sit in one wing of a restaurant, and customers seated at once.
 WING = 1024
 AT_ONCE = 1 << 21
@@ -259,12 +259,8 @@ def trigrams(seq: np.ndarray, lengths: np.ndarray, shards: int) -> tuple[np.ndar
     """The distinct (word before last, last word, word) of texts in the order
     of (shard of the last word, last word, word before, word); where each shard
     begins; and of every token its place among them."""
-    words, small = np.unique(np.r_[seq, 0], return_inverse=True)
+    words, small = renumbered(np.r_[seq, 0], shards)
     shard = spread(words, shards)
-    order = np.lexsort((words, shard))
-    rank = np.empty_like(order)
-    rank[order] = np.arange(len(order))
-    words, shard, small = words[order], shard[order], rank[small]
     start, small, v = small[-1], small[:-1], len(words)
     first = np.r_[0, np.cumsum(lengths)[:-1]]
     last = np.r_[start, small[:-1]]
@@ -325,25 +321,62 @@ def split_parts(blobs: DataFrame, wings: dict[int, int]) -> DataFrame:
 
 
 # -------------------------------------------------------------------- shard
+#: Word numbers below this are looked up in a table; the rarer words beyond it are sorted.
+COMMON = 1 << 22
+
+
+def renumbered(x: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers of ``x`` in the order of (shard, number), and ``x``
+    as places among them. That is the order of ``trigrams``."""
+    rare = np.flatnonzero(x >= COMMON)
+    far, at = np.unique(x[rare], return_inverse=True)
+    seen = np.zeros(int(min(COMMON, x.max(initial=0) + 1)), bool)
+    small = x if not len(rare) else np.where(x < COMMON, x, 0)
+    seen[small] = True
+    if len(rare) and not (x == 0).any():
+        seen[0] = False
+    near = np.flatnonzero(seen)
+    key = np.concatenate([near, far])
+    order = np.lexsort((key, spread(key, shards)))
+    rank = np.empty(len(key), np.int64)
+    rank[order] = np.arange(len(key))
+    table = np.zeros(len(seen), np.int64)
+    table[near] = rank[:len(near)]
+    out = table[small]
+    out[rare] = rank[len(near):][at]
+    return key[order], out
+
+
+def merged(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values and places, for arrays made of few ascending runs."""
+    order = np.argsort(x, kind="stable")
+    y = x[order]
+    first = np.r_[True, y[1:] != y[:-1]] if len(y) else np.zeros(0, bool)
+    at = np.empty(len(x), np.int64)
+    at[order] = np.cumsum(first) - 1
+    return y[first], at
+
+
 class Shard:
     """The contexts of a shard (or of one wing of it): trigrams, the bigrams
     above them, and the seats of both levels."""
 
-    def __init__(self, blobs: list[bytes], setting: Setting, seed: tuple):
+    def __init__(self, blobs: list[bytes], setting: Setting, seed: tuple, shards: int):
         parts = [part_trigrams(b) for b in blobs]
         self.spans = [(p[0], p[1], len(p[3])) for p in parts]
         three, count = np.concatenate([p[2] for p in parts], axis=1), np.concatenate([p[3] for p in parts])
         del parts
-        self.key, three = np.unique(three, return_inverse=True)
-        three = three.reshape(3, -1)
+        self.key, flat = renumbered(three.ravel(), shards)
+        three = flat.reshape(3, -1)
         v = len(self.key)
-        pair, at = np.unique(three[1] * v + three[0], return_inverse=True)
-        tri, self.at = np.unique(at * v + three[2], return_inverse=True)
+        pair, at = merged(three[1] * v + three[0])
+        tri, self.at = merged(at * v + three[2])
         del at, three
         self.pair, self.word = tri // v, tri % v
         self.pair_key = _mixed(self.key[pair % v], self.key[pair // v])
         self.c3 = np.bincount(self.at, count).astype(np.int64)
-        last, self.last = np.unique((pair // v)[self.pair], return_inverse=True)
+        last, of_pair = merged(pair // v)
+        self.last = of_pair[self.pair]
         self.last_key = self.key[last]
         two, self.up = np.unique(self.last * v + self.word, return_inverse=True)
         self.two_last, self.two_word = two // v, two % v
@@ -531,7 +564,7 @@ def score_corpus(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     parts = parts.withColumn("address", F.shiftleft("shard", _WING) + F.col("wing"))
 
     def shard_of(key, table, turn: int) -> Shard:
-        return Shard(col(table, "data"), setting, (turn, key[0].as_py()))
+        return Shard(col(table, "data"), setting, (turn, key[0].as_py()), shards)
 
     seen = scratch.write(parts.groupBy("address").applyInArrow(
         lambda key, t: rows_of(first_round(shard_of(key, t, 1), key[0].as_py(), owners, wings.get(key[0].as_py() >> _WING, 1))), _ROWS), "restaurants")

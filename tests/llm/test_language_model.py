@@ -57,7 +57,7 @@ def one_shard(documents, held=None, setting=Setting()):
     words = sorted({w for t in documents for w in t.split()} | {b""})
     key = {xxhash.xxh64_intdigest(w): w for w in words}
     number = dict(zip((key[k] for k in unpacked(ask[4])[1].tolist()), unpacked(answer[4])[1].tolist()))
-    return Shard([r[4] for r in rows[1:]], setting, (1, 0)), number
+    return Shard([r[4] for r in rows[1:]], setting, (1, 0), 1), number
 
 
 def test_predictive_probabilities_add_up():
@@ -67,7 +67,7 @@ def test_predictive_probabilities_add_up():
     # held-out texts put every word behind one context and behind one that was never seen
     probes = [b"w3 w4 " + w for w in vocabulary] + [b"w3 w4", b"w3 w4 new"] + [b"x y " + w for w in vocabulary] + [b"x y", b"x y new"]
     m, number = one_shard(documents + probes, [False] * 20 + [True] * len(probes))
-    at = {w: int(np.searchsorted(m.key, n)) for w, n in number.items()}
+    at = {w: int(np.flatnonzero(m.key == n)[0]) for w, n in number.items()}
     root = m.local_root()
     learnt = [at[w] for w in [*vocabulary, b""]]
     assert abs(root[learnt].sum() + root[at[b"new"]] - 1) < 1e-12  # all words that were not learnt are one
@@ -88,6 +88,18 @@ def test_packing_round_trip():
         assert back.dtype == x.dtype and back.tolist() == x.tolist()
 
 
+@pytest.mark.parametrize("common", [1 << 22, 5, 1])
+def test_renumbering_keeps_the_numbers(monkeypatch, common):
+    monkeypatch.setattr(pitman_yor, "COMMON", common)
+    r = np.random.default_rng(3)
+    for x in (r.integers(0, 20, 100), r.integers(1, 20, 100), np.array([0]), np.array([7, 7]), r.integers(0, 1 << 40, 50)):
+        if common > 100 and x.max() < common or common < 100:
+            key, at = pitman_yor.renumbered(x, 4)
+            assert key[at].tolist() == x.tolist() and len(set(key.tolist())) == len(key) == len(set(x.tolist()))
+            order = list(zip(pitman_yor.spread(key, 4).tolist(), key.tolist()))
+            assert order == sorted(order)
+
+
 def test_trigrams_give_every_token_its_place():
     r = np.random.default_rng(8)
     lengths = r.integers(1, 9, 40)
