@@ -40,11 +40,11 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in own else chr(256 + rest.index(b)) for b in range(256)}
 
 
-#: Chunks of printable ASCII and Latin letters need no Unicode normalisation and fold one letter to one.
-_PLAIN = re.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
-#: The vocabulary's units, for such chunks in lower case.
-_UNIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+|[0-9]|[!-/:-`{-~]+")
-_MARKS = frozenset(b".,;:!?")
+#: What is not printable ASCII or a Latin letter, up to the end of its line: such chunks may need
+#: Unicode normalisation, or fold one letter to several.
+_ODD = re.compile(r"(?:[^\n!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]|<\|)[^\n]*")
+#: The vocabulary's units in other chunks, in lower case, and the ends of chunks.
+_UNITS = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+|[0-9]|[!-/:-`{-~]+")
 #: Units that go to the vocabulary's model in one string.
 TOGETHER = 2000
 
@@ -69,49 +69,53 @@ class Tokens:
         vocabulary = self.model.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.letters = {b: c for b, c in byte_letters().items() if c != chr(b)}
-        self.units: dict[bytes, bytes] = {}
+        self.letters = {b: c for b, c in byte_letters().items() if c != chr(b) and b != 0x20}  # blanks part the units
+        self.units: dict[str, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
     def learn(self, chunks: set[bytes]) -> None:
-        """Makes every chunk known."""
+        """Makes every chunk known; all new ones are taken apart at once, a line each."""
         known, older, units = self.known, self.older, self.units
-        whole: list[tuple[bytes, bytes]] = []  # chunks that are one unit
-        parts: list[tuple[bytes, list[bytes]]] = []
-        for c in chunks:
-            ids = older.get(c)
-            if ids is not None:
-                known[c] = ids
-            elif c.isalpha():  # ASCII letters
-                whole.append((c, c.lower()))
-            elif c[-1] in _MARKS and c[:-1].isalpha():
-                parts.append((c, [c[:-1].lower(), c[-1:]]))
-            else:
-                text = c.decode("utf-8", "replace")
-                if _PLAIN.fullmatch(text) and "<|" not in text:
-                    text = text.lower()
-                    if text.isalpha():
-                        whole.append((c, text.encode()))
-                    else:
-                        parts.append((c, [u.encode() for u in _UNIT.findall(text)]))
-                else:
-                    known[c] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        needed = {u for _, u in whole}
-        for _, us in parts:
-            needed.update(us)
+        again = older.keys() & chunks
+        known.update(zip(again, map(older.__getitem__, again)))
+        new = list(chunks - again)
+        if not new:
+            return
+        text = b"\n".join(new).decode("utf-8", "replace")
+        odd = [m.start() for m in _ODD.finditer(text)]
+        if odd:
+            lines = text.split("\n")
+            first = np.cumsum([0, *map(len, lines)]) + np.arange(len(lines) + 1)
+            apart = set((np.searchsorted(first, odd, "right") - 1).tolist())
+            for i in apart:
+                known[new[i]] = np.array(self.tokenizer.encode(lines[i], add_special_tokens=False).ids, "<u4").tobytes()
+            new = [c for i, c in enumerate(new) if i not in apart]
+            if not new:
+                return
+            text = "\n".join([x for i, x in enumerate(lines) if i not in apart])
+        parts = _UNITS.findall(text.lower())
+        needed = set(parts)
+        needed.discard("\n")
         if len(units) + len(needed) > REMEMBERED:
-            self.units = units = {u: units[u] for u in needed if u in units}
-        self.encode([u for u in needed if u not in units], units)
-        for c, u in whole:
-            known[c] = units[u]
-        for c, us in parts:
-            known[c] = b"".join([units[u] for u in us])
-
-    def encode(self, new: list[bytes], units: dict[bytes, bytes]) -> None:
+            self.units = units = {u: units[u] for u in units.keys() & needed}
+        self.encode(list(needed - units.keys()), units)
+        ids = list(map(units.get, parts))  # None ends a chunk
+        ends = [i for i, x in enumerate(ids) if x is None]
+        ends.append(len(ids))
+        at = 0
+        for c, end in zip(new, ends):
+            known[c] = ids[at] if end - at == 1 else b"".join(ids[at:end])
+            at = end + 1
+
+    def encode(self, new: list[str], units: dict[str, bytes]) -> None:
         """The ids of lower-case units, straight from the vocabulary's model."""
-        for i in range(0, len(new), TOGETHER):
-            some = new[i:i + TOGETHER]
-            written = " ".join([u.decode() if u.isascii() else u.decode("latin-1").translate(self.letters) for u in some])
+        plain = [u for u in new if u.isascii()]
+        new = plain + [u for u in new if not u.isascii()]
+        for i in [*range(0, len(plain), TOGETHER), *range(len(plain), len(new), TOGETHER)]:
+            some = new[i:min(i + TOGETHER, len(plain) if i < len(plain) else len(new))]
+            written = " ".join(some)
+            if i >= len(plain):
+                written = written.encode().decode("latin-1").translate(self.letters)
             ids = np.array(self.model.encode_batch_fast([written], add_special_tokens=False)[0].ids, "<u4")
             end = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
             if len(end) != len(some):

@@ -1,8 +1,8 @@
 """Secret scan with a trigram inverted index [native].
 
-Each rule's regex gives a Boolean trigram query: an OR over the literal
-strings that a match must contain one of, each the AND of its trigrams (of the
-lower-cased text if letters may have either case). The index is inverted over
+Each rule's regex gives a Boolean trigram query, read off its parse tree: an OR
+over the strings that a match must contain one of, each the AND of its trigrams
+(of the lower-cased text if letters may have either case). The index is inverted over
 the rules' trigrams: postings ``(trigram, document)``; intersecting them is a
 count of a literal's trigrams by (document, literal). Candidates are verified
 with the regex. A rule without mandatory trigrams (``hex``) scans every text.
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from re import _parser as sre  # parse trees of patterns
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,15 +25,12 @@ from pyspark.sql import functions as F
 @dataclass(frozen=True)
 class Rule:
     """``pattern`` finds leftmost non-overlapping matches; one counts if the
-    text of ``group`` has ``least`` or more characters. ``literals``: a match
-    contains one of them, as written or, if ``either_case``, in any case."""
+    text of ``group`` has ``least`` or more characters."""
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 1
-    literals: tuple[str, ...] = ()
-    either_case: bool = False
 
 
 def any_case(words: str) -> str:
@@ -42,8 +40,8 @@ def any_case(words: str) -> str:
 # fixed values: the three rules in their order
 RULES = (
     Rule("assign", "(" + any_case("password|passwd|secret|token|api_?key") + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
-         group=2, least=6, literals=("password", "passwd", "secret", "token", "api_key", "apikey"), either_case=True),
-    Rule("access", "AKIA[A-Z0-9]+", least=20, literals=("AKIA",)),
+         group=2, least=6),
+    Rule("access", "AKIA[A-Z0-9]+", least=20),
     # maximal runs of 24 and more are the [0-9a-f]+ matches that are long enough
     Rule("hex", "[0-9a-f]{24,}", least=24),
 )
@@ -53,6 +51,102 @@ def trigrams(literal: str) -> list[str]:
     return sorted({literal[i:i + 3] for i in range(len(literal) - 2)})
 
 
+#: Texts that one part of a pattern may stand for before it is taken as unknown.
+ALTERNATIVES = 64
+
+
+def strings_of(node: tuple, fold: bool) -> set[str] | None:
+    """Every text that a node of a parsed pattern matches, if they are few."""
+    op, arg = node
+    if op is sre.LITERAL:
+        return {chr(arg)} if not fold else {chr(arg).lower()} if arg < 128 else None
+    if op is sre.IN:
+        found: set[str] = set()
+        for kind, x in arg:
+            if kind is sre.LITERAL:
+                found.add(chr(x))
+            elif kind is sre.RANGE and x[1] - x[0] < ALTERNATIVES:
+                found.update(map(chr, range(x[0], x[1] + 1)))
+            else:
+                return None
+        if fold:
+            if not all(c.isascii() for c in found):
+                return None
+            found = {c.lower() for c in found}
+        return found if len(found) <= ALTERNATIVES else None
+    if op is sre.SUBPATTERN:
+        return sequence(list(arg[3]), fold)
+    if op is sre.BRANCH:
+        parts = [sequence(list(p), fold) for p in arg[1]]
+        return None if None in parts else set().union(*parts)
+    if op in (sre.MAX_REPEAT, sre.MIN_REPEAT):
+        least, most, body = arg
+        one = sequence(list(body), fold)
+        if one is None or most > 4:
+            return None
+        out: set[str] = set()
+        for n in range(least, most + 1):
+            out |= joined([one] * n) or set()
+            if len(out) > ALTERNATIVES:
+                return None
+        return out
+    if op is sre.AT:
+        return {""}
+    return None
+
+
+def joined(parts: list[set[str]]) -> set[str] | None:
+    out = {""}
+    for p in parts:
+        if len(out) * len(p) > ALTERNATIVES:
+            return None
+        out = {x + y for x in out for y in p}
+    return out
+
+
+def sequence(nodes: list[tuple], fold: bool) -> set[str] | None:
+    parts = [strings_of(n, fold) for n in nodes]
+    return None if None in parts else joined(parts)
+
+
+def stretches(nodes: list[tuple], fold: bool) -> list[set[str]]:
+    """The stretches of a sequence whose texts are known, each a set of
+    alternatives one of which every match holds. What repeats at least once
+    counts as one occurrence, what may be missing as nothing known."""
+    out: list[set[str]] = []
+    run: list[set[str]] = []
+
+    def flush() -> None:
+        nonlocal run
+        if run:
+            out.append(joined(run) or {""})
+        run = []
+
+    for op, arg in nodes:
+        known = strings_of((op, arg), fold)
+        if known is not None and joined([*run, known]) is not None:
+            run.append(known)
+            continue
+        flush()
+        if known is not None:
+            run = [known]
+        elif op is sre.SUBPATTERN:
+            out += stretches(list(arg[3]), fold)
+        elif op in (sre.MAX_REPEAT, sre.MIN_REPEAT) and arg[0] > 0:
+            out += stretches(list(arg[2]), fold)
+        elif op is sre.BRANCH:  # one stretch of each alternative, if all have one
+            best = [max(stretches(list(p), fold), key=worth, default={""}) for p in arg[1]]
+            if len(set().union(*best)) <= ALTERNATIVES:
+                out.append(set().union(*best))
+    flush()
+    return out
+
+
+def worth(alternatives: set[str]) -> int:
+    """Trigrams that the poorest alternative has: 0 says that nothing is mandatory."""
+    return min((len(trigrams(x)) for x in alternatives), default=0)
+
+
 @dataclass
 class Query:
     """Boolean trigram queries of the rules: ``branches`` (rule, either_case, trigrams)."""
@@ -61,14 +155,31 @@ class Query:
     full: list[str] = field(default_factory=list)  # rules that scan every text
 
 
+def mandatory(pattern: str) -> tuple[bool, list[list[str]]]:
+    """(whether case is folded, an OR of ANDs of trigrams) that every match of
+    ``pattern`` satisfies, from its parse tree: alternatives are an OR, a
+    sequence is an AND, and what may be missing asks for nothing. Of a
+    pattern's stretches the one with most trigrams is asked for, in lower case
+    if that leaves fewer alternatives. An empty list says that nothing is mandatory."""
+    nodes = list(sre.parse(pattern))
+    found = []
+    for fold in (True,) if re.search(r"\(\?[a-zA-Z]*i", pattern) else (False, True):
+        best = max(stretches(nodes, fold), key=worth, default={""})
+        found.append((worth(best), fold, sorted(best)))
+    n, fold, best = max(found, key=lambda x: (x[0] > 0, -len(x[2]), x[0], not x[1]))
+    grams = [trigrams(x) for x in best] if n else []
+    least = [g for g in grams if not any(set(o) < set(g) for o in grams)]  # what asks for more than another alternative adds nothing
+    return fold, sorted(map(list, set(map(tuple, least))))
+
+
 def boolean_query(rules: tuple[Rule, ...]) -> Query:
     q = Query()
     for r in rules:
-        grams = [trigrams(x.lower() if r.either_case else x) for x in r.literals]
-        if not grams or not all(grams):  # some match need not contain a trigram
+        fold, branches = mandatory(r.pattern)
+        if not branches:  # some match need not contain a trigram
             q.full.append(r.kind)
         else:
-            q.branches += [(r.kind, r.either_case, g) for g in grams]
+            q.branches += [(r.kind, fold, g) for g in branches]
     return q
 
 

@@ -12,17 +12,21 @@ resolved with exact integer products.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of a block and queries of a block: the unit of one task's memory.
+from segscore.llm.blocks import as_decimal, as_long, ask, largest, matrix, products, whole
+from segscore.llm.common import cut_lineage
+
+#: Rows of a block: the unit of one task's memory.
 ROW_BLOCK = 16384
-QUERY_BLOCK = 128
 #: Bits kept of each attribute in the index.
 SLICE_BITS = 8
-#: Largest integer component; 64-bit scores stay exact for up to 64 such attributes.
+#: Rows with a larger component after scaling keep to blocks of their own, where every row is resolved exactly.
 LIMIT = 1 << 28
 _ALL = ~np.uint64(0)
 
@@ -106,13 +110,15 @@ class Block:
     """A block's index: ids, exact integers, and slices of the quantised integers."""
 
     def __init__(self, ids: np.ndarray, values: np.ndarray, bits: int = SLICE_BITS):
-        self.ids, self.values = ids, values
+        self.ids, self.values, self.most = ids, values, largest(values)
+        if self.most > LIMIT:  # no slices: all rows are candidates
+            values = np.zeros((len(ids), 0), np.int64)
         self.low = values.min(axis=0)
-        width = max(1, int((values.max(axis=0) - self.low).max()).bit_length())
+        width = max(1, int((values.max(axis=0) - self.low).max(initial=0)).bit_length())
         self.shift = max(0, width - bits)
         self.bits = min(bits, width)
         self.slices = slices_of((values - self.low) >> self.shift, self.bits)
-        lanes = self.slices.shape[2]
+        lanes = -(-len(ids) // 64)
         self.valid = np.zeros(lanes * 64, np.uint8)
         self.valid[:len(ids)] = 1
         self.valid = np.packbits(self.valid, bitorder="little").view("<u8")
@@ -125,8 +131,8 @@ class Block:
         if len(mine):
             valid = valid.copy()
             np.bitwise_and.at(valid, mine // 64, ~(np.uint64(1) << (mine % 64).astype(np.uint64)))
-        weight = np.abs(query)
-        positions: list[list[np.ndarray]] = [[] for _ in range(self.bits + int(weight.max(initial=0)).bit_length())]
+        weight = np.abs(query[:len(self.slices)])
+        positions: list[list[np.ndarray]] = [[] for _ in range(self.bits + largest(weight).bit_length())]
         flipped = np.where(query < 0, _ALL, np.uint64(0)).astype("<u8")
         for j in np.flatnonzero(weight):
             planes = self.slices[j] ^ flipped[j]  # a negative weight counts the complement: a constant apart
@@ -142,25 +148,29 @@ class Block:
         else:
             chosen = valid
         rows = np.flatnonzero(np.unpackbits(chosen.view(np.uint8), bitorder="little"))
-        score = self.values[rows] @ query
-        best = np.lexsort((self.ids[rows], -score))[:k]
-        return self.ids[rows[best]], score[best]
+        score = products(self.values[rows], query, self.most)
+        best = sorted(zip((-score).tolist(), self.ids[rows].tolist()))[:k]
+        return np.array([i for _, i in best], np.int64), np.array([-s for s, _ in best], score.dtype)
 
 
 # --------------------------------------------------------------- operator
 def quantised(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """``(id, v)`` with v = floor(scale * x) as longs; rows whose vector is
-    null, empty or holds null or non-finite components go, and rows that
-    repeat entirely count once."""
+    """``(id, v, x)`` with v = floor(scale * x) as longs, or x itself where a
+    component is beyond ``LIMIT``; rows whose vector is null, empty or holds
+    null or non-finite components go, and rows that repeat entirely count once."""
     x = F.col("x").cast("array<double>")
     fine = lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < F.lit(float("inf")))
-    ok = df.select(F.col(id_col).alias("id"), F.col(vector_col).alias("x")).withColumn("x", x)
+    ok = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("x")).withColumn("x", x)
     ok = ok.filter(F.col("id").isNotNull() & F.col("x").isNotNull() & (F.size("x") > 0) & F.forall("x", fine))
-    whole = F.transform("x", lambda e: F.floor(e * scale))
-    ok = ok.select(F.col("id").cast("long").alias("id"), F.coalesce(whole, F.array()).cast("array<long>").alias("v"))
-    big = F.exists("v", lambda e: F.abs(e) > LIMIT)
-    ok = ok.withColumn("v", F.when(big, F.raise_error(F.lit("component beyond 2**28 after scaling"))).otherwise(F.col("v")))
-    return ok.distinct()
+    large = F.exists("x", lambda e: F.abs(e) * scale > LIMIT)
+    v = F.when(~large, F.transform("x", lambda e: F.floor(e * scale)).cast("array<long>"))
+    return ok.select("id", v.alias("v"), F.when(large, F.col("x")).alias("x")).distinct()
+
+
+def integers(table: pa.Table, dim: int, scale: int) -> np.ndarray:
+    if table.column("v").null_count:
+        return whole(matrix(table, "x", dim), scale)
+    return matrix(table, "v", dim).astype(np.int64)
 
 
 def top_k(
@@ -172,48 +182,38 @@ def top_k(
 
     Null ids and vectors that are null, empty, or hold null or non-finite
     components take no part; rows that repeat entirely count once; of one id
-    with several vectors each counts. A component beyond 2**28 after scaling
-    is an error. An empty table gives no rows."""
-    v = quantised(df, id_col, vector_col, scale).withColumn("dim", F.size("v"))
-    n = v.count()
+    with several vectors each counts. Scores are exact at any size of component
+    and dimension; one beyond 64 bits comes back as the largest long, beyond 38
+    digits such scores tie. An empty table gives no rows."""
+    v = quantised(df, id_col, vector_col, scale)
+    v = v.withColumn("dim", F.when(F.col("v").isNull(), F.size("x")).otherwise(F.size("v")))
+    n, n_large = v.agg(F.count(F.lit(1)), F.count_if(F.col("v").isNull())).first()
     blocks = max(1, -(-n // ROW_BLOCK))
-    queries = v.filter(F.col("id") % every == 0)
-    query_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    rows = v.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int"))
+    key = F.xxhash64("id", "v", "x")
+    place = F.pmod(key, F.lit(blocks)) + F.when(F.col("v").isNull(), F.lit(blocks)).otherwise(F.lit(0))
+    rows = v.withColumn("block", place.cast("int"))
+    blocks *= 2 if n_large else 1
 
     def build(key, table):
-        ids = table.column("id").to_numpy()
-        values = table.column("v").combine_chunks().flatten().to_numpy().astype("<i8")
-        return pa.table({"dim": [key[0].as_py()], "block": [key[1].as_py()],
-                         "ids": [ids.astype("<i8").tobytes()], "vals": [values.tobytes()]},
-                        schema=pa.schema([("dim", pa.int32()), ("block", pa.int32()), ("ids", pa.binary()), ("vals", pa.binary())]))
-
-    # one row a block; each (block, query block) pair is one small group
-    index = rows.groupBy("dim", "block").applyInArrow(build, "dim int, block int, ids binary, vals binary")
-    index = index.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    asked = queries.withColumn("qb", F.pmod(F.xxhash64("id", "v", F.lit(3)), F.lit(query_blocks)).cast("int"))
-    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    schema = "query_id long, q long, vec_id long, score long"
-
-    def search(left, right):
-        out = {"query_id": [], "q": [], "vec_id": [], "score": []}
-        if left.num_rows and right.num_rows:
-            d = left.column("dim")[0].as_py()
-            ids = np.frombuffer(left.column("ids")[0].as_py(), "<i8")
-            block = Block(ids, np.frombuffer(left.column("vals")[0].as_py(), "<i8").reshape(-1, d))
-            qv = right.column("v").combine_chunks().flatten().to_numpy().reshape(-1, d)
-            for own, key, q in zip(right.column("id").to_pylist(), right.column("q").to_pylist(), qv):
-                got, score = block.top(q, own, k)
-                out["query_id"] += [own] * len(got)
-                out["q"] += [key] * len(got)
-                out["vec_id"] += got.tolist()
-                out["score"] += score.tolist()
-        return pa.table(out, schema=pa.schema([(c, pa.int64()) for c in out]))
-
-    asked = asked.withColumn("q", F.xxhash64("v"))
-    found = (index.groupBy("dim", "block", "qb")
-             .cogroup(asked.select("dim", "block", "qb", "id", "v", "q").groupBy("dim", "block", "qb"))
-             .applyInArrow(search, schema))
+        dim = key[0].as_py()
+        made = Block(table.column("id").to_numpy(), integers(table, dim, scale))
+        return pa.table({"dim": pa.array([dim], pa.int32()), "block": pa.array([key[1].as_py()], pa.int32()),
+                         "data": pa.array([pickle.dumps(made, 5)], pa.binary())})
+
+    # slices are made once a block and stored; packs of queries are sent to them
+    index = cut_lineage(rows.groupBy("dim", "block").applyInArrow(build, "dim int, block int, data binary"))
+    asks = v.filter(F.col("id") % every == 0).select("dim", F.struct(key.alias("key"), "id", "v", "x").alias("ask"))
+    schema = pa.schema([("query_id", pa.int64()), ("q", pa.int64()), ("vec_id", pa.int64()), ("score", pa.decimal128(38, 0))])
+
+    def search(block: Block, asks: list[dict]) -> pa.RecordBatch:
+        out = []
+        for a in asks:
+            q = whole(np.array(a["x"], float), scale) if a["v"] is None else np.array(a["v"], np.int64)
+            got, score = block.top(q, a["id"], k)
+            out += [(a["id"], a["key"], i, as_decimal(s)) for i, s in zip(got.tolist(), score.tolist())]
+        return pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in enumerate(schema.types)], schema=schema)
+
+    found = ask(index, cut_lineage(asks), blocks, search, "query_id long, q long, vec_id long, score decimal(38,0)")
     best = Window.partitionBy("query_id", "q").orderBy(F.col("score").desc(), F.col("vec_id"))
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            .select("query_id", "rank", "vec_id", as_long("score")))

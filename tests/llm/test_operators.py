@@ -5,11 +5,11 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from segscore.llm import langid, packing, quality, topk, toxicity
+from segscore.llm import blocks, langid, packing, quality, topk, toxicity
 from segscore.llm.langid import language_id
 from segscore.llm.mixing import mix_sources, repeated, water_fill
 from segscore.llm.packing import pack, plan, slots
-from segscore.llm.secret_scan import RULES, boolean_query, scan_secrets, trigrams
+from segscore.llm.secret_scan import RULES, Rule, boolean_query, mandatory, scan_secrets, trigrams
 from segscore.llm.topk import top_k
 
 SF = "/root/testdata/sf0.001"
@@ -80,6 +80,55 @@ def test_boolean_queries():
     assert trigrams("token") == ["ken", "oke", "tok"]
 
 
+def test_queries_come_from_the_pattern():
+    fold, branches = mandatory(RULES[0].pattern)
+    assert fold and sorted(branches) == sorted(trigrams(x) for x in ("password", "passwd", "secret", "token", "api_key", "apikey"))
+    for p in ("a?b?c?", "[a-z]{3}", "(a|b|)cd", "x*", "(abc|d)e"):
+        assert mandatory(p) == (mandatory(p)[0], [])
+    assert mandatory("x(abc|de)y") == (False, [["abc", "bcy", "xab"], ["dey", "xde"]])
+
+
+def test_no_match_escapes_its_query():
+    import random
+    r = random.Random(7)
+
+    def pattern(depth=0):
+        kind = r.randrange(7 if depth < 3 else 2)
+        if kind < 2:
+            return "".join(r.choice("abcK_") for _ in range(r.randrange(1, 6)))
+        if kind == 2:
+            return "[" + "".join(sorted(set(r.choice("abcABC1-_"[:6]) for _ in range(2)))) + "]"
+        if kind == 3:
+            return f"({pattern(depth + 1)}|{pattern(depth + 1)})"
+        if kind == 4:
+            return f"(?:{pattern(depth + 1)}){r.choice(['?', '*', '+', '{2}', '{0,2}'])}"
+        return pattern(depth + 1) + pattern(depth + 1)
+
+    hits = 0
+    for _ in range(900):
+        p = pattern()
+        fold, branches = mandatory(p)
+        for _ in range(30):
+            t = "".join(r.choice("abcK_A") for _ in range(14))
+            m = re.search(p, t)
+            if m and branches:
+                hits += 1
+                text = t.lower() if fold else t
+                assert any(all(g in text for g in b) for b in branches), (p, t)
+    assert hits > 100
+
+
+def test_rules_whose_literals_nobody_wrote(spark):
+    rules = (*RULES, Rule("hub", "gh[pousr]_[A-Za-z0-9]{6}"), Rule("pem", "-----BEGIN (RSA |EC )?PRIVATE KEY-----"))
+    texts = ["x ghp_abc123 gho_zzzzzzz", "-----BEGIN PRIVATE KEY----- -----BEGIN EC PRIVATE KEY-----", "ghx_abc123 BEGIN", "password=abcdef ghs_000000", None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert boolean_query(rules).full == ["hex"]
+    for g in scan_secrets(df, rules=rules).collect():
+        t = texts[g.doc_id] or ""
+        for kind, p in (("hub", rules[3].pattern), ("pem", rules[4].pattern)):
+            assert [(s.start, s.end) for s in g.spans if s.kind == kind] == [m.span() for m in re.finditer(p, t)]
+
+
 # --------------------------------------------------------------- packing
 def test_plan_uses_every_piece_once_and_fills():
     r = np.random.default_rng(3)
@@ -151,7 +200,7 @@ def test_block_search_is_exact(bits):
 
 def test_top_k_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(topk, "ROW_BLOCK", 60)
-    monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
+    monkeypatch.setattr(blocks, "PACK", 4)
     r = np.random.default_rng(8)
     rows = [(i, r.normal(0, 0.3, 8).tolist(), 1) for i in range(200)] + [(300 + i, [0.5] * 8, 1) for i in range(40)]
     rows += [(400, None, 1), (401, [1.0, None] + [0.1] * 6, 1), (402, [float("nan")] * 8, 1), (403, [float("inf")] * 8, 1), (404, [], 1),
@@ -168,6 +217,22 @@ def test_top_k_against_brute_force(spark, monkeypatch):
     assert top_k(df.limit(0)).count() == 0
 
 
+def test_top_k_of_many_large_components(spark):
+    """256 components near 2**28 pass 64 bits; one row of 1e9 or 1e20 does not stop the others."""
+    r = np.random.default_rng(4)
+    rows = [(i, [float(v) for v in r.integers(-(1 << 17), 1 << 18, 256)]) for i in range(40)]
+    rows += [(100, [float(1 << 18)] * 256), (101, [float(1 << 18)] * 256), (102, [1e9] * 256), (103, [1e20] + [0.0] * 255), (104, [-1e9] * 256)]
+    most = (1 << 63) - 1
+    want = []
+    for q, a in rows:
+        if q % 20 == 0:
+            s = sorted((-sum(int(1024 * x) * int(1024 * y) for x, y in zip(a, b)), c) for c, b in rows if c != q)[:5]
+            want += [(q, n + 1, c, max(-most, min(most, -t))) for n, (t, c) in enumerate(s)]
+    assert any(w[3] == most for w in want)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    assert sorted(tuple(g) for g in top_k(df, k=5, every=20).collect()) == sorted(want)
+
+
 # ----------------------------------------------------------- classifiers
 @pytest.fixture(scope="module")
 def tables(spark):

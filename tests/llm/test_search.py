@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from segscore.llm import blocks as blocks_module
 from segscore.llm import lexical
 from segscore.llm import negatives as negatives_module
 from segscore.llm.lexical import ranked_search
@@ -130,9 +131,9 @@ def test_hard_negatives_of_large_components(spark):
 
 def test_products_do_not_overflow():
     v = np.full((1, 256), 1 << 31, np.int64)
-    assert negatives_module.products(v, v[0])[0] == 256 << 62
-    assert negatives_module.products(v // 2**20, v[0] // 2**20).dtype == np.int64
-    assert negatives_module.whole(np.array([[1e308, -0.5]]), 256.0)[0].tolist() == [int(1e308) * 256, -256 * 1 // 2]
+    assert blocks_module.products(v, v[0])[0] == 256 << 62
+    assert blocks_module.products(v // 2**20, v[0] // 2**20).dtype == np.int64
+    assert blocks_module.whole(np.array([[1e308, -0.5]]), 256.0)[0].tolist() == [int(1e308) * 256, -256 * 1 // 2]
 
 
 def test_walk_visits_every_row_once_in_order_of_bounds():
