@@ -89,6 +89,7 @@ def seat_some(c: np.ndarray, a: np.ndarray, d: float, rng: np.random.Generator,
                 k = label[base + pick]
                 n = size[base + k]
                 ok = rng.random(len(stay)) * n < n - d
+                ok |= t[stay] == 1  # the only table: nothing to weigh
                 label[base[ok] + s] = k[ok]
                 size[base[ok] + k[ok]] += 1
                 stay = stay[~ok]
