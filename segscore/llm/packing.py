@@ -45,6 +45,13 @@ def byte_letters() -> dict[int, str]:
 _ODD = re.compile(r"(?:[^\n!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]|<\|)[^\n]*")
 #: The vocabulary's units in other chunks, in lower case, and the ends of chunks.
 _UNITS = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+|[0-9]|[!-/:-`{-~]+")
+#: Bytes of text taken at once, and of a chunk that its hash tells apart.
+WINDOW = 1 << 20
+LONGEST = 64
+_BLANKS = re.compile(rb"[\x20\x09-\x0d]")
+_BLANK = np.isin(np.arange(256), np.frombuffer(b" \t\n\x0b\x0c\r", np.uint8))
+_LETTER = np.where(_BLANK, np.uint64(0), np.random.default_rng(8).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1))
+_PLACE = np.random.default_rng(9).integers(1, 1 << 63, LONGEST + 1, np.uint64) * np.uint64(2) + np.uint64(1)
 #: Units that go to the vocabulary's model in one string.
 TOGETHER = 2000
 
@@ -71,6 +78,7 @@ class Tokens:
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.letters = {b: c for b, c in byte_letters().items() if c != chr(b) and b != 0x20}  # blanks part the units
         self.units: dict[str, bytes] = {}
+        self.older_units: dict[str, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
     def learn(self, chunks: set[bytes]) -> None:
@@ -97,8 +105,12 @@ class Tokens:
         needed = set(parts)
         needed.discard("\n")
         if len(units) + len(needed) > REMEMBERED:
-            self.units = units = {u: units[u] for u in units.keys() & needed}
-        self.encode(list(needed - units.keys()), units)
+            self.older_units, self.units = units, {}
+            units = self.units
+        needed -= units.keys()
+        again = needed & self.older_units.keys()
+        units.update(zip(again, map(self.older_units.__getitem__, again)))
+        self.encode(list(needed - again), units)
         ids = list(map(units.get, parts))  # None ends a chunk
         ends = [i for i, x in enumerate(ids) if x is None]
         ends.append(len(ids))
@@ -124,15 +136,60 @@ class Tokens:
             units.update(zip(some, [raw[x:y] for x, y in zip([0, *end], end)]))
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text."""
-        split = [t.split() for t in texts]
-        chunks = set().union(*split)
-        new = chunks.difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:  # a new generation begins
-            self.older, self.known, new = self.known, {}, chunks
+        """The ids of each text. Long texts are taken in windows that end at white space."""
+        if sum(map(len, texts)) > 2 * WINDOW:
+            return [b"".join(self.window(w)[0].tobytes() for w in windows(t)) for t in texts]
+        tokens, first, at = self.window(b" ".join(texts))
+        edge = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        cut = at[np.searchsorted(first, edge)].tolist()
+        return [tokens[x:y].tobytes() for x, y in zip(cut, cut[1:])]
+
+    def window(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids of ``raw``, where its chunks begin, and each chunk's first id
+        (one more at the end). Chunks are told apart by a 64-bit hash of their
+        bytes and length, those of more than ``LONGEST`` bytes by themselves."""
+        data = np.frombuffer(raw, np.uint8)
+        blank = _BLANK[data]
+        edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+        if len(data) and not blank[0]:
+            edge = np.r_[0, edge]
+        if len(edge) % 2:
+            edge = np.r_[edge, len(data)]
+        first, size = edge[::2], edge[1::2] - edge[::2]
+        if not len(first):
+            return np.zeros(0, "<u4"), first, np.zeros(1, np.int64)
+        inside = np.arange(first[0], len(data)) - np.repeat(first, np.diff(np.r_[first, len(data)]))
+        part = _LETTER[data[first[0]:]]
+        part *= _PLACE[np.minimum(inside, LONGEST)]
+        key = np.add.reduceat(part, first - first[0]) + size.astype(np.uint64) * _PLACE[0]
+        long_ = np.flatnonzero(size > LONGEST)
+        key[long_] = np.arange(len(long_), dtype=np.uint64)
+        _, one, which = np.unique(key, return_index=True, return_inverse=True)
+        chunks = [raw[x:x + n] for x, n in zip(first[one].tolist(), size[one].tolist())]
+        found = list(map(self.known.get, chunks))
+        new = {c for c, x in zip(chunks, found) if x is None}
         if new:
+            if len(self.known) + len(new) > REMEMBERED:  # a new generation begins
+                self.older, self.known = self.known, {}
             self.learn(new)
-        return [b"".join(map(self.known.__getitem__, s)) for s in split]
+            found = [self.known[c] if x is None else x for c, x in zip(chunks, found)]
+        ids = np.frombuffer(b"".join(found), "<u4")
+        many = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        begin = (np.cumsum(many) - many)[which]
+        many = many[which]
+        at = np.r_[0, np.cumsum(many)]
+        return ids[np.repeat(begin - at[:-1], many) + np.arange(at[-1])], first, at
+
+
+def windows(text: bytes, size: int | None = None) -> Iterator[bytes]:
+    """Pieces of about ``size`` bytes that end at white space; a longer chunk stays whole."""
+    size, lo = size or WINDOW, 0
+    while len(text) - lo > size:
+        m = _BLANKS.search(text, lo + size)
+        hi = m.start() if m else len(text)
+        yield text[lo:hi]
+        lo = hi
+    yield text[lo:]
 
 
 @functools.lru_cache(maxsize=2)

@@ -183,6 +183,24 @@ def test_packing_against_the_tokenizer(spark):
     assert pack(df.limit(0), corpus_pipeline.tokenizer_path()).count() == 0
 
 
+def test_ids_of_odd_and_long_texts_equal_the_tokenizer(monkeypatch):
+    import random
+    from tokenizers import Tokenizer
+    path = corpus_pipeline.tokenizer_path()
+    whole = Tokenizer.from_file(path)
+    r = random.Random(3)
+    alphabet = "aZéÉßŉſİıK's't <|>.,;:0٣中ǅΣσ \x85\x1c_-\"`{}~🙂ÀÖ×÷\u00ad\t\n"
+    texts = ["", " ", "a", " a", "a ", "x" * 500 + " " + "x" * 501, "\t\n", "é" * 300 + " ab " * 50, "q" * 5000]
+    texts += ["".join(r.choice(alphabet) for _ in range(r.randrange(1, 200))) for _ in range(300)]
+    want = [np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    raw = [t.encode() for t in texts]
+    assert list(packing.coded(packing.Tokens(path), raw)) == want
+    monkeypatch.setattr(packing, "WINDOW", 50)
+    monkeypatch.setattr(packing, "REMEMBERED", 100)
+    assert list(packing.coded(packing.Tokens(path), raw)) == want
+    assert all(b"".join(packing.windows(t, 7)) == t for t in raw)
+
+
 # ----------------------------------------------------------------- top-k
 @pytest.mark.parametrize("bits", [3, 8])
 def test_block_search_is_exact(bits):
