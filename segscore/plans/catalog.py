@@ -339,7 +339,7 @@ m AS (SELECT k, any_value(f1) AS f1, any_value(f2) AS f2, any_value(r) AS r, var
       FROM fused JOIN zl a ON a.feature = f1 JOIN zl b ON b.feature = f2 AND b.id = a.id GROUP BY k),
 ax AS (SELECT *, cos(0.5 * atan2(2 * c12, c11 - c22)) AS u1, sin(0.5 * atan2(2 * c12, c11 - c22)) AS u2 FROM m),
 w AS (SELECT *, CASE WHEN (CASE WHEN abs(u1) >= abs(u2) THEN u1 ELSE u2 END) < 0 THEN -1.0 ELSE 1.0 END AS sg FROM ax),
-s AS (SELECT 'drop' AS kind, k, f1, f2, r, NULL AS out, NULL::DOUBLE AS w1, NULL::DOUBLE AS w2 FROM dr, kept WHERE list_contains(hit, k)
+s AS (SELECT 'drop' AS kind, k, f1, f2, r, NULL::VARCHAR AS out, NULL::DOUBLE AS w1, NULL::DOUBLE AS w2 FROM dr, kept WHERE list_contains(hit, k)
       UNION ALL SELECT 'pca', k, f1, f2, r, 'PCA_' || f1 || '_' || f2, sg * u1, sg * u2 FROM w)
 SELECT CAST(row_number() OVER (ORDER BY kind, k) - 1 AS INTEGER) AS step, 1 AS round, kind, f1 AS feature_1, f2 AS feature_2,
        {r('r', 'corr')}, out, {r('w1', 'w1')}, {r('w2', 'w2')} FROM s"""
@@ -797,6 +797,16 @@ def q_multiclass_cv_metrics(spark, sf):
     return rounded(training.cv_metrics(e, models))
 
 
+class _OfClasses:
+    """One number of a row's class probabilities."""
+
+    def __init__(self, model, which: str):
+        self.model, self.which = model, which
+
+    def scores(self, x):
+        return getattr(self.model.scores(x), self.which)(axis=1).astype(float)
+
+
 @query("softmax_probabilities", f"""SELECT id, true AS adds_up, true AS likeliest FROM {EMB_SQL}""")
 def q_softmax_probabilities(spark, sf):
     """Every row's class probabilities are positive and add up to 1, and
@@ -805,17 +815,9 @@ def q_softmax_probabilities(spark, sf):
     e = fx.embedding_features(spark, sf)
     m = boosting.fit(boosting.binned(e, EMB, classes=10), boosting.Params(rounds=(20,), depth=3, eta=0.3), "softmax")
 
-    class Of:
-        def __init__(self, which):
-            self.which = which
-
-        def scores(self, x):
-            p = m.scores(x)
-            return p.sum(axis=1) if self.which == "sum" else p.min(axis=1) if self.which == "min" else np.argmax(p, axis=1).astype(float)
-
     cols = [qcol(c) for c in EMB]
-    out = m.transform(e, "_c").select("id", "_c", *[scorer(spark, Of(w))(*cols).alias(w) for w in ("sum", "min", "top")])
-    return out.select("id", ((F.abs(F.col("sum") - 1) < 1e-9) & (F.col("min") > 0)).alias("adds_up"), (F.col("top") == F.col("_c")).alias("likeliest"))
+    out = m.transform(e, "_c").select("id", "_c", *[scorer(spark, _OfClasses(m, w))(*cols).alias(w) for w in ("sum", "min", "argmax")])
+    return out.select("id", ((F.abs(F.col("sum") - 1) < 1e-9) & (F.col("min") > 0)).alias("adds_up"), (F.col("argmax") == F.col("_c")).alias("likeliest"))
 
 
 @query("ovr_boosted_cv_metrics")
@@ -1207,22 +1209,35 @@ def q_histogram_10(spark, sf):
 
 def _cleaned_sql(k: int, gone: str) -> str:
     return f"""WITH {_resampled_sql(DOCS_SQL, DF, 5, 42)}, o AS (SELECT id, src_id, syn_j FROM syn),
-nn AS {knn_op.knn_bruteforce_sql("rs", DF, k)}, {gone}
+near AS {knn_op.knn_bruteforce_sql("rs", DF, k)}, {gone}
 SELECT CASE WHEN rs.synthetic THEN NULL ELSE rs.id END AS id, o.src_id, o.syn_j, rs.label, {", ".join(r("rs." + f, f) for f in DF)}
 FROM rs LEFT JOIN o ON rs.synthetic AND o.id = rs.id WHERE rs.id NOT IN (SELECT x FROM gone)"""
 
 
-@query("smote_enn_rows", _cleaned_sql(3, """gone AS (SELECT DISTINCT nn.qid AS x FROM nn JOIN rs a ON a.id = nn.qid
-  JOIN rs b ON b.id = nn.nid WHERE a.label <> b.label)"""))
+@query("smote_enn_rows", _cleaned_sql(3, """gone AS (SELECT DISTINCT near.qid AS x FROM near JOIN rs a ON a.id = near.qid
+  JOIN rs b ON b.id = near.nid WHERE a.label <> b.label)"""))
 def q_smote_enn_rows(spark, sf):
     """M15, row by row: what SMOTE made and edited nearest neighbours left."""
     s = resample.smote_enn(fx.doc_features(spark, sf), DF, 5, 42)
     return rounded(s.select(F.when(~F.col("synthetic"), F.col("id")).alias("id"), "src_id", "syn_j", "label", *DF))
 
 
-@query("smote_tomek_rows", _cleaned_sql(1, """gone AS (SELECT a.qid AS x FROM nn a JOIN nn b ON a.qid = b.nid AND a.nid = b.qid
+@query("smote_tomek_rows", _cleaned_sql(1, """gone AS (SELECT a.qid AS x FROM near a JOIN near b ON a.qid = b.nid AND a.nid = b.qid
   JOIN rs da ON da.id = a.qid JOIN rs db ON db.id = a.nid WHERE da.label <> db.label)"""))
 def q_smote_tomek_rows(spark, sf):
     """M16, row by row."""
     s = resample.smote_tomek(fx.doc_features(spark, sf), DF, 5, 42)
     return rounded(s.select(F.when(~F.col("synthetic"), F.col("id")).alias("id"), "src_id", "syn_j", "label", *DF))
+
+
+def _types_sql() -> str:
+    name = "CASE typeof({c}) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' ELSE typeof({c}) END"
+    one = "SELECT {i} AS pos, '{c}' AS column, any_value(" + name + ") AS type, CAST(count(*) - count({c}) AS BIGINT) AS nulls FROM f"
+    return f"WITH f AS {CF_SQL} " + " UNION ALL ".join(one.format(i=i, c=c) for i, c in enumerate(["id", "label", *CF]))
+
+
+@query("column_types", _types_sql())
+def q_column_types(spark, sf):
+    """The profile's types and missing values by column."""
+    from segscore.plans.reference_table import column_types
+    return column_types(fx.customer_features(spark, sf).select("id", "label", *CF))
