@@ -43,7 +43,7 @@ OWNER_BYTES = 64 << 20
 #: Trigrams of a shard beyond which it is split (counted once a chunk).
 SHARD_MOST = 3_000_000
 #: Customers of one dish that sit in one wing of a restaurant, and customers seated at once.
-WING = 1024
+WING = 256
 AT_ONCE = 1 << 21
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _END = b""  # no word is empty
@@ -69,7 +69,8 @@ def seat_some(c: np.ndarray, a: np.ndarray, d: float, rng: np.random.Generator,
     first = np.r_[0, np.cumsum(c)[:-1]]
     label = np.zeros(int(c.sum()), np.int32)  # table of a customer, counted inside its dish
     size = np.zeros(len(label), np.int32)
-    t = np.zeros(len(c))
+    free = (np.arange(len(label)) - np.repeat(first, c)).astype(np.int32)  # numbers that no table has, c - t of them
+    t = np.zeros(len(c), np.int64)
     active = np.searchsorted(-c, -np.arange(int(c[0])), "left")  # dishes with more than s customers
     for again in range(passes + 1):
         for s in range(int(c[0])):
@@ -78,7 +79,9 @@ def seat_some(c: np.ndarray, a: np.ndarray, d: float, rng: np.random.Generator,
             if again:
                 left = at + label[at + s]
                 size[left] -= 1
-                t[:m] -= size[left] == 0
+                gone = np.flatnonzero(size[left] == 0)
+                t[gone] -= 1
+                free[at[gone] + c[gone] - t[gone] - 1] = label[at[gone] + s]
             fresh = rng.random(m) * (a[:m] + others - d * t[:m]) < a[:m]
             stay = np.flatnonzero(~fresh)
             while len(stay):  # another customer's table, accepted with (size - d) / size
@@ -94,15 +97,10 @@ def seat_some(c: np.ndarray, a: np.ndarray, d: float, rng: np.random.Generator,
                 size[base[ok] + k[ok]] += 1
                 stay = stay[~ok]
             new = np.flatnonzero(fresh)
+            slot = free[at[new] + c[new] - t[new] - 1]
             t[new] += 1
-            slot = np.full(len(new), s)
-            while len(new):  # a number no table has
-                base = at[new]
-                free = size[base + slot] == 0
-                label[base[free] + s] = slot[free]
-                size[base[free] + slot[free]] = 1
-                new = new[~free]
-                slot = (rng.random(len(new)) * c[new]).astype(np.int64)
+            label[at[new] + s] = slot
+            size[at[new] + slot] = 1
     return t
 
 
