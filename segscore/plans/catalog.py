@@ -1141,12 +1141,10 @@ def q_params_roundtrip(spark, sf):
 @query("cluster_classifier_confusion")
 def q_cluster_classifier_confusion(spark, sf):
     """M26 + A13: predicted segment (classifier on the top features) against
-    the KMeans segment on the training rows."""
-    df, t = trained_flow(spark, sf)
-    g = training.apply_global(df, t.prep)
-    km = segment.assign(g, t.segmenter).select("id", F.col("cluster").alias("actual"))
-    pr = t.classifier.transform(g).select("id", F.col("cluster").alias("predicted"))
-    return metrics.confusion(km.join(pr, "id"), "actual", "predicted")
+    the KMeans segment on the training rows; only these steps are fitted."""
+    prep, _, rows = training.fit_segments(fx.customer_features(spark, sf), CF)
+    clf, _ = training.fit_segment_classifier(rows.filter("cluster is not null"), prep.out, search=RC.flow_recipes(FLOW_BUDGET)[1])
+    return metrics.confusion(clf.transform(rows, "predicted").select("id", F.col("cluster").alias("actual"), "predicted"), "actual", "predicted")
 
 
 @query("smote_enn_counts_sql", f"""WITH {_resampled_sql(DOCS_SQL, DF, 5, 42)},

@@ -407,15 +407,21 @@ class Trained:
     metric_log: DataFrame
 
 
-def fit_all(df: DataFrame, features: list[str], recipes: dict[int, Recipe], k: int = 5, kseed: int = 2,
-            drops=(), post_drop=(), parallelism: int = 6, classifier_search: tuple | None = None) -> Trained:
-    spark = df.sparkSession
+def fit_segments(df: DataFrame, features: list[str], k: int = 5, kseed: int = 2, drops=(),
+                 post_drop=()) -> tuple[GlobalPrep, segment.Segmenter, DataFrame]:
+    """The steps before the models: global preparation, segments, and the rows with their segment."""
     # every fitting pass reads the feature table: materialise it once
     df = cut_lineage(df.select("id", "label", *[qcol(f) for f in features]))
     prep = fit_global(df, features, drops, (0.8, 0.95), post_drop)
     mm = cut_lineage(apply_global(df, prep))
     seg = segment.fit_kmeans(mm, prep.out, k=k, seed=kseed)
-    clustered = cut_lineage(segment.assign(mm, seg))
+    return prep, seg, cut_lineage(segment.assign(mm, seg))
+
+
+def fit_all(df: DataFrame, features: list[str], recipes: dict[int, Recipe], k: int = 5, kseed: int = 2,
+            drops=(), post_drop=(), parallelism: int = 6, classifier_search: tuple | None = None) -> Trained:
+    spark = df.sparkSession
+    prep, seg, clustered = fit_segments(df, features, k, kseed, drops, post_drop)
     # the classifier and the segments are independent: fitted from a small
     # thread pool, so that their jobs interleave on the executors
     work = [lambda: fit_segment_classifier(clustered.filter("cluster is not null"), prep.out, search=classifier_search)]
