@@ -77,8 +77,9 @@ def roc_auc(df: DataFrame, score: str = "score", label: str = "label", by: list[
     by = list(by)
     c = pr_curve(df, score, label, by)
     below = F.col("N") - F.col("fp")
+    pairs = F.first("P").cast("double") * F.first("N").cast("double")  # as integers they overflow
     return c.groupBy(*by).agg(
-        F.try_divide(F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))), F.first("P") * F.first("N")).alias("roc_auc")
+        F.try_divide(F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))), pairs).alias("roc_auc")
     )
 
 

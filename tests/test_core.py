@@ -120,6 +120,12 @@ def test_ap_and_auc_with_ties(spark):
     assert metrics.roc_auc(d).collect()[0][0] == pytest.approx(mw, abs=1e-12)
 
 
+def test_auc_of_more_pairs_than_an_int_holds(spark):
+    # 60,000 positives x 60,000 negatives, three scores
+    d = spark.range(120_000).select("id", (F.col("id") % 2).cast("int").alias("label"), (F.col("id") % 3).cast("double").alias("score"))
+    assert metrics.roc_auc(d).collect()[0][0] == pytest.approx(0.5, abs=1e-12)
+
+
 @pytest.mark.parametrize("block,bcast", [(4, True), (4, False), (256, True)])
 def test_knn_exact_with_duplicates(spark, block, bcast):
     spark.conf.set("segscore.knn.maxBroadcastBlocks", "200000" if bcast else "0")
