@@ -92,6 +92,45 @@ def test_power_identity_for_symmetric_and_constant(spark):
     assert pr == {"s": "identity", "c": "identity"}
 
 
+def test_knn_over_cells_is_brute_force(spark):
+    """Many cells, sharp clusters, a far point, and copies that fill more than three leaves: distances and order of ids."""
+    rng = np.random.default_rng(3)
+    X = np.concatenate([rng.normal(size=(1500, 3)) * [100, 1, 0.01], rng.normal(size=(1000, 3)) + 50, np.full((60, 3), 7.0), [[1e6, 0, 0]]])
+    rng.shuffle(X)
+    spark.conf.set("segscore.knn.localCells", "0")
+    try:
+        d = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(X)], "id long, a double, b double, c double").repartition(5)
+        cells = knn.fit_cells(d.selectExpr("id as pid", "a as x0", "b as x1", "c as x2"), ["x0", "x1", "x2"], len(X), 512)
+        got = knn.knn(d, ["a", "b", "c"], 4, query=F.col("id") % 3 == 0, block=1).collect()
+    finally:
+        spark.conf.unset("segscore.knn.localCells")
+    assert len(cells.lo) > 3
+    found = {}
+    for r in sorted(got, key=lambda r: (r["qid"], r["rank"])):
+        found.setdefault(r["qid"], []).append((r["dist"], r["nid"]))
+    D = np.zeros((len(X),) * 2)
+    for j in range(3):
+        D += (X[:, None, j] - X[None, :, j]) ** 2
+    D = np.sqrt(D)
+    np.fill_diagonal(D, np.inf)
+    assert sorted(found) == list(range(0, len(X), 3))
+    for q, mine in found.items():
+        best = np.argsort(D[q], kind="stable")[:4]
+        assert mine == [(D[q, i], i) for i in best]
+
+
+def test_knn_splits_a_cell_of_copies(spark):
+    spark.conf.set("segscore.knn.localCells", "0")
+    try:
+        d = spark.range(3000).selectExpr("id", "1.0D as a", "2.0D as b")
+        cells = knn.fit_cells(d.selectExpr("id as pid", "a as x0", "b as x1"), ["x0", "x1"], 3000, 512)
+        got = knn.knn(d, ["a", "b"], 2, block=1).agg(F.count("qid"), F.countDistinct("qid"), F.max("dist"), F.min(F.abs(F.col("qid") - F.col("nid")))).first()
+    finally:
+        spark.conf.unset("segscore.knn.localCells")
+    assert len(cells.lo) == cells.parts.sum() > 1
+    assert (got[0], got[1], got[2]) == (6000, 3000, 0.0) and got[3] > 0
+
+
 def _ap_bruteforce(y, s):
     order = np.argsort(-s, kind="stable")
     ys, ss = y[order], s[order]
