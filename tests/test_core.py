@@ -131,6 +131,26 @@ def test_knn_splits_a_cell_of_copies(spark):
     assert (got[0], got[1], got[2]) == (6000, 3000, 0.0) and got[3] > 0
 
 
+def test_cross_validation_fits_on_a_partition_a_core(spark):
+    """However many partitions the rows come in, a fit's jobs have as many tasks as there are cores."""
+    from segscore.operators import learners as L
+    seen = []
+
+    class Copies:
+        def fit(self, df):
+            seen.append((df.rdd.getNumPartitions(), df.count()))
+            return self
+
+        def transform(self, df):
+            return df.withColumn("prediction", F.col("label"))
+
+    cores = spark.sparkContext.defaultParallelism
+    d = spark.range(0, 600, 1, 5 * cores).selectExpr("id", "cast(id % 2 as int) as label", "cast(id div 2 % 3 as int) as fold")
+    r = L.cross_validate(Copies(), d, k=3).first()
+    assert r["accuracy_mean"] == 1.0 and r["f1_macro_std"] == 0.0
+    assert [n for _, n in seen] == [400] * 3 and all(p <= cores for p, _ in seen)
+
+
 def _ap_bruteforce(y, s):
     order = np.argsort(-s, kind="stable")
     ys, ss = y[order], s[order]
