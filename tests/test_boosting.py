@@ -168,3 +168,36 @@ def test_tables_without_rows_or_with_one_value(spark):
     assert B.binned(flat, feats).n == 0
     m = B.fit(B.binned(flat, ["a b", "c"]), B.Params(rounds=(2,)))
     assert (m.feature == -1).all()
+
+
+@pytest.mark.parametrize("objective,classes", [("binary", 1), ("softmax", 3), ("rank", 1), ("forest", 1)])
+def test_columns_that_share_a_pass_and_models_apart_grow_the_same_trees(monkeypatch, objective, classes):
+    r = np.random.default_rng(4)
+    n, width = 300, 5
+    x, key = r.integers(0, B.BINS, (width, n)).astype(np.uint8), np.arange(n)
+    y = (r.integers(0, classes, n) if classes > 1 else (x[0] + r.integers(0, 20, n) > 25)).astype(float)
+    params = [B.Params(rounds=(3,), depth=d, subsample=s, colsample=0.8, child=0.5, fold=f, bootstrap=objective == "forest")
+              for d in (2, 5) for s in (1.0, 0.7) for f in (0, 1)]
+    grown = []
+    for paired, pairs, cells in ((10 ** 9, 10 ** 9, 1), (1, 1, 1 << 20)):
+        monkeypatch.setattr(B, "PAIRED_ROWS", paired)
+        monkeypatch.setattr(B, "LEVEL_PAIRS", pairs)
+        monkeypatch.setattr(B, "LEVEL_CELLS", cells)
+        grown.append(B.run_group((x, y, key, key % 3), params, objective, classes, True, True))
+    (seen, trees, final), (seen2, trees2, final2) = grown
+    assert np.array_equal(seen, seen2, equal_nan=True) and np.array_equal(final, final2)
+    for a, b in zip(sum(trees, []), sum(trees2, [])):
+        assert all(np.array_equal(a[k], b[k]) for k in a)
+
+
+def test_two_columns_take_one_pass_over_the_rows():
+    r = np.random.default_rng(5)
+    n = 4 * B.PAIRED_ROWS
+    x, y = r.integers(0, B.BINS, (3, n)).astype(np.uint8), r.integers(0, 2, n).astype(float)
+    g = B.Group(x, y, np.arange(n), np.zeros(n, int), [B.Params(rounds=(1,))], "binary", 1)
+    g.begin(0)
+    of = g.histograms(1, np.arange(1))
+    for j in range(3):
+        want = np.bincount(x[j], 0.5 - y, B.BINS), np.bincount(x[j], np.full(n, 0.25), B.BINS)
+        assert np.array_equal(np.stack(of(j))[:, 0], np.stack(want))
+    assert list(g.codes) == [0]  # the first two columns came from one pass
