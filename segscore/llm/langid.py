@@ -19,12 +19,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segscore.llm.common import cut_lineage, text_slices, with_columns
+from segscore.llm.common import cut_lineage, release, text_slices, with_columns
 
 GRAMS = (2, 3, 4)
 DIM = 1 << 14
 #: Rows whose dense vectors are held at once.
-ROWS = 64
+ROWS = 16
 #: A language rejects texts below this share of that quantile of its learning rows' closeness.
 FLOOR, QUANTILE = 0.35, 0.05
 #: Bands of different n-grams in a text; one with fewer learning rows than BAND_ROWS takes the language's quantile.
@@ -136,6 +136,7 @@ def fit_languages(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     sample = (df.withColumn("draw", draw).join(F.broadcast(share), "lang").filter("draw < share").select("lang", "text"))
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for b in batches:
             slots, counts = [], []
             for _, _, raw, at in text_slices(b.column(1), rows=ROWS):
@@ -183,6 +184,7 @@ def floors(df: DataFrame, model: Centroids) -> np.ndarray:
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def closeness(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         m = shared.value
         number = {name: i for i, name in enumerate(m.languages)}
         for b in batches:
@@ -217,6 +219,7 @@ def predict_languages(df: DataFrame, model: Centroids, text_col: str = "text") -
     shared = df.sparkSession.sparkContext.broadcast(model)  # languages x clusters x DIM floats, bounded above
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         m = shared.value
         for b in batches:
             n = b.num_rows

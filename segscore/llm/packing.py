@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segscore.llm.common import cut_lineage, running, texts, with_columns
+from segscore.llm.common import cut_lineage, keep_until_released, running, texts, with_columns
 
 CAPACITY = 2048
 #: Chunks between white space whose ids a worker remembers.
@@ -194,7 +194,8 @@ def windows(text: bytes, size: int | None = None) -> Iterator[bytes]:
 
 @functools.lru_cache(maxsize=2)
 def tokens(path: str) -> Tokens:
-    """One coder a worker process and vocabulary."""
+    """One coder a worker process and vocabulary, kept until another operator's task releases it."""
+    keep_until_released(tokens.cache_clear)
     return Tokens(path)
 
 

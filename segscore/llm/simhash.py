@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segscore.llm.common import components, cut_lineage, shuffle_partitions, texts, with_columns
+from segscore.llm.common import components, cut_lineage, release, shuffle_partitions, texts, with_columns
 
 BITS = 64
 #: Members that one group compares at once; larger buckets are cut into pairs of sub-blocks.
@@ -77,6 +77,7 @@ def fingerprints(df: DataFrame, text_col: str, shingle: int, out: str, seed: int
     at = df.columns.index(text_col)
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for b in batches:
             fp = [majority(shingle_hashes(t, shingle, seed)) for t in texts(b.column(at))]
             fp = pa.array(np.array(fp, np.uint64).view(np.int64))
@@ -216,6 +217,7 @@ def near_links(fps: DataFrame, radius: int, keep: int = 2) -> DataFrame:
     keyed = keyed.repartition(shuffle_partitions(spark), "t", "key", "pair").sortWithinPartitions("t", "key", "pair", "fp")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         def out(group: list[np.ndarray]) -> pa.RecordBatch:
             t, key, pair_, fp = group
             new = np.r_[False, (t[1:] != t[:-1]) | (key[1:] != key[:-1]) | (pair_[1:] != pair_[:-1])]

@@ -339,3 +339,15 @@ def test_pipeline_stages_take_effect(spark):
     assert {r.doc_id for r in at.select("doc_id").collect()}.isdisjoint({10_001, 10_002, 10_003})
     out = corpus_pipeline.run(spark, SF)
     assert set(out.columns) == {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"} and out.count() > 100
+
+
+def test_another_operators_task_releases_the_coder():
+    from segscore.llm import common
+    path = corpus_pipeline.tokenizer_path()
+    coder = packing.tokens(path)
+    assert packing.tokens(path) is coder  # kept between tasks
+    common.release()
+    assert packing.tokens.cache_info().currsize == 0 and not common._KEPT
+    assert packing.tokens(path).ids([b"one two"]) == coder.ids([b"one two"])
+    common.release()
+    common.release()
