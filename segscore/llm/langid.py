@@ -24,7 +24,7 @@ from segscore.llm.common import cut_lineage, release, text_slices, with_columns
 GRAMS = (2, 3, 4)
 DIM = 1 << 14
 #: Rows whose dense vectors are held at once.
-ROWS = 16
+ROWS = 64
 #: A language rejects texts below this share of that quantile of its learning rows' closeness.
 FLOOR, QUANTILE = 0.35, 0.05
 #: Bands of different n-grams in a text; one with fewer learning rows than BAND_ROWS takes the language's quantile.
