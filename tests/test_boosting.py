@@ -201,3 +201,35 @@ def test_two_columns_take_one_pass_over_the_rows():
         want = np.bincount(x[j], 0.5 - y, B.BINS), np.bincount(x[j], np.full(n, 0.25), B.BINS)
         assert np.array_equal(np.stack(of(j))[:, 0], np.stack(want))
     assert list(g.codes) == [0]  # the first two columns came from one pass
+
+
+@pytest.mark.parametrize("objective,classes", [("binary", 1), ("softmax", 4), ("rank", 1), ("forest", 1)])
+def test_the_jvm_grows_the_same_trees(spark, objective, classes):
+    """Deep and shallow families, samples, folds, rows that are never fitted, several stages."""
+    r = np.random.default_rng(6)
+    n, width = 400, 6
+    x, key = r.integers(0, B.BINS, (width, n)).astype(np.uint8), r.integers(-50, 10 ** 12, n)
+    x[1], x[2] = x[1] % 3, 7
+    y = (r.integers(0, classes, n) if classes > 1 else (x[0] + r.integers(0, 20, n) > 30)).astype(float)
+    b = B.Binned(spark.range(1), [f"f{i}" for i in range(width)], [np.arange(31.0)] * width, n, classes, (x, y, key, np.where(key % 5 == 0, B.NEVER, key % 3)))
+    params = [B.Params(rounds=(1, 4, 9), depth=d, eta=e, subsample=s, colsample=c, gamma=g, child=h, positive=3.0, fold=f)
+              for d in (1, 3, 3, 8, 14) for e, s, c, g, h in ((0.3, 1.0, 1.0, 0.0, 0.4), (0.1, 0.7, 0.6, 0.2, 3.0)) for f in (0, 1)]
+    if objective == "forest":
+        params = [B.replace(p, bootstrap=True, features=2, lam=0.0) for p in params]
+    grown = B._spread(b, params, objective, True, True, True)
+    lean = B._spread(b, params, objective, True, False)
+    seen, trees, final = B.run_group(b.held, params, objective, classes, True, True)
+    for i, got in enumerate(grown):
+        assert np.allclose(got[0], seen[i], atol=1e-12, equal_nan=True) and lean[i] == (got[0], None, None)
+        assert len(got[1]) == len(trees[i]) == 9 * classes
+        assert all(np.array_equal(s[k], t[k]) for s, t in zip(got[1], trees[i]) for k in ("feature", "left"))
+        assert all(np.array_equal(s["cut"][s["feature"] >= 0], t["cut"][s["feature"] >= 0]) for s, t in zip(got[1], trees[i]))
+        assert all(np.allclose(s[k], t[k], atol=1e-9) for s, t in zip(got[1], trees[i]) for k in ("value", "gain"))
+        assert np.allclose(got[2], final[i], atol=1e-9)
+
+
+def test_the_jvm_takes_tables_without_rows(spark):
+    df, feats = table(spark, n=30)
+    b = B.binned(df.limit(0), feats)
+    assert b.held is not None and (B.fit(b, B.Params(rounds=(2,))).feature == -1).all()
+    assert np.isnan(B.search(b, [B.Params(rounds=(1, 2), fold=0)])).all()
