@@ -233,3 +233,17 @@ def test_the_jvm_takes_tables_without_rows(spark):
     b = B.binned(df.limit(0), feats)
     assert b.held is not None and (B.fit(b, B.Params(rounds=(2,))).feature == -1).all()
     assert np.isnan(B.search(b, [B.Params(rounds=(1, 2), fold=0)])).all()
+
+
+def test_a_table_of_the_documents_at_six_gb_is_broadcast():
+    """1.5 million rows of 6 columns, a score each; one job a level would be a hundred thousand jobs."""
+    assert 1_500_000 * (6 + 8) <= B.TASK_CELLS * B.LOCAL_CELLS
+
+
+def test_rows_of_a_node_lie_together_in_any_number_of_columns():
+    r = np.random.default_rng(8)
+    for width in (1, 6, 70):
+        x = r.integers(0, B.BINS, (width, 500)).astype(np.uint8)
+        order = B.near_rows(x)
+        assert sorted(order.tolist()) == list(range(500))
+        assert (np.diff(x[0, order] >> 4) >= 0).all()
